@@ -62,8 +62,8 @@ silver_matter_events AS (
     AND matter_id IS NOT NULL AND matter_id <> ''
     AND event_id IS NOT NULL
 ),
-time_entry_base AS (
-  SELECT 'T-' || CAST(l.l_orderkey AS VARCHAR) || '-' || CAST(l.l_linenumber AS VARCHAR) AS entry_id,
+time_entry_base_raw AS (
+  SELECT l.l_quantity, 'T-' || CAST(l.l_orderkey AS VARCHAR) || '-' || CAST(l.l_linenumber AS VARCHAR) AS entry_id,
          'M-' || CAST(o.o_custkey AS VARCHAR) AS matter_id,
          CASE WHEN l.l_suppkey % 20 = 19 THEN NULL ELSE 'U-' || CAST(l.l_suppkey % 50 AS VARCHAR) END AS user_id,
          TRY_CAST(l.l_quantity * CAST(0.75 AS DOUBLE) - 2 AS DECIMAL(5,2)) AS hours_dec,
@@ -75,6 +75,7 @@ time_entry_base AS (
   JOIN orders o ON l.l_orderkey = o.o_orderkey
   WHERE o.o_custkey % 60 <> 11
 ),
+time_entry_base AS (SELECT * EXCLUDE (l_quantity) FROM time_entry_base_raw),
 typed_time_entries AS (
   SELECT entry_id, matter_id, user_id,
          hours_dec AS hours,
@@ -109,6 +110,31 @@ typed_doc_audit AS (
 silver_doc_audit AS (
   SELECT * FROM typed_doc_audit WHERE action IN {_ACTIONS} AND doc_id IS NOT NULL
 ),
+raw_matter_events AS (
+  SELECT event_id, matter_id, event_type,
+         strftime(event_ts, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' AS "timestamp",
+         user_id, office
+  FROM typed_matter_events
+),
+raw_time_entries AS (
+  SELECT entry_id, matter_id, user_id,
+         l_quantity * CAST(0.75 AS DOUBLE) - 2 AS hours,
+         billable_flag, raw_rate AS rate_usd,
+         strftime(entry_date, '%Y-%m-%d') AS "date",
+         narrative
+  FROM time_entry_base_raw
+),
+raw_doc_audit AS (
+  SELECT audit_id, doc_id, matter_id, action, user_id,
+         strftime(audit_ts, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' AS "timestamp",
+         client_ip
+  FROM typed_doc_audit
+),
+raw_matters_master AS (
+  SELECT matter_id, client_name, practice_area, region, CAST(NULL AS VARCHAR) AS opened_at,
+         partner_lead_user_id, billing_arrangement
+  FROM typed_matters_master
+),
 gold_billable_hours_by_matter_month AS (
   SELECT matter_id,
          CAST(date_trunc('month', entry_date) AS DATE) AS entry_month,
@@ -308,6 +334,25 @@ FINAL: dict[str, str] = {
         GROUP BY m.region, g.entry_month ORDER BY m.region, g.entry_month""",
 }
 
+_NO_LINEAGE = {
+    name: ", ".join(c.strip() for c in cols.split(",") if c.strip() not in ("_source_file", "_ingested_at"))
+    for name, cols in _SILVER_COLS.items()
+}
+
+FINAL.update({
+    "bronze_matter_events": "SELECT *, CAST(NULL AS VARCHAR) AS _rescued_data FROM raw_matter_events",
+    "bronze_time_entries": "SELECT *, CAST(NULL AS VARCHAR) AS _rescued_data FROM raw_time_entries",
+    "bronze_doc_audit": "SELECT *, CAST(NULL AS VARCHAR) AS _rescued_data FROM raw_doc_audit",
+    "bronze_matters_master": "SELECT *, CAST(NULL AS VARCHAR) AS _rescued_data FROM raw_matters_master",
+    "land_json_batch": "SELECT * FROM raw_time_entries",
+    "land_master_once": "SELECT * FROM raw_matters_master",
+    "ingest_incremental": f"SELECT {_NO_LINEAGE['silver_time_entries']} FROM silver_time_entries",
+    "run_pipeline": "SELECT * FROM gold_matter_summary",
+    "full_refresh_equivalence": "SELECT * FROM gold_billable_hours_by_matter_month",
+    "refresh_gold": "SELECT * FROM gold_doc_activity_by_matter",
+    "stream_expectation_metrics": FINAL["expectation_metrics"],
+})
+
 
 def oracle_queries() -> dict[str, str]:
     return {name: PREAMBLE + final for name, final in FINAL.items()}
