@@ -274,7 +274,7 @@ class RunResult:
     gold_paths: dict[str, str]
     metrics: list[tuple] = field(default_factory=list)
     bronze_rows: dict[str, int] = field(default_factory=dict)
-    silver_rows: dict[str, int] = field(default_factory=dict)
+    silver_input_rows: dict[str, int] = field(default_factory=dict)
 
 
 def _rows(progress: list) -> int:
