@@ -70,6 +70,11 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return bool(fs.exists(p))
+
+
 def list_children(spark: SparkSession, path: str) -> list[str]:
     fs, p = _fs(spark, path)
     if not fs.exists(p):
@@ -137,6 +142,8 @@ def _sink(df: DataFrame, path: str, checkpoint: str, name: str, partition_by: st
 def run_bronze(spark: SparkSession, landing: str, layout: Layout, max_files_per_trigger: int | None = None) -> dict:
     queries = {}
     for source, (bronze_name, _) in SOURCES.items():
+        if not path_exists(spark, f"{landing.rstrip('/')}/{source}"):
+            continue  # nothing landed for this source yet
         df = bronze_stream(spark, landing, source, max_files_per_trigger)
         queries[bronze_name] = _sink(df, layout.table("bronze", bronze_name),
                                      layout.checkpoint("bronze", bronze_name), f"{bronze_name}_{layout.generation}")
@@ -152,7 +159,9 @@ def read_bronze_stream(spark: SparkSession, layout: Layout, source: str) -> Data
 
 def run_silver(spark: SparkSession, layout: Layout) -> tuple[dict, list[tuple]]:
     queries, observed_names = {}, {}
-    for source, (_, silver_name) in SOURCES.items():
+    for source, (bronze_name, silver_name) in SOURCES.items():
+        if not path_exists(spark, layout.table("bronze", bronze_name)):
+            continue
         spec = SILVER_BY_SOURCE[source]
         obs = f"dq_{silver_name}"
         df = spec.build_observed(read_bronze_stream(spark, layout, source), obs)
@@ -187,7 +196,10 @@ def _await_all(queries: dict) -> dict:
 def read_silver(spark: SparkSession, layout: Layout, name: str) -> DataFrame:
     spec = SILVER[name]
     schema = spec.typed(spark.createDataFrame([], RAW_SCHEMAS[spec.source])).schema
-    return spark.read.schema(schema).parquet(layout.table("silver", name)).select(*SILVER_COLUMNS[name])
+    path = layout.table("silver", name)
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], schema).select(*SILVER_COLUMNS[name])
+    return spark.read.schema(schema).parquet(path).select(*SILVER_COLUMNS[name])
 
 
 def read_gold(spark: SparkSession, layout: Layout, name: str) -> DataFrame:
@@ -273,7 +285,7 @@ class RunResult:
     layout: Layout
     gold_paths: dict[str, str]
     metrics: list[tuple] = field(default_factory=list)
-    bronze_rows: dict[str, int] = field(default_factory=dict)
+    bronze_input_lines: dict[str, int] = field(default_factory=dict)
     silver_input_rows: dict[str, int] = field(default_factory=dict)
 
 
