@@ -58,3 +58,19 @@ def test_summary_edge_cases_present(spark):
     assert no_billing.count() > 0 and no_billing.filter("last_billed_date IS NOT NULL").count() == 0
     assert s.filter("total_doc_events = 0").count() > 0
     assert s.count() == s.select("matter_id").distinct().count()
+
+
+def test_widget_feeds_are_projections(spark):
+    lay = StandinLayers(spark, SF001)
+    summary = lay.gold("gold_matter_summary")
+    datasets = {
+        "kpis": R.kpis(summary),
+        "monthly_revenue": R.monthly_revenue(lay.gold("gold_billable_hours_by_matter_month")),
+        "by_practice": R.revenue_by_practice(summary),
+        "top_matters": R.top_matters(summary),
+        "doc_actions": R.doc_actions(lay.gold("gold_doc_activity_by_matter")),
+    }
+    for name, (dataset, cols) in R.WIDGETS.items():
+        feed = R.widget(datasets, name)
+        assert feed.columns == list(cols)
+        assert feed.count() == datasets[dataset].count(), name
