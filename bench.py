@@ -2,7 +2,8 @@
 
 Each query is executed in full with the ``noop`` sink (no driver collect); the
 reported time is the median of 3 runs after one warm-up.  The incremental
-pipeline (land JSON -> bronze -> silver -> gold) is timed once per run as well.
+pipeline (bronze -> silver -> gold over JSON landed from the tables) is timed once
+after a warm-up run, both replaying every landed file into a fresh output root.
 """
 
 from __future__ import annotations
@@ -56,6 +57,8 @@ def main() -> None:
         t = time.perf_counter()
         land_standin(spark, sf_dir, f"{work}/landing")
         landed = time.perf_counter() - t
+        # warm-up run into its own output root, then the timed run replays every landed file afresh
+        run_pipeline(spark, f"{work}/landing", f"{work}/warmup", register=False)
         t = time.perf_counter()
         res = run_pipeline(spark, f"{work}/landing", f"{work}/out", register=False)
         elapsed = time.perf_counter() - t

@@ -37,36 +37,34 @@ def _fits(type_name: Column, dtype: T.DataType) -> Column:
 
 def rescue_json(lines: DataFrame, schema: T.StructType, value_col: str = "value",
                 keep: tuple[str, ...] = ()) -> DataFrame:
-    """JSON-lines text -> typed columns of ``schema`` + ``_rescued_data`` (+ ``keep`` columns)."""
+    """JSON-lines text -> typed columns of ``schema`` + ``_rescued_data`` (+ ``keep`` columns).
+
+    Each declared field's JSON type is inspected once; the rescue JSON is only built
+    for lines that have an unknown or mistyped key (CASE branches are lazy), so clean
+    lines cost one parse plus one type probe per field.
+    """
     text = F.col(value_col)
+    m = F.col("_m")
+    names = [f.name for f in schema.fields]
     parsed = (
         lines.filter(F.trim(text) != "")
         .select(text.alias("_line"), *keep,
                 F.try_variant_get(F.try_parse_json(text), "$", "map<string,variant>").alias("_m"))
     )
-    m = F.col("_m")
-    names = [f.name for f in schema.fields]
-
-    cols = []
-    for f in schema.fields:
-        v = m[f.name]
-        cols.append(
-            F.when(_fits(F.schema_of_variant(v), f.dataType), F.try_variant_get(v, "$", f.dataType.simpleString()))
-            .cast(f.dataType).alias(f.name)
-        )
-
-    def misfit(k: Column, v: Column) -> Column:
-        type_name = F.schema_of_variant(v)
-        expr = None
-        for f in schema.fields:
-            bad = ~_fits(type_name, f.dataType)
-            expr = F.when(k == f.name, bad) if expr is None else expr.when(k == f.name, bad)
-        return expr.otherwise(F.lit(True)) if expr is not None else F.lit(True)
+    probed = parsed.select("*", *[F.schema_of_variant(m[n]).alias(f"_t{i}") for i, n in enumerate(names)])
 
-    leftovers = F.map_filter(m, misfit)
+    fits = [_fits(F.col(f"_t{i}"), f.dataType) for i, f in enumerate(schema.fields)]
+    values = [
+        F.when(ok, F.try_variant_get(m[f.name], "$", f.dataType.simpleString())).cast(f.dataType).alias(f.name)
+        for ok, f in zip(fits, schema.fields)
+    ]
+    # a missing key probes as NULL: neither a value nor a mismatch
+    mistyped = F.array_compact(F.array(*[F.when(~ok, F.lit(f.name)) for ok, f in zip(fits, schema.fields)]))
+    unknown = F.array_except(F.map_keys(m), F.array(*[F.lit(n) for n in names]))
+    rescue_keys = F.concat(mistyped, unknown)
     rescued = (
         F.when(m.isNull(), F.col("_line"))
-        .when(F.size(leftovers) > 0, F.to_json(leftovers))
+        .when(F.size(rescue_keys) > 0, F.to_json(F.map_filter(m, lambda k, v: F.array_contains(rescue_keys, k))))
         .otherwise(F.lit(None).cast("string"))
     )
-    return parsed.select(*cols, rescued.alias(RESCUE_COLUMN), *keep).select(*names, RESCUE_COLUMN, *keep)
+    return probed.select(*values, rescued.alias(RESCUE_COLUMN), *keep)
