@@ -82,9 +82,22 @@ def list_children(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(p))
 
 
-def latest_child(spark: SparkSession, path: str, prefix: str) -> str | None:
+def latest_child(spark: SparkSession, path: str, prefix: str, marker: str | None = None) -> str | None:
+    """Newest child named ``prefix...``; with ``marker``, only children containing that file."""
     names = [n for n in list_children(spark, path) if n.startswith(prefix)]
-    return names[-1] if names else None
+    for name in reversed(names):
+        if marker is None or path_exists(spark, f"{path.rstrip('/')}/{name}/{marker}"):
+            return name
+    return None
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.create(p, True).close()
+
+
+COMPLETE = "_COMPLETE"   # written after a pipeline run finished: the generation is readable
+COMMITTED = "_SUCCESS"   # written by Spark's output committer when a gold version is complete
 
 
 # ---------------------------------------------------------------- layout
@@ -110,10 +123,19 @@ class Layout:
 
 
 def current_layout(spark: SparkSession, root: str, new_generation: bool = False, run_id: str | None = None) -> Layout:
+    """Generation a run writes to: the newest one (a failed full refresh is resumed), or a new one."""
     gen = None if new_generation else latest_child(spark, root, "gen=")
     return Layout(root, gen or f"gen={run_id or new_run_id()}")
 
 
+def readable_layout(spark: SparkSession, root: str) -> Layout:
+    """Newest generation whose pipeline run completed; readers never see a half-built replay."""
+    gen = latest_child(spark, root, "gen=", marker=COMPLETE)
+    if gen is None:
+        raise FileNotFoundError(f"no completed pipeline run under {root}")
+    return Layout(root, gen)
+
+
 # ---------------------------------------------------------------- bronze
 
 def bronze_stream(spark: SparkSession, landing: str, source: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -204,20 +226,24 @@ def read_silver(spark: SparkSession, layout: Layout, name: str) -> DataFrame:
 
 def read_gold(spark: SparkSession, layout: Layout, name: str) -> DataFrame:
     base = layout.table("gold", name)
-    version = latest_child(spark, base, "v=")
+    version = latest_child(spark, base, "v=", marker=COMMITTED)
     if version is None:
         raise FileNotFoundError(f"no version of {name} under {base}")
     return spark.read.parquet(f"{base}/{version}").select(*GOLD_COLUMNS[name])
 
 
+def read_bronze(spark: SparkSession, layout: Layout, name: str) -> DataFrame:
+    source = next(s for s, (b, _) in SOURCES.items() if b == name)
+    return spark.read.schema(bronze_schema(source)).parquet(layout.table("bronze", name))
+
+
 def read_layer_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    layout = current_layout(spark, root)
+    layout = readable_layout(spark, root)
     if name.startswith("silver_"):
         return read_silver(spark, layout, name)
     if name.startswith("gold_"):
         return read_gold(spark, layout, name)
-    source = next(s for s, (b, _) in SOURCES.items() if b == name)
-    return spark.read.schema(bronze_schema(source)).parquet(layout.table("bronze", name))
+    return read_bronze(spark, layout, name)
 
 
 # ---------------------------------------------------------------- gold
@@ -233,7 +259,8 @@ def refresh_gold(spark: SparkSession, layout: Layout, run_id: str) -> dict[str,
 
     def write(name: str, df: DataFrame) -> DataFrame:
         path = f"{layout.table('gold', name)}/v={run_id}"
-        G.contract(df, name).write.mode("errorifexists").parquet(path)
+        # overwrite: a retried run with the same id replaces its own partial output
+        G.contract(df, name).write.mode("overwrite").parquet(path)
         written[name] = path
         return spark.read.parquet(path)
 
@@ -306,6 +333,7 @@ def run_pipeline(spark: SparkSession, landing: str, root: str, run_id: str | Non
     gold_paths = refresh_gold(spark, layout, run_id)
     rows = [(run_id, *m) for m in metrics]
     spark.createDataFrame(rows, METRICS_SCHEMA).coalesce(1).write.mode("append").parquet(layout.metrics)
+    touch(spark, f"{layout.base}/{COMPLETE}")
     if register:
         register_tables(spark, layout, gold_paths)
     return RunResult(
@@ -316,4 +344,4 @@ def run_pipeline(spark: SparkSession, landing: str, root: str, run_id: str | Non
 
 
 def read_metrics(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.schema(METRICS_SCHEMA).parquet(current_layout(spark, root).metrics)
+    return spark.read.schema(METRICS_SCHEMA).parquet(readable_layout(spark, root).metrics)

@@ -22,8 +22,9 @@ from docketflow.sources.standin import standin_source
 from docketflow.streaming.pipeline import (
     current_layout,
     new_run_id,
-    read_layer_table,
+    read_bronze,
     read_metrics,
+    readable_layout,
     refresh_gold,
     run_bronze,
     run_pipeline,
@@ -65,7 +66,7 @@ def _bronze_query(bronze_name: str):
         land_standin(spark, sf, f"{work}/landing")
         layout = current_layout(spark, f"{work}/out", run_id=new_run_id())
         run_bronze(spark, f"{work}/landing", layout)
-        return _drop_lineage(read_layer_table(spark, f"{work}/out", bronze_name))
+        return _drop_lineage(read_bronze(spark, layout, bronze_name))
     return run
 
 
@@ -74,7 +75,7 @@ def rows_per_source_file(spark: SparkSession, sf: str) -> DataFrame:
     land_standin(spark, sf, f"{work}/landing")
     layout = current_layout(spark, f"{work}/out", run_id=new_run_id())
     run_bronze(spark, f"{work}/landing", layout)
-    bronze = read_layer_table(spark, f"{work}/out", "bronze_time_entries")
+    bronze = read_bronze(spark, layout, "bronze_time_entries")
     return bronze.groupBy("_source_file").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
@@ -158,7 +159,7 @@ def full_refresh_equivalence(spark: SparkSession, sf: str) -> DataFrame:
 
 def refresh_gold_query(spark: SparkSession, sf: str) -> DataFrame:
     root = _pipeline_root(spark, sf)
-    refresh_gold(spark, current_layout(spark, root), new_run_id())
+    refresh_gold(spark, readable_layout(spark, root), new_run_id())
     return TableLayers(spark, root).gold("gold_doc_activity_by_matter")
 
 

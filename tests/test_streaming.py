@@ -137,3 +137,18 @@ def test_full_refresh_replays_everything(spark, landed):
     assert refreshed.bronze_input_lines["bronze_time_entries"] == len(FIXTURE_LINES) + 2
     after = TableLayers(spark, out).gold("gold_billable_hours_by_matter_month")
     assert sorted(map(tuple, after.collect()), key=repr) == rows_before
+
+
+def test_readers_skip_uncommitted_versions_and_generations(spark, landed):
+    """A half-written gold version or an unfinished generation is never read."""
+    from docketflow.streaming.pipeline import readable_layout
+
+    _, _, out, _ = landed
+    layout = readable_layout(spark, out)
+    good = read_layer_table(spark, out, "gold_matter_summary").count()
+    # a newer gold version without the committer's _SUCCESS marker (e.g. a crashed refresh)
+    os.makedirs(f"{layout.table('gold', 'gold_matter_summary')}/v=99999999T999999999999/_temporary")
+    assert read_layer_table(spark, out, "gold_matter_summary").count() == good
+    # a newer generation that never completed (e.g. a crashed full refresh)
+    os.makedirs(f"{out}/gen=99999999T999999999999/silver")
+    assert readable_layout(spark, out).generation == layout.generation
