@@ -174,19 +174,23 @@ def run_bronze(spark: SparkSession, landing: str, layout: Layout, max_files_per_
 
 # ---------------------------------------------------------------- silver
 
-def read_bronze_stream(spark: SparkSession, layout: Layout, source: str) -> DataFrame:
+def read_bronze_stream(spark: SparkSession, layout: Layout, source: str,
+                       max_files_per_trigger: int | None = None) -> DataFrame:
     bronze_name = SOURCES[source][0]
-    return spark.readStream.schema(bronze_schema(source)).parquet(layout.table("bronze", bronze_name))
+    reader = spark.readStream.schema(bronze_schema(source))
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    return reader.parquet(layout.table("bronze", bronze_name))
 
 
-def run_silver(spark: SparkSession, layout: Layout) -> tuple[dict, list[tuple]]:
+def run_silver(spark: SparkSession, layout: Layout, max_files_per_trigger: int | None = None) -> tuple[dict, list[tuple]]:
     queries, observed_names = {}, {}
     for source, (bronze_name, silver_name) in SOURCES.items():
         if not path_exists(spark, layout.table("bronze", bronze_name)):
             continue
         spec = SILVER_BY_SOURCE[source]
         obs = f"dq_{silver_name}"
-        df = spec.build_observed(read_bronze_stream(spark, layout, source), obs)
+        df = spec.build_observed(read_bronze_stream(spark, layout, source, max_files_per_trigger), obs)
         queries[silver_name] = _sink(df, layout.table("silver", silver_name), layout.checkpoint("silver", silver_name),
                                      f"{silver_name}_{layout.generation}")
         observed_names[silver_name] = obs
@@ -323,13 +327,18 @@ def _rows(progress: list) -> int:
 def run_pipeline(spark: SparkSession, landing: str, root: str, run_id: str | None = None,
                  full_refresh: bool = False, max_files_per_trigger: int | None = None,
                  register: bool = True) -> RunResult:
-    """bronze -> silver -> gold -> metrics, in that order; each stream runs to completion."""
+    """bronze -> silver -> gold -> metrics, in that order; each stream runs to completion.
+
+    ``max_files_per_trigger`` bounds each micro-batch (bronze and silver) so a large
+    backlog is consumed in several bounded batches rather than one huge one; the
+    expectation counters are summed over all batches of the run.
+    """
     run_id = run_id or new_run_id()
     # recentProgress must hold every micro-batch of an availableNow run to sum its counters
     spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "100000")
     layout = current_layout(spark, root, new_generation=full_refresh, run_id=run_id)
     bronze_progress = run_bronze(spark, landing, layout, max_files_per_trigger)
-    silver_progress, metrics = run_silver(spark, layout)
+    silver_progress, metrics = run_silver(spark, layout, max_files_per_trigger)
     gold_paths = refresh_gold(spark, layout, run_id)
     rows = [(run_id, *m) for m in metrics]
     spark.createDataFrame(rows, METRICS_SCHEMA).coalesce(1).write.mode("append").parquet(layout.metrics)

@@ -114,18 +114,23 @@ _DIRTY = (
     "concat('[', line, ']')",                                       # 4 top-level array
     "regexp_replace(line, '\"rate_usd\":([0-9]+)', '\"rate_usd\":$1.7')",  # 5 decimal for a bigint
     "regexp_replace(line, '\"hours\":(-?[0-9.E]+)', '\"hours\":\"$1\"')",  # 6 number as string
-    "''",                                                           # 7 blank line (skipped)
+    "line",                                                         # 7 clean, followed by a blank line
 )
 
 
 def rescue_json_query(spark: SparkSession, sf: str) -> DataFrame:
-    """Rescue parsing over every stand-in time entry, with a share of lines made dirty."""
+    """Rescue parsing over every stand-in time entry (one output row each), a share of lines made dirty."""
     shaped = to_landing_shape(standin_source(spark, sf, "time_entries", lineage=False), "time_entries")
     line = F.to_json(F.struct(*shaped.columns), {"ignoreNullFields": "false"})
     pick = F.pmod(F.xxhash64("entry_id"), F.lit(len(_DIRTY)))
     lines = shaped.select(line.alias("line"), pick.alias("v"))
     variant_case = "CASE v " + " ".join(f"WHEN {i} THEN {e}" for i, e in enumerate(_DIRTY)) + " END"
-    return rescue_json(lines.select(F.expr(variant_case).alias("value")), RAW_SCHEMAS["time_entries"])
+    # every entry keeps its line; variant 7 adds an extra blank line, which parsing must skip
+    texts = lines.select(F.explode(
+        F.when(F.col("v") == len(_DIRTY) - 1, F.array(F.expr(variant_case), F.lit("   ")))
+        .otherwise(F.array(F.expr(variant_case)))
+    ).alias("value"))
+    return rescue_json(texts, RAW_SCHEMAS["time_entries"])
 
 
 def _pipeline_root(spark: SparkSession, sf: str, waves: tuple = (None,)) -> str:
