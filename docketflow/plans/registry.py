@@ -30,10 +30,6 @@ def _gold(name: str) -> Query:
     return lambda spark, sf: G.contract(StandinLayers(spark, sf).gold(name), name)
 
 
-def _summary(spark, sf) -> DataFrame:
-    return StandinLayers(spark, sf).gold("gold_matter_summary")
-
-
 def expectation_metrics(spark: SparkSession, sf: str) -> DataFrame:
     lay = StandinLayers(spark, sf)
     frames = [metrics_frame(lay.typed(name), name, spec.rules) for name, spec in SILVER.items()]
