@@ -2,8 +2,9 @@
 
 Shape of every plan: filter -> partial aggregate per task -> shuffle on the group key
 -> final aggregate.  A hot ``matter_id`` is harmless for SUM/COUNT/MIN/MAX (map-side
-combine) and for COUNT(DISTINCT x): Spark first aggregates on (key, x), so the hot
-key's rows spread over many reducers before the per-key merge.
+combine) and for COUNT(DISTINCT x): it first aggregates on (key, x), so the hot
+key's rows spread over many reducers before the per-key merge.  Tables with two
+distinct counts merge two single-distinct branches (see ``_merge_branches``).
 
 The summary pre-aggregates each fact to one row per matter *before* joining the
 dimension (joining raw facts would multiply rows), so the three joins run over
@@ -24,17 +25,34 @@ def _billable(time_entries: DataFrame) -> DataFrame:
     return time_entries.filter(F.col("billable_flag"))
 
 
+def _merge_branches(keys: list[str], branches: list[DataFrame], columns: dict[str, str]) -> DataFrame:
+    """Union per-key partial results (each fills some ``columns``, NULL elsewhere) into one row per key.
+
+    Used instead of several COUNT(DISTINCT) in one aggregate, which Spark plans as an
+    ``Expand`` copying every row once per distinct column; a high-cardinality distinct
+    column (entry ids, document ids) then barely shrinks before the shuffle.  Each
+    branch here has a single distinct column (one extra partial-aggregate level), and
+    all branches end hash-partitioned on ``keys``, so the union + regroup adds no
+    shuffle; NULL keys group exactly as in a single aggregate.
+    """
+    def filled(df: DataFrame) -> DataFrame:
+        return df.select(*keys, *[
+            (F.col(c) if c in df.columns else F.lit(None)).cast(t).alias(c) for c, t in columns.items()
+        ])
+
+    merged = filled(branches[0])
+    for b in branches[1:]:
+        merged = merged.unionByName(filled(b))
+    # exactly one row per key per branch: max() picks the filled value
+    return merged.groupBy(*keys).agg(*[F.max(c).alias(c) for c in columns])
+
+
 def billable_hours_by_matter_month(time_entries: DataFrame) -> DataFrame:
     """Billable hours, revenue, distinct users and distinct entries per (matter, month).
 
-    Two distinct counts would make Spark ``Expand`` every row three times, and the
-    copy keyed by the near-unique ``entry_id`` barely shrinks before the shuffle.
-    Instead two single-distinct branches run side by side: sums and users are
-    pre-aggregated per (matter, month, user) -- tiny after the map-side combine --
-    and entries are counted through (matter, month, entry_id).  Both end
-    hash-partitioned on (matter, month), so the union + regroup that merges them
-    adds no shuffle, and NULL keys (an unparsable date gives a NULL month) group
-    like in a single aggregate.  Measured 1.6x faster than the Expand plan.
+    Sums and users are pre-aggregated per (matter, month, user) -- tiny after the
+    map-side combine -- and entries are counted through (matter, month, entry_id).
+    At sf0.1 1.6x faster than the single-aggregate (``Expand``) plan.
     """
     keys = ["matter_id", "entry_month"]
     rows = _billable(time_entries).select(
@@ -46,32 +64,37 @@ def billable_hours_by_matter_month(time_entries: DataFrame) -> DataFrame:
         .agg(F.sum("hours").alias("h"), F.sum("billable_amount_usd").alias("a"))
         .groupBy(*keys)
         .agg(
-            F.sum("h").cast(HOURS_SUM_TYPE).alias("total_hours"),
-            F.sum("a").cast(AMOUNT_SUM_TYPE).alias("total_revenue_usd"),
+            F.sum("h").alias("total_hours"),
+            F.sum("a").alias("total_revenue_usd"),
             F.count("user_id").alias("distinct_users"),  # one row per non-NULL user
-            F.lit(None).cast("bigint").alias("entry_count"),
         )
     )
-    entries = rows.groupBy(*keys).agg(
-        F.lit(None).cast(HOURS_SUM_TYPE).alias("total_hours"),
-        F.lit(None).cast(AMOUNT_SUM_TYPE).alias("total_revenue_usd"),
-        F.lit(None).cast("bigint").alias("distinct_users"),
-        F.countDistinct("entry_id").alias("entry_count"),
-    )
-    # each (matter, month) has exactly one row on each side: max() picks the filled value
-    return sums.unionByName(entries).groupBy(*keys).agg(
-        *[F.max(c).alias(c) for c in ("total_hours", "total_revenue_usd", "distinct_users", "entry_count")]
-    )
+    entries = rows.groupBy(*keys).agg(F.countDistinct("entry_id").alias("entry_count"))
+    return _merge_branches(keys, [sums, entries], {
+        "total_hours": HOURS_SUM_TYPE, "total_revenue_usd": AMOUNT_SUM_TYPE,
+        "distinct_users": "bigint", "entry_count": "bigint",
+    })
 
 
 def doc_activity_by_matter(doc_audit: DataFrame) -> DataFrame:
-    return doc_audit.groupBy("matter_id", "action").agg(
-        F.count(F.lit(1)).alias("event_count"),
-        F.countDistinct("doc_id").alias("distinct_docs"),
-        F.countDistinct("user_id").alias("distinct_users"),
-        F.min("audit_ts").alias("first_seen"),
-        F.max("audit_ts").alias("last_seen"),
+    """Events, distinct documents and users, first/last time per (matter, action)."""
+    keys = ["matter_id", "action"]
+    per_doc = (
+        doc_audit.groupBy(*keys, "doc_id")
+        .agg(F.count(F.lit(1)).alias("n"), F.min("audit_ts").alias("lo"), F.max("audit_ts").alias("hi"))
+        .groupBy(*keys)
+        .agg(
+            F.sum("n").alias("event_count"),
+            F.count("doc_id").alias("distinct_docs"),
+            F.min("lo").alias("first_seen"),
+            F.max("hi").alias("last_seen"),
+        )
     )
+    users = doc_audit.groupBy(*keys).agg(F.countDistinct("user_id").alias("distinct_users"))
+    return _merge_branches(keys, [per_doc, users], {
+        "event_count": "bigint", "distinct_docs": "bigint", "distinct_users": "bigint",
+        "first_seen": "timestamp", "last_seen": "timestamp",
+    })
 
 
 def matter_lifecycle(matter_events: DataFrame) -> DataFrame:
