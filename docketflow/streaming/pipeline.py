@@ -252,14 +252,18 @@ def read_layer_table(spark: SparkSession, root: str, name: str) -> DataFrame:
 
 # ---------------------------------------------------------------- gold
 
-def refresh_gold(spark: SparkSession, layout: Layout, run_id: str) -> dict[str, str]:
+def refresh_gold(spark: SparkSession, layout: Layout, run_id: str, parallel: bool = True) -> dict[str, str]:
     """Recompute all gold tables from silver into new version directories; return their paths.
 
-    The lifecycle table is written first and the summary's lifecycle branch is read
-    back from it (one row per matter), so silver events are scanned only once.
+    The three per-fact tables are independent jobs and are submitted concurrently
+    (their small final stages then overlap instead of leaving cores idle).  The
+    lifecycle table is read back for the summary's lifecycle branch (one row per
+    matter), so silver events are scanned once per refresh.
     """
+    from concurrent.futures import ThreadPoolExecutor
+
     silver = {name: read_silver(spark, layout, name) for name in SILVER}
-    written = {}
+    written: dict[str, str] = {}
 
     def write(name: str, df: DataFrame) -> DataFrame:
         path = f"{layout.table('gold', name)}/v={run_id}"
@@ -268,13 +272,18 @@ def refresh_gold(spark: SparkSession, layout: Layout, run_id: str) -> dict[str,
         written[name] = path
         return spark.read.parquet(path)
 
-    write("gold_billable_hours_by_matter_month", G.billable_hours_by_matter_month(silver["silver_time_entries"]))
-    write("gold_doc_activity_by_matter", G.doc_activity_by_matter(silver["silver_doc_audit"]))
-    lifecycle = write("gold_matter_lifecycle", G.matter_lifecycle(silver["silver_matter_events"]))
+    independent = {
+        "gold_billable_hours_by_matter_month": lambda: G.billable_hours_by_matter_month(silver["silver_time_entries"]),
+        "gold_doc_activity_by_matter": lambda: G.doc_activity_by_matter(silver["silver_doc_audit"]),
+        "gold_matter_lifecycle": lambda: G.matter_lifecycle(silver["silver_matter_events"]),
+    }
+    with ThreadPoolExecutor(max_workers=len(independent) if parallel else 1) as pool:
+        futures = {name: pool.submit(lambda n=name, b=build: write(n, b())) for name, build in independent.items()}
+        results = {name: f.result() for name, f in futures.items()}
     write("gold_matter_summary", G.matter_summary_from_branches(
         silver["silver_matters_master"],
         G.summary_revenue(silver["silver_time_entries"]),
-        G.summary_lifecycle_from_gold(lifecycle),
+        G.summary_lifecycle_from_gold(results["gold_matter_lifecycle"]),
         G.summary_doc_activity(silver["silver_doc_audit"]),
     ))
     return written
