@@ -3,7 +3,6 @@
 import math
 
 import pytest
-from pyspark.sql import functions as F
 
 from docketflow.functions.rules import is_valid_doc_action, is_valid_event_type, rate_tier
 
