@@ -43,9 +43,13 @@ def land_json_batch(df: DataFrame, landing: str, source: str, files: int | None
 
 
 def land_master_once(df: DataFrame, landing: str, source: str = "matters_master") -> str:
-    """Write the dimension files only if the folder does not exist yet (write-once)."""
+    """Write the dimension files only if the folder does not exist yet (write-once).
+
+    Keeps the input partitioning: a large dimension is written by many tasks, not
+    funnelled through one to get a single file.
+    """
     path = f"{landing.rstrip('/')}/{source}"
-    to_landing_shape(df, source).coalesce(1).write.mode("ignore").option("ignoreNullFields", "false").json(path)
+    to_landing_shape(df, source).write.mode("ignore").option("ignoreNullFields", "false").json(path)
     return path
 
 

@@ -350,6 +350,7 @@ def run_pipeline(spark: SparkSession, landing: str, root: str, run_id: str | Non
     silver_progress, metrics = run_silver(spark, layout, max_files_per_trigger)
     gold_paths = refresh_gold(spark, layout, run_id)
     rows = [(run_id, *m) for m in metrics]
+    # one row per rule and run (bounded by the rule list): a single small file per run
     spark.createDataFrame(rows, METRICS_SCHEMA).coalesce(1).write.mode("append").parquet(layout.metrics)
     touch(spark, f"{layout.base}/{COMPLETE}")
     if register:
