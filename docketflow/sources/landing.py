@@ -28,17 +28,20 @@ def to_landing_shape(df: DataFrame, source: str) -> DataFrame:
     return df.select(*out)
 
 
-def land_json_batch(df: DataFrame, landing: str, source: str, files: int | None = None) -> str:
+def land_json_batch(df: DataFrame, landing: str, source: str, files: int | None = None,
+                    max_records_per_file: int = 1_000_000) -> str:
     """Append one batch of JSON-lines files (explicit nulls kept) under ``landing/source``.
 
-    ``files`` fixes the number of files (round-robin repartition); by default the
-    input partitioning is kept, which is the cheaper choice for large batches.
+    ``files`` fixes the number of files (round-robin repartition, for small test
+    batches); by default the input partitioning is kept -- no shuffle, one writer per
+    partition -- and ``max_records_per_file`` caps file size without a shuffle.
     """
     out = to_landing_shape(df, source)
     if files:
         out = out.repartition(files)
     path = f"{landing.rstrip('/')}/{source}"
-    out.write.mode("append").option("ignoreNullFields", "false").json(path)
+    (out.write.mode("append").option("ignoreNullFields", "false")
+     .option("maxRecordsPerFile", str(max_records_per_file)).json(path))
     return path
 
 

@@ -37,7 +37,6 @@ WAVE_CUTOFFS = {
     "time_entries": ("date", dt.date(1998, 1, 1)),
     "doc_audit": ("timestamp", dt.datetime(2024, 1, 16)),
 }
-FILES_PER_SOURCE = 5
 
 
 def _wave(df: DataFrame, source: str, wave: int | None) -> DataFrame:
@@ -48,12 +47,17 @@ def _wave(df: DataFrame, source: str, wave: int | None) -> DataFrame:
     return df.filter(early if wave == 1 else ~early)
 
 
-def land_standin(spark: SparkSession, sf: str, landing: str, wave: int | None = None) -> None:
-    """Land the dimension once and the fact sources (optionally one arrival wave) as JSON-lines."""
+def land_standin(spark: SparkSession, sf: str, landing: str, wave: int | None = None,
+                 files_per_source: int | None = None) -> None:
+    """Land the dimension once and the fact sources (optionally one arrival wave) as JSON-lines.
+
+    By default each source keeps its natural partitioning (file count grows with the
+    data); ``files_per_source`` forces a fixed count, for small test batches.
+    """
     land_master_once(standin_source(spark, sf, "matters_master", lineage=False), landing)
     for source in ("matters", "time_entries", "doc_audit"):
         df = _wave(standin_source(spark, sf, source, lineage=False), source, wave)
-        land_json_batch(df, landing, source, files=FILES_PER_SOURCE)
+        land_json_batch(df, landing, source, files=files_per_source)
 
 
 def _drop_lineage(df: DataFrame) -> DataFrame:
@@ -81,8 +85,7 @@ def rows_per_source_file(spark: SparkSession, sf: str) -> DataFrame:
 
 def land_json_batch_query(spark: SparkSession, sf: str) -> DataFrame:
     landing = f"{new_work_dir(spark, 'land')}/landing"
-    land_json_batch(standin_source(spark, sf, "time_entries", lineage=False), landing, "time_entries",
-                    files=FILES_PER_SOURCE)
+    land_json_batch(standin_source(spark, sf, "time_entries", lineage=False), landing, "time_entries")
     return spark.read.schema(RAW_SCHEMAS["time_entries"]).json(f"{landing}/time_entries")
 
 

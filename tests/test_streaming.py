@@ -172,7 +172,7 @@ def test_bounded_micro_batches_give_same_result(spark):
     from docketflow.streaming.registry import land_standin
 
     work = new_work_dir(spark, "bounded")
-    land_standin(spark, SF0001, f"{work}/landing")
+    land_standin(spark, SF0001, f"{work}/landing", files_per_source=5)
     one = run_pipeline(spark, f"{work}/landing", f"{work}/one", register=False)
     many = run_pipeline(spark, f"{work}/landing", f"{work}/many", register=False, max_files_per_trigger=1)
     assert sorted(one.metrics, key=lambda r: r[1:3]) != [] and \
