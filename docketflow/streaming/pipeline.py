@@ -228,12 +228,22 @@ def read_silver(spark: SparkSession, layout: Layout, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path).select(*SILVER_COLUMNS[name])
 
 
-def read_gold(spark: SparkSession, layout: Layout, name: str) -> DataFrame:
-    base = layout.table("gold", name)
-    version = latest_child(spark, base, "v=", marker=COMMITTED)
-    if version is None:
-        raise FileNotFoundError(f"no version of {name} under {base}")
-    return spark.read.parquet(f"{base}/{version}").select(*GOLD_COLUMNS[name])
+def committed_gold_version(spark: SparkSession, layout: Layout) -> str:
+    """Newest refresh (``v=<run_id>``) whose every gold table committed: one consistent snapshot."""
+    common = None
+    for name in GOLD_COLUMNS:
+        base = layout.table("gold", name)
+        done = {v for v in list_children(spark, base)
+                if v.startswith("v=") and path_exists(spark, f"{base}/{v}/{COMMITTED}")}
+        common = done if common is None else common & done
+    if not common:
+        raise FileNotFoundError(f"no complete gold refresh under {layout.base}")
+    return max(common)
+
+
+def read_gold(spark: SparkSession, layout: Layout, name: str, version: str | None = None) -> DataFrame:
+    version = version or committed_gold_version(spark, layout)
+    return spark.read.parquet(f"{layout.table('gold', name)}/{version}").select(*GOLD_COLUMNS[name])
 
 
 def read_bronze(spark: SparkSession, layout: Layout, name: str) -> DataFrame:

@@ -149,6 +149,13 @@ def test_readers_skip_uncommitted_versions_and_generations(spark, landed):
     # a newer gold version without the committer's _SUCCESS marker (e.g. a crashed refresh)
     os.makedirs(f"{layout.table('gold', 'gold_matter_summary')}/v=99999999T999999999999/_temporary")
     assert read_layer_table(spark, out, "gold_matter_summary").count() == good
+    # a refresh that committed only some tables is not read either (snapshot across gold tables)
+    before = read_layer_table(spark, out, "gold_matter_lifecycle").count()
+    partial = f"{layout.table('gold', 'gold_matter_lifecycle')}/v=99999999T999999999999"
+    os.makedirs(partial)
+    open(f"{partial}/_SUCCESS", "w").close()  # committed, but empty and alone in its refresh
+    assert read_layer_table(spark, out, "gold_matter_lifecycle").count() == before
+    assert read_layer_table(spark, out, "gold_matter_summary").count() == good
     # a newer generation that never completed (e.g. a crashed full refresh)
     os.makedirs(f"{out}/gen=99999999T999999999999/silver")
     assert readable_layout(spark, out).generation == layout.generation
