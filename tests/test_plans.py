@@ -27,3 +27,28 @@ def test_scan_prunes_columns(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     # lineitem columns needed by the time-entry mapping only; l_discount/l_tax/l_partkey/l_linestatus never read
     assert "l_discount" not in plan and "l_tax" not in plan and "l_partkey" not in plan
+
+
+def _exchange_keys(df) -> list[set[str]]:
+    """Column names of every hash-partitioning exchange in the executed plan."""
+    import re
+
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    out = []
+    for m in re.finditer(r"Exchange hashpartitioning\(([^)]*(?:\([^)]*\))?[^)]*)\)", plan):
+        out.append({re.sub(r"#\d+L?$", "", k.strip()) for k in m.group(1).split(",")})
+    return out
+
+
+@pytest.mark.parametrize("key,distinct_col,group", [
+    ("gold_billable_hours_by_matter_month", "entry_id", "matter_id"),
+    ("gold_billable_hours_by_matter_month", "user_id", "matter_id"),
+    ("gold_doc_activity_by_matter", "doc_id", "matter_id"),
+    ("gold_doc_activity_by_matter", "user_id", "matter_id"),
+    ("summary_revenue", "user_id", "matter_id"),
+    ("summary_doc_activity", "doc_id", "matter_id"),
+])
+def test_hot_key_rows_spread_by_distinct_column(spark, key, distinct_col, group):
+    """A matter with a third of all rows is shuffled on (matter, distinct column) first, never on matter alone."""
+    keys = _exchange_keys(BATCH_QUERIES[key](spark, SF001))
+    assert any(group in k and distinct_col in k for k in keys), keys
