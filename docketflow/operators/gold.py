@@ -171,12 +171,5 @@ def matter_summary(matters: DataFrame, time_entries: DataFrame, matter_events: D
     )
 
 
-GOLD_BUILDERS = {
-    "gold_billable_hours_by_matter_month": billable_hours_by_matter_month,
-    "gold_doc_activity_by_matter": doc_activity_by_matter,
-    "gold_matter_lifecycle": matter_lifecycle,
-}
-
-
 def contract(df: DataFrame, table: str) -> DataFrame:
     return df.select(*GOLD_COLUMNS[table])

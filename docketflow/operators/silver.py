@@ -85,7 +85,6 @@ class SilverSpec:
     source: str
     shape: Callable[[DataFrame], DataFrame]
     rules: tuple[Expectation, ...]
-    date_column: str | None = None
 
     def typed(self, raw: DataFrame) -> DataFrame:
         return self.shape(raw).select(*SILVER_COLUMNS[self.dataset])
@@ -108,7 +107,6 @@ SILVER: dict[str, SilverSpec] = {
                 Expectation("has_matter_id", "matter_id IS NOT NULL AND matter_id != ''", DROP),
                 Expectation("has_event_id", "event_id IS NOT NULL", DROP),
             ),
-            "event_date",
         ),
         SilverSpec(
             "silver_time_entries", "time_entries", shape_time_entries,
@@ -117,7 +115,6 @@ SILVER: dict[str, SilverSpec] = {
                 Expectation("has_user", "user_id IS NOT NULL", DROP),
                 Expectation("has_matter", "matter_id IS NOT NULL", DROP),
             ),
-            "entry_date",
         ),
         SilverSpec(
             "silver_doc_audit", "doc_audit", shape_doc_audit,
@@ -125,7 +122,6 @@ SILVER: dict[str, SilverSpec] = {
                 Expectation("valid_action", in_list_sql("action", VALID_DOC_ACTIONS), DROP),
                 Expectation("has_doc", "doc_id IS NOT NULL", DROP),
             ),
-            "audit_date",
         ),
         SilverSpec(
             "silver_matters_master", "matters_master", shape_matters_master,
