@@ -183,26 +183,6 @@ def read_bronze_stream(spark: SparkSession, layout: Layout, source: str,
     return reader.parquet(layout.table("bronze", bronze_name))
 
 
-def run_silver(spark: SparkSession, layout: Layout, max_files_per_trigger: int | None = None) -> tuple[dict, list[tuple]]:
-    queries, observed_names = {}, {}
-    for source, (bronze_name, silver_name) in SOURCES.items():
-        if not path_exists(spark, layout.table("bronze", bronze_name)):
-            continue
-        spec = SILVER_BY_SOURCE[source]
-        obs = f"dq_{silver_name}"
-        df = spec.build_observed(read_bronze_stream(spark, layout, source, max_files_per_trigger), obs)
-        queries[silver_name] = _sink(df, layout.table("silver", silver_name), layout.checkpoint("silver", silver_name),
-                                     f"{silver_name}_{layout.generation}")
-        observed_names[silver_name] = obs
-    progress = _await_all(queries)
-    metrics = []
-    for name, q_progress in progress.items():
-        observed = [p.observedMetrics[observed_names[name]].asDict()
-                    for p in q_progress if observed_names[name] in (p.observedMetrics or {})]
-        metrics.extend(metrics_rows(name, SILVER[name].rules, observed))
-    return progress, metrics
-
-
 def _await_all(queries: dict) -> dict:
     """Wait for every availableNow query; return each query's progress list."""
     out, errors = {}, []
@@ -343,23 +323,47 @@ def _rows(progress: list) -> int:
     return int(sum(p.numInputRows for p in progress))
 
 
+def _run_source(spark: SparkSession, landing: str, layout: Layout, source: str,
+                max_files_per_trigger: int | None) -> tuple[list, list, list[tuple]]:
+    """bronze then silver for one source; returns (bronze progress, silver progress, metrics)."""
+    bronze_name, silver_name = SOURCES[source]
+    bronze = _sink(bronze_stream(spark, landing, source, max_files_per_trigger),
+                   layout.table("bronze", bronze_name), layout.checkpoint("bronze", bronze_name),
+                   f"{bronze_name}_{layout.generation}")
+    bronze_progress = _await_all({bronze_name: bronze})[bronze_name]
+    spec = SILVER_BY_SOURCE[source]
+    obs = f"dq_{silver_name}"
+    silver = _sink(spec.build_observed(read_bronze_stream(spark, layout, source, max_files_per_trigger), obs),
+                   layout.table("silver", silver_name), layout.checkpoint("silver", silver_name),
+                   f"{silver_name}_{layout.generation}")
+    silver_progress = _await_all({silver_name: silver})[silver_name]
+    observed = [p.observedMetrics[obs].asDict() for p in silver_progress if obs in (p.observedMetrics or {})]
+    return bronze_progress, silver_progress, metrics_rows(silver_name, spec.rules, observed)
+
+
 def run_pipeline(spark: SparkSession, landing: str, root: str, run_id: str | None = None,
                  full_refresh: bool = False, max_files_per_trigger: int | None = None,
                  register: bool = True) -> RunResult:
-    """bronze -> silver -> gold -> metrics, in that order; each stream runs to completion.
+    """bronze -> silver per source, then gold, then metrics; each stream runs to completion.
 
-    ``max_files_per_trigger`` bounds each micro-batch (bronze and silver) so a large
-    backlog is consumed in several bounded batches rather than one huge one; the
-    expectation counters are summed over all batches of the run.
+    The four sources run side by side, each chaining its silver stream right after
+    its own bronze stream, so small sources do not wait for the largest one; gold
+    starts when every silver stream has finished.  ``max_files_per_trigger`` bounds
+    each micro-batch (bronze and silver) so a large backlog is consumed in several
+    bounded batches; the expectation counters are summed over all batches of the run.
     """
+    from concurrent.futures import ThreadPoolExecutor
+
     run_id = run_id or new_run_id()
     # recentProgress must hold every micro-batch of an availableNow run to sum its counters
     spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "100000")
     layout = current_layout(spark, root, new_generation=full_refresh, run_id=run_id)
-    bronze_progress = run_bronze(spark, landing, layout, max_files_per_trigger)
-    silver_progress, metrics = run_silver(spark, layout, max_files_per_trigger)
+    sources = [s for s in SOURCES if path_exists(spark, f"{landing.rstrip('/')}/{s}")]
+    with ThreadPoolExecutor(max_workers=max(1, len(sources))) as pool:
+        futures = {s: pool.submit(_run_source, spark, landing, layout, s, max_files_per_trigger) for s in sources}
+        done = {s: f.result() for s, f in futures.items()}
     gold_paths = refresh_gold(spark, layout, run_id)
-    rows = [(run_id, *m) for m in metrics]
+    rows = [(run_id, *m) for s in sources for m in done[s][2]]
     # one row per rule and run (bounded by the rule list): a single small file per run
     spark.createDataFrame(rows, METRICS_SCHEMA).coalesce(1).write.mode("append").parquet(layout.metrics)
     touch(spark, f"{layout.base}/{COMPLETE}")
@@ -367,8 +371,8 @@ def run_pipeline(spark: SparkSession, landing: str, root: str, run_id: str | Non
         register_tables(spark, layout, gold_paths)
     return RunResult(
         run_id, layout, gold_paths, rows,
-        {k: _rows(v) for k, v in bronze_progress.items()},
-        {k: _rows(v) for k, v in silver_progress.items()},
+        {SOURCES[s][0]: _rows(done[s][0]) for s in sources},
+        {SOURCES[s][1]: _rows(done[s][1]) for s in sources},
     )
 
 
