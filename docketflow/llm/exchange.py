@@ -101,9 +101,14 @@ def sizes(docs: DataFrame, text: str) -> tuple[int, int]:
     return max(1, -(-total // GROUP_BYTES)), max(1, -(-total // (6 * TALLY_KEYS)))
 
 
-def grouped(docs: DataFrame, id_col: str, text_col: str, groups: int) -> DataFrame:
-    """Columns grp, id, text and carried (the whole row), dealt evenly over ``groups`` by a hash of the row."""
-    key = F.xxhash64(F.col(id_col).cast("string"), F.octet_length(F.col(text_col)))
+def row_key(i, more):
+    """Hash of a row's id and of something about its text, so that null or repeated ids don't meet in one group."""
+    return F.xxhash64(i.cast("string"), more)
+
+
+def grouped(docs: DataFrame, id_col: str, text_col: str, groups: int, more=None) -> DataFrame:
+    """Columns grp, id, text and carried (the other columns), dealt evenly over ``groups`` by ``row_key``."""
+    key = row_key(F.col(id_col), F.octet_length(F.col(text_col)) if more is None else more)
     return docs.select(
         F.pmod(key, F.lit(groups)).cast("int").alias("grp"), F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"),
         F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in (id_col, text_col)] or [F.lit(None).alias("none")]).alias("carried"),

@@ -6,12 +6,35 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from docketflow.llm.decontamination import op10_decontamination
+from docketflow.llm.html_extract import op6_html_extraction
+from docketflow.llm.minhash_dedup import op9_minhash_dedup
+from docketflow.llm.packing import op8_packing
+from docketflow.llm.quality import op3_quality_classifier
+from docketflow.llm.sharding import op7_sharding
 from docketflow.llm.substring_dedup import op1_substring_dedup
+from docketflow.llm.topk_search import OP2_SQL, op2_topk_search
+from docketflow.llm.url_filter import OP4_SQL, op4_url_filter
+from docketflow.llm.warc import OP5_SQL, op5_warc
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_substring_dedup": op1_substring_dedup}
+    import corpus_pipeline
+
+    return {
+        "op1_substring_dedup": op1_substring_dedup,
+        "op2_topk_search": op2_topk_search,
+        "op3_quality_classifier": op3_quality_classifier,
+        "op4_url_filter": op4_url_filter,
+        "op5_warc": op5_warc,
+        "op6_html_extraction": op6_html_extraction,
+        "op7_sharding": op7_sharding,
+        "op8_packing": op8_packing,
+        "op9_minhash_dedup": op9_minhash_dedup,
+        "op10_decontamination": op10_decontamination,
+        "pipeline": corpus_pipeline.run,
+    }
 
 
 def llm_oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_topk_search": OP2_SQL, "op4_url_filter": OP4_SQL, "op5_warc": OP5_SQL}
