@@ -1,6 +1,6 @@
 """Operator 3: a quality classifier by co-training of two views.
 
-The content view sees a text's words: presence of words, word beginnings and marks that
+The content view sees a text's words: words, frequent word beginnings and marks that
 separate the labels, and a few shape measures.  The metadata view sees what is known
 about the page without reading it: source, language, length.  Both are logistic
 regressions.  They start from the labelled rows; in each round a view labels the rows of
@@ -25,20 +25,34 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-FIT, POOL, WORDS, ROUNDS, SHARE, FEATURES, META = 12_000, 6_000, 4_000, 3, 0.05, 1500, 256
+FIT, POOL, WORDS, ROUNDS, SHARE, FEATURES, META = 12_000, 4_000, 4_000, 3, 0.05, 400, 256
+#: Lengths of word beginnings.
+STARTS = (4, 5, 6)
 TOKEN = re.compile(r"[^\W_]+|[^\w\s]{2,}|\|")
 
 
 def word_set(text: str | None) -> set[str]:
-    """Words, word beginnings and runs of marks of a text, each once."""
-    found = set(TOKEN.findall(text.lower())) if text else set()
-    return found | {f"{w[:5]}~" for w in found if len(w) > 5 and w.isalpha()}
+    """Words and runs of marks of a text, and beginnings of words that are frequent in it, with how frequent they are."""
+    counts = Counter(TOKEN.findall(text.lower())) if text else Counter()
+    found, starts, total = set(counts), Counter(), sum(counts.values())
+    for word, n in counts.items():
+        if word.isalpha():
+            for size in STARTS:
+                if len(word) > size:
+                    starts[word[:size]] += n
+    for start, n in starts.items():
+        if n > 1:
+            found.add(f"{start}~{min(4, n.bit_length())}")
+            if n * 200 >= total:
+                found.add(f"{start}@{min(5, (n * 200 // total).bit_length())}")
+    return found
 
 
 def shape(text: str | None) -> list[float]:
@@ -59,19 +73,23 @@ def meta_row(source, lang, n_chars) -> list[int]:
     return sorted({zlib.crc32(t.encode()) % META for t in (f"s{source}", f"l{lang}", f"n{size}", f"l{lang}n{size}")})
 
 
-def logistic(rows: np.ndarray, cols: np.ndarray, values: np.ndarray, y: np.ndarray, weight: np.ndarray, width: int, l2: float, steps: int = 250) -> np.ndarray:
+def logistic(rows: np.ndarray, cols: np.ndarray, values: np.ndarray, y: np.ndarray, weight: np.ndarray, width: int, l2: float, steps: int = 200) -> np.ndarray:
     """Weights (the last is the intercept) of a logistic regression on sparse rows, by accelerated gradient steps."""
-    n = len(y)
-    size = np.bincount(rows, weights=values**2, minlength=n) + 1
-    rate = 1 / (0.25 * (size * weight).sum() / max(1e-9, weight.sum()) + l2)
+    n, total = len(y), max(1e-9, weight.sum())
+    v = np.ones(width + 1)
+    for _ in range(20):  # largest curvature, by power iteration
+        z = (np.bincount(rows, weights=values * v[cols], minlength=n) + v[-1]) * weight / total
+        v = np.append(np.bincount(cols, weights=values * z[rows], minlength=width), z.sum())
+        curve = np.linalg.norm(v)
+        v /= max(1e-12, curve)
+    rate = 1 / (0.3 * curve + l2)
     beta, look, t = np.zeros(width + 1), np.zeros(width + 1), 1.0
-    total = max(1e-9, weight.sum())
     for _ in range(steps):
         z = np.bincount(rows, weights=values * look[cols], minlength=n) + look[-1]
         miss = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y) * weight / total
         grad = np.append(np.bincount(cols, weights=values * miss[rows], minlength=width), miss.sum())
         grad[:-1] += l2 * look[:-1]
-        after = look - rate * 4 * grad
+        after = look - rate * grad
         t_next = (1 + np.sqrt(1 + 4 * t * t)) / 2
         look = after + (t - 1) / t_next * (after - beta)
         beta, t = after, t_next
@@ -85,14 +103,20 @@ def margins(rows, cols, values, beta, n) -> np.ndarray:
 def platt(margin: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     """Scale and shift that calibrate margins to probabilities."""
     hi, lo = (y.sum() + 1) / (y.sum() + 2), 1 / (len(y) - y.sum() + 2)
-    target = np.where(y > 0, hi, lo)
-    a, b = 1.0, 0.0
-    for _ in range(50):  # Newton
-        p = 1 / (1 + np.exp(-np.clip(a * margin + b, -30, 30)))
-        g = np.array([((p - target) * margin).sum() + 1e-3 * a, (p - target).sum()])
-        s = p * (1 - p) + 1e-9
-        h = np.array([[(s * margin**2).sum() + 1e-3, (s * margin).sum()], [(s * margin).sum(), s.sum()]])
-        step = np.linalg.solve(h, g)
+    target, x = np.where(y > 0, hi, lo), np.clip(margin, -20, 20)
+
+    def loss(a, b):
+        z = a * x + b
+        return (np.logaddexp(0, z) - target * z).sum() + 0.05 * a * a
+
+    a, b, step = 1.0, 0.0, np.ones(2)
+    for _ in range(50):  # Newton steps, halved until they help
+        p = 1 / (1 + np.exp(-np.clip(a * x + b, -30, 30)))
+        g = np.array([((p - target) * x).sum() + 0.1 * a, (p - target).sum()])
+        w = p * (1 - p) + 1e-9
+        step = np.linalg.solve(np.array([[(w * x**2).sum() + 0.1, (w * x).sum()], [(w * x).sum(), w.sum() + 1e-6]]), g)
+        while abs(step).max() > 1e-8 and loss(a - step[0], b - step[1]) > loss(a, b):
+            step /= 2
         a, b = a - step[0], b - step[1]
         if abs(step).max() < 1e-8:
             break
