@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from docketflow.llm import exchange as X
 from docketflow.llm import kernels as K
 
 Q, BUDGET = 12, 0.05
@@ -152,12 +153,11 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     rest = [F.col(f"`{c}`") for c in docs.columns if c not in (id_col, text_col)]
     out = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.struct(*rest or [F.lit(None).alias("none")]).alias("carried"))
     bench = benchmark.select(F.col(item_col).alias("item_id"), F.col(item_text).cast("string").alias("text")).where(F.length("text") > 0)
-    item_type = bench.schema["item_id"].dataType
-    leak = f"array<struct<item_id:{item_type.simpleString()},start:long,end:long,edits:long>>"
+    leak = f"array<struct<item_id:{bench.schema['item_id'].dataType.simpleString()},start:long,end:long,edits:long>>"
     out = out.withColumn("leaks", F.array().cast(leak))
-    shape = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in out.schema)
+    shape, carried = X.shape(out, out.columns), X.arrow(out, "carried")
     parts = max(1, -(-(bench.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // PART_BYTES))
-    leak_arrow = pa.list_(pa.struct([("item_id", _arrow(item_type)), ("start", pa.int64()), ("end", pa.int64()), ("edits", pa.int64())]))
+    leak_arrow = X.arrow(out, "leaks")
     for part in range(parts):  # each of bounded size, whatever the benchmark's
         some = bench.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == part).collect()
         shared = docs.sparkSession.sparkContext.broadcast([(r[0], r[1]) for r in sorted(some, key=lambda r: (r[0] is None, r[0] or 0, r[1]))])
@@ -171,18 +171,12 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
                     texts = [normal(t) for t in some.column(1).to_pylist()]
                     before = some.column(3).to_pylist()
                     leaks = [(b or []) + [{"item_id": items.ids[i], "start": s, "end": e, "edits": n} for i, s, e, n in f] for b, f in zip(before, regions(items, texts), strict=True)]
-                    yield pa.RecordBatch.from_arrays([*some.columns[:3], pa.array(leaks, leak_arrow)], ["id", "text", "carried", "leaks"])
+                    yield pa.RecordBatch.from_arrays([*some.columns[:2], X.same_rows(some.column(2), carried), pa.array(leaks, leak_arrow)], ["id", "text", "carried", "leaks"])
 
         out = out.mapInArrow(search, shape)
     return out
 
 
-def _arrow(kind):
-    from pyspark.sql.pandas.types import to_arrow_type
-
-    return to_arrow_type(kind)
-
-
 def op10_decontamination(spark, sf_dir: str) -> DataFrame:
     """Query over the whole of ``documents`` and ``benchmark``: doc_id, item_id, region_start, region_end, edits for every item that a document holds."""
     docs, bench = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "benchmark"))

@@ -16,6 +16,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 BLOBS = "grp int, bucket int, n long, keys binary, extra binary"
 REPLIES = "grp int, bucket int, body binary"
@@ -101,6 +103,37 @@ def sizes(docs: DataFrame, text: str) -> tuple[int, int]:
     return max(1, -(-total // GROUP_BYTES)), max(1, -(-total // (6 * TALLY_KEYS)))
 
 
+def shape(df: DataFrame, columns: list[str], more: str = "") -> T.StructType:
+    """Schema of some columns of ``df`` as they are, all nullable, and of further columns given as DDL."""
+
+    def free(kind: T.DataType) -> T.DataType:
+        if isinstance(kind, T.StructType):
+            return T.StructType([T.StructField(f.name, free(f.dataType), True) for f in kind])
+        if isinstance(kind, T.ArrayType):
+            return T.ArrayType(free(kind.elementType), True)
+        if isinstance(kind, T.MapType):
+            return T.MapType(free(kind.keyType), free(kind.valueType), True)
+        return kind
+
+    return T.StructType([T.StructField(c, free(df.schema[c].dataType), True) for c in columns] + (T.StructType.fromDDL(more).fields if more else []))
+
+
+def arrow(df: DataFrame, column: str) -> pa.DataType:
+    return to_arrow_type(shape(df, [column])[0].dataType)
+
+
+def same_rows(column, kind):
+    """An Arrow column (or chunked column) with the nullability that the result's schema declares."""
+    if column.type == kind:
+        return column
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks() if column.num_chunks else pa.array([], column.type)
+    if pa.types.is_struct(kind):
+        fields = [same_rows(c, f.type) for c, f in zip(column.flatten(), kind, strict=True)]
+        return pa.StructArray.from_arrays(fields, fields=list(kind), mask=column.is_null()) if len(kind) else column
+    return column.cast(kind)
+
+
 def row_key(i, more):
     """Hash of a row's id and of something about its text, so that null or repeated ids don't meet in one group."""
     return F.xxhash64(i.cast("string"), more)

@@ -2,10 +2,10 @@
 
 A page's text nodes are grouped by their root-to-leaf tag path.  Each path has the mean
 text length and the mean punctuation of its nodes; both are smoothed over the paths in
-page order and fused into one score, damped by the share of link text.  The container
-is the deepest element path that still holds most of the page's score; of the paths
-inside it those above the threshold are content, and with a path all of its nodes, short
-ones too.  Elements that can't be content by their name, role, class or id take no part.
+page order and fused into one score on a log scale, damped by the share of link text.
+The container is the deepest element path that still holds most of the page's free text
+and punctuation; of the paths inside it those above the threshold are content, and with
+a path all of its nodes, short ones too.  Elements that can't be content by their name, role, class or id take no part.
 
 Defined cases: a null or empty page, or one without any content, gives the empty text;
 unclosed and misnested tags end with the element that ends around them; text outside
@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from docketflow.llm import exchange as X
+
 TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*+>|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>", re.S)
 ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 HIDDEN = re.compile(r"""(?:^|\s)hidden(?=[\s=/]|$)|display\s*:\s*none""", re.I)
@@ -38,7 +40,7 @@ APART_WORDS = frozenset(
 CLOSED_BY = {"p": frozenset("p div article section main header footer nav aside form ul ol dl table pre blockquote h1 h2 h3 h4 h5 h6 hr address figure".split()), "li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd": frozenset(["dt", "dd"]), "tr": frozenset(["tr"]), "td": frozenset(["td", "th", "tr"]), "th": frozenset(["td", "th", "tr"]), "option": frozenset(["option"])}
 PUNCTUATION = re.compile(r"[.,;:!?…、。，]")
 KERNEL = np.array([0.06, 0.24, 0.40, 0.24, 0.06])
-MOST, THRESHOLD, LINKS = 0.5, 0.02, 0.75
+MOST, THRESHOLD, LINKS = 0.5, 0.1, 0.75
 
 
 def apart(name: str, attributes: str, inside_article: bool) -> bool:
@@ -120,8 +122,9 @@ def main_text(html: str | None) -> str:
         return ""
     a = np.array(stats)
     length, marks = (np.convolve(np.pad(x / a[:, 2], 2, mode="edge"), KERNEL, "valid") for x in (a[:, 0], a[:, 1]))
-    score = length * (1 + marks) * (1 - a[:, 3] / a[:, 0])
-    weight = score * a[:, 2]
+    free = 1 - a[:, 3] / a[:, 0]
+    score = (np.log1p(length) + np.log1p(marks)) * free
+    weight = (a[:, 0] + a[:, 1]) * free
     held: dict[tuple, float] = {}
     for path, k in order.items():
         for depth in range(len(path) + 1):
@@ -150,7 +153,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", k
     """One row per page: id, the columns of ``keep``, text, n_chars; a map over the pages, without a shuffle."""
     src = pages.select(id_col, *keep, F.col(html_col).cast("string").alias("_html"))
     names = [id_col, *keep, "text", "n_chars"]
-    shape = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema[:-1]) + ", text string, n_chars long"
+    shape = X.shape(src, [id_col, *keep], "text string, n_chars long")
 
     def run(batches):
         for batch in batches:

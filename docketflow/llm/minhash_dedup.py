@@ -313,6 +313,7 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     kept = classes.where("node is not null").groupBy("class_id").agg(F.min(F.when(F.col("id").eqNullSafe(F.col("class_id")), F.col("node"))).alias("node"))
     groups, _ = X.sizes(docs, text_col)
     base = X.grouped(docs, id_col, text_col, groups, F.md5(F.col(text_col).cast("string")))
+    carried = X.arrow(base, "carried")
     keep = kept.select(F.pmod(X.row_key(F.col("class_id"), F.lower(F.hex("node"))), F.lit(groups)).cast("int").alias("grp"), F.col("class_id").alias("rid"), "node")
 
     def pick(table: pa.Table, side: pa.Table) -> pa.Table:
@@ -323,10 +324,10 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
             if text is None or key in wanted:
                 wanted.discard(key)
                 rows.append(k)
-        return table.select(["id", "text", "carried"]).take(pa.array(rows, pa.int64()))
+        some = table.select(["id", "text", "carried"]).take(pa.array(rows, pa.int64()))
+        return some.set_column(2, "carried", X.same_rows(some["carried"], carried))
 
-    shape = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in base.schema if f.name != "grp")
-    return base.groupBy("grp").cogroup(keep.groupBy("grp")).applyInArrow(pick, shape)
+    return base.groupBy("grp").cogroup(keep.groupBy("grp")).applyInArrow(pick, X.shape(base, ["id", "text", "carried"]))
 
 
 def op9_minhash_dedup(spark, sf_dir: str) -> DataFrame:

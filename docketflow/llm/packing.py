@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from docketflow.llm import exchange as X
 from docketflow.llm import kernels as K
 from docketflow.llm.components import saved
 
@@ -130,7 +131,6 @@ def cuts(n: int, capacity: int = CAPACITY, slack: float = SLACK) -> list[int]:
 def pieces(docs: DataFrame, id_col: str, text_col: str, tokenizer: str, capacity: int, keep_ids: bool) -> DataFrame:
     """One row per piece: id, start, length, ids_crc32, doc_tokens, k (its class)[, ids]."""
     src = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    id_type = src.schema["id"].dataType.simpleString()
     names = ["start", "length", "ids_crc32", "doc_tokens", "k"]
 
     def cut(batches):
@@ -153,7 +153,7 @@ def pieces(docs: DataFrame, id_col: str, text_col: str, tokenizer: str, capacity
                 cols = [batch.column(0).take(pa.array(row, pa.int64())), *[pa.array(c, pa.int64()) for c in zip(*found, strict=True)]]
                 yield pa.RecordBatch.from_arrays(cols + ([pa.array(kept, pa.list_(pa.int32()))] if keep_ids else []), ["id", *names] + ["ids"] * keep_ids)
 
-    return src.mapInArrow(cut, f"id {id_type}, " + ", ".join(f"{n} long" for n in names) + ", ids array<int>" * keep_ids)
+    return src.mapInArrow(cut, X.shape(src, ["id"], ", ".join(f"{n} long" for n in names) + ", ids array<int>" * keep_ids))
 
 
 def _first_fit(capacity: int):
@@ -192,7 +192,7 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
     placed = ranked.where(whole).select(*cols, (F.col("base") + F.floor(F.col("rank") / F.col("k"))).alias("sequence_id"), "rank")
     # fewer than k pieces of each class: at most capacity * (ln(capacity) + 1) in all
     rest = ranked.where(~whole).select(*cols, F.lit(0).alias("one"))
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rest.schema) + ", bin long, rank long"
+    schema = X.shape(rest, [c for c in rest.columns if c != "rank"], "bin long, rank long")
     packed = rest.groupBy("one").applyInPandas(_first_fit(capacity), schema)
     base = full.agg(F.sum("bins")).first()[0] or 0
     last = packed.select(*cols, (F.lit(base) + F.col("bin")).alias("sequence_id"), "rank")

@@ -12,7 +12,7 @@ from docketflow.llm.minhash_dedup import op9_minhash_dedup
 from docketflow.llm.packing import op8_packing
 from docketflow.llm.quality import op3_quality_classifier
 from docketflow.llm.sharding import op7_sharding
-from docketflow.llm.substring_dedup import op1_substring_dedup
+from docketflow.llm.substring_dedup import OP1_SQL, op1_substring_dedup
 from docketflow.llm.topk_search import OP2_SQL, op2_topk_search
 from docketflow.llm.url_filter import OP4_SQL, op4_url_filter
 from docketflow.llm.warc import OP5_SQL, op5_warc
@@ -37,4 +37,4 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def llm_oracle_sql() -> dict[str, str]:
-    return {"op2_topk_search": OP2_SQL, "op4_url_filter": OP4_SQL, "op5_warc": OP5_SQL}
+    return {"op1_substring_dedup": OP1_SQL, "op2_topk_search": OP2_SQL, "op4_url_filter": OP4_SQL, "op5_warc": OP5_SQL}

@@ -1,6 +1,6 @@
 """Operator 1: exact substring dedup over fixed-block anchors.
 
-A repeat of at least ``window`` words contains one whole block of ``window // 2 + 1``
+A repeat of at least ``window`` words contains one whole block of ``(window + 1) // 2``
 words aligned to either copy's own grid.  So
 
 1. every document's non-overlapping blocks are the index, and the rolling windows of
@@ -114,10 +114,10 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ``spans`` are the maximal repeated word ranges [start, end) that were cut; ``text``
     keeps all other bytes of the text as they were.
     """
-    block = window // 2 + 1
+    block = (window + 1) // 2
     groups, buckets = X.sizes(docs, text_col)
     base = X.grouped(docs, id_col, text_col, groups)
-    id_type, carried = base.schema["id"].dataType.simpleString(), base.schema["carried"].dataType.simpleString()
+    carried = X.arrow(base, "carried")
 
     def local(text):
         found = list(_anchors(text, block, lambda lo, hi, part, a, b, rows, h, at, keys, p: (keys, (_own_index(rows, at) % block == 0).astype(np.uint8))))
@@ -152,7 +152,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     def cut(table: pa.Table, both: pa.Table) -> pa.Table:
         if not table.num_rows:
-            return pa.table([table["id"], table["text"], table["carried"], *[pa.array([], t) for _, t in out_arrow]], names=["id", "text", "carried", *[n for n, _ in out_arrow]])
+            return pa.table([table["id"], table["text"], X.same_rows(table["carried"], carried), *[pa.array([], t) for _, t in out_arrow]], names=["id", "text", "carried", *[n for n, _ in out_arrow]])
         step = np.array(both["step"].to_pylist(), np.int64)
         found = candidates(table["text"], both.filter(pa.array(step == 1)))
         _, _, _, place = _distinct_wide(np.concatenate([f[7] for f in found]), np.concatenate([f[8] for f in found]))
@@ -192,18 +192,28 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     at = int(ends[a + y]) if a + y < b else row_end
                 kept.append(raw[at:row_end])
                 texts.append(b"".join(kept).strip(K.SPACES).decode())
-        cols = [table["id"], pa.array(texts, pa.string()), table["carried"], pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(digests, pa.string()), pa.array(spans, out_arrow[3][1])]
+        cols = [table["id"], pa.array(texts, pa.string()), X.same_rows(table["carried"], carried), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(digests, pa.string()), pa.array(spans, out_arrow[3][1])]
         return pa.table(cols, names=["id", "text", "carried", *[n for n, _ in out_arrow]])
 
     first = X.tally(base.groupBy("grp").applyInArrow(probe, X.BLOBS), _shared, "u1")
     wide = base.groupBy("grp").cogroup(first.groupBy("grp")).applyInArrow(extend, X.BLOBS)
     second = X.tally(wide, _repeated, EXTRA)
     both = first.withColumn("step", F.lit(1)).unionByName(second.withColumn("step", F.lit(2)))
-    out = f"id {id_type}, text string, carried {carried}, n_words long, n_removed long, kept_sha256 string, spans array<struct<start:long,end:long>>"
+    out = X.shape(base, ["id", "text", "carried"], "n_words long, n_removed long, kept_sha256 string, spans array<struct<start:long,end:long>>")
     return base.groupBy("grp").cogroup(both.groupBy("grp")).applyInArrow(cut, out)
 
 
 def op1_substring_dedup(spark, sf_dir: str) -> DataFrame:
-    """Query over the whole of ``documents``: doc_id, n_words, n_removed, kept_sha256, spans."""
+    """Query over the whole of ``documents``: doc_id, n_words, n_removed, kept_sha256."""
     found = substring_dedup(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
-    return found.select(F.col("id").alias("doc_id"), "n_words", "n_removed", "kept_sha256", "spans")
+    return found.select(F.col("id").alias("doc_id"), "n_words", "n_removed", "kept_sha256")
+
+
+OP1_SQL = r"""
+with d as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
+p as (select doc_id, i, md5(array_to_string(w[i : i + 34], ' ')) as s from (select doc_id, w, unnest(range(1, len(w) - 33)) as i from d where len(w) >= 35)),
+dup as (select s from p group by s having count(*) > 1),
+cov as (select distinct doc_id, unnest(range(i, i + 35)) as i from p join dup using (s)),
+k as (select doc_id, string_agg(word, ' ' order by i) as kept, count(*) as n from (select doc_id, unnest(w) as word, generate_subscripts(w, 1) as i from d) anti join cov using (doc_id, i) group by doc_id)
+select d.doc_id, cast(len(w) as bigint) as n_words, cast(len(w) - coalesce(k.n, 0) as bigint) as n_removed, sha256(coalesce(kept, '')) as kept_sha256 from d left join k using (doc_id)
+"""

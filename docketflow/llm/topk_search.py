@@ -179,9 +179,9 @@ def op2_topk_search(spark, sf_dir: str) -> DataFrame:
 
 
 OP2_SQL = """
-with v as (select vec_id, list_transform(embedding, x -> cast(floor(64 * cast(x as double)) as bigint)) as v from embeddings
-           where embedding is not null and vec_id is not null and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0),
-s as (select q.vec_id as query_id, c.vec_id, cast(list_sum(list_transform(range(1, len(q.v) + 1), i -> q.v[i] * c.v[i])) as bigint) as score
+with v as (select vec_id, list_transform(embedding, lambda x: cast(floor(64 * cast(x as double)) as bigint)) as v from embeddings
+           where embedding is not null and vec_id is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (select q.vec_id as query_id, c.vec_id, cast(list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i])) as bigint) as score
       from v q join v c on q.vec_id <> c.vec_id and len(q.v) = len(c.v) where q.vec_id % 20 = 0)
 select query_id, cast(rank as integer) as rank, vec_id, score from (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s) where rank <= 20
 """
