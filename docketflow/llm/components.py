@@ -19,19 +19,23 @@ def saved(df: DataFrame, label: str) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """(node, comp) for every node of ``edges`` (a, b): comp is the smallest node it is linked with.
 
-    Smallest-label propagation with pointer jumping; each round is a written table and
-    only a single number reaches the driver.
+    Each round maps every node to its smallest neighbour and the edges with it, so that
+    the graph shrinks to nothing; the rounds' maps are then chained.  All of them are
+    written tables, and only whether an edge is left reaches the driver.
     """
-    both = saved(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
-    labels = saved(both.groupBy("a").agg(F.min("b").alias("low")).select(F.col("a").alias("node"), F.least("a", "low").alias("comp")), "labels")
+    maps, left = [], edges
     while True:
-        near = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy("a").agg(F.min("comp").alias("seen")).withColumnRenamed("a", "node")
-        step = labels.join(near, "node").select("node", F.col("comp").alias("was"), F.least("comp", "seen").alias("comp"))
-        jump = labels.select(F.col("node").alias("comp"), F.col("comp").alias("next"))
-        after = saved(step.join(jump, "comp").select("node", "was", F.least("comp", "next").alias("comp")), "labels")
-        labels = after.select("node", "comp")
-        if after.where(F.col("was") != F.col("comp")).limit(1).count() == 0:
-            return labels
+        left = saved(left.where(F.col("a") != F.col("b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges")
+        if maps and left.limit(1).count() == 0:
+            break
+        both = left.unionByName(left.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        step = saved(both.groupBy("a").agg(F.min("b").alias("low")).select(F.col("a").alias("node"), F.least("a", "low").alias("comp")), "labels")
+        maps.append(step)
+        left = left.join(step.toDF("a", "x"), "a").join(step.toDF("b", "y"), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
+    out = maps[0]
+    for step in maps[1:]:
+        out = out.join(step.toDF("comp", "next"), "comp", "left").select("node", F.coalesce("next", "comp").alias("comp"))
+    return saved(out, "components")
 
 
 class Joined:

@@ -37,14 +37,17 @@ from docketflow.llm import kernels as K
 from docketflow.llm.components import components, linked, saved
 
 DF_BITS = 48  # a collision only moves one weight a little
-TABLE_BITS = 14
+TABLE_BITS = 12
 BUCKET_BLOCK, CLASS_BLOCK, BATCH_ROWS = 512, 192, 8000
 AGREE = 0.5
 COLUMNS = 8192
 
 
 def draws(samples: int, seed: int = 11) -> tuple[np.ndarray, ...]:
-    """1/r, r, beta and ln(c) of the sampling, r and c from Gamma(2, 1), beta uniform; one row per hash class of elements."""
+    """1/r, r, beta and ln(c) of the sampling, r and c from Gamma(2, 1), beta uniform; one row per hash class of elements.
+
+    Elements of a class differ by a uniform shift of beta of their own.
+    """
     rng = np.random.default_rng(seed)
     shape = (1 << TABLE_BITS, samples)
     r = rng.gamma(2.0, 1.0, shape).astype(np.float32)
@@ -107,21 +110,30 @@ def sample(row: np.ndarray, keys: np.ndarray, weight: np.ndarray, n_rows: int, t
     first = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
     edges = np.append(first, len(keys))
     pos, end = 0, len(first)
-    while pos < end:  # whole rows, about 2**15 elements at once
-        to = max(pos + 1, int(np.searchsorted(edges, edges[pos] + (1 << 15), "right")) - 1)
+    while pos < end:  # whole rows, about 2**13 elements at once
+        to = max(pos + 1, int(np.searchsorted(edges, edges[pos] + (1 << 13), "right")) - 1)
         a, b = edges[pos], edges[to]
-        k, log_w = keys[a:b], np.log(weight[a:b]).astype(np.float32)[:, None]
-        which = (K.mix(k, 9) >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
-        t = np.floor(log_w * inv_r[which] + beta[which])
-        log_a = log_c[which] - r[which] * (t - beta[which] + 1)
-        starts = first[pos:to] - a
-        low = np.minimum.reduceat(log_a, starts, axis=0)
-        spread = np.repeat(np.arange(to - pos), np.diff(np.append(starts, b - a)))
-        e, s = np.nonzero(log_a == low[spread])
-        code = (K.mix(k[e] + t[e, s].astype(np.int64).astype(np.uint64) * np.uint64(K.BASE), 13) >> np.uint64(32)).astype(np.uint32)
-        part = np.full((to - pos, r.shape[1]), 0xFFFFFFFF, np.uint32)
-        np.minimum.at(part, (spread[e], s), code)  # equal draws: the smallest code, for either text
-        out[row[first[pos:to]]] = part
+        spot = K.mix(keys[a:b], 9)
+        which = (spot >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
+        shift = (spot.astype(np.uint32) >> np.uint32(8)).astype(np.float32) / np.float32(1 << 24)
+        log_w = np.log(weight[a:b]).astype(np.float32)
+        x = inv_r[which]
+        x *= log_w[:, None]
+        x += beta[which]
+        x += shift[:, None]
+        x -= np.floor(x)  # ln y = ln w - r * x, ln a = ln c - ln y - r
+        x -= 1
+        x *= r[which]
+        x += log_c[which]
+        x -= log_w[:, None]
+        low = np.empty((to - pos, r.shape[1]), np.int64)
+        for k in range(pos, to):
+            c, d = edges[k] - a, edges[k + 1] - a
+            low[k - pos] = x[c:d].argmin(0) + c  # equal draws have equal elements, or go to the first in the order of keys
+        s = np.arange(r.shape[1])
+        w = which[low]
+        t = np.floor(inv_r[w, s] * log_w[low] + beta[w, s] + shift[low]).astype(np.int64)
+        out[row[first[pos:to]]] = K.mix(keys[a:b][low] + t.astype(np.uint64) * np.uint64(K.BASE), 13) >> np.uint64(32)
         pos = to
     return out
 
