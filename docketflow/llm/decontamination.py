@@ -88,6 +88,7 @@ class Items:
 
 def banded(item: np.ndarray, text: np.ndarray, first: int, last: int) -> tuple[int, int, int]:
     """Fewest edits of the whole item against any stretch of the text on diagonals first..last: edits, start, end."""
+    shown = text if len(text) else np.zeros(1, np.uint32)
     width = last - first + 1
     far = len(item) + len(text) + 1
     diag = np.arange(first, last + 1)
@@ -97,7 +98,7 @@ def banded(item: np.ndarray, text: np.ndarray, first: int, last: int) -> tuple[i
     for i in range(1, len(item) + 1):
         j = i + diag
         inside = (j >= 1) & (j <= len(text))
-        same = cost + np.where(inside, text[np.clip(j - 1, 0, max(0, len(text) - 1))] != item[i - 1], far)
+        same = cost + np.where(inside, shown[np.clip(j - 1, 0, len(shown) - 1)] != item[i - 1], far)
         drop = np.append(cost[1:] + 1, far)
         drop = np.where((j >= 0) & (j <= len(text)), drop, far)
         best, new = np.where(same <= drop, same, drop), np.where(same <= drop, start, np.append(start[1:], 0))

