@@ -15,15 +15,15 @@ _AREAS = "('M&A', 'Litigation', 'IP', 'Real Estate', 'Employment', 'Tax', 'Regul
 PREAMBLE = f"""
 WITH
 typed_matters_master AS (
-  SELECT 'M-' || CAST(c.c_custkey AS VARCHAR) AS matter_id,
+  SELECT CASE WHEN c.c_custkey % 101 <> 100 THEN 'M-' || CAST(c.c_custkey AS VARCHAR) END AS matter_id,
          c.c_name AS client_name,
          CASE c.c_mktsegment WHEN 'BUILDING' THEN 'Real Estate' WHEN 'AUTOMOBILE' THEN 'Litigation'
               WHEN 'MACHINERY' THEN 'M&A' WHEN 'HOUSEHOLD' THEN 'Employment' WHEN 'FURNITURE' THEN 'Furniture' END
            AS practice_area,
          CASE r.r_name WHEN 'AMERICA' THEN 'NA' WHEN 'ASIA' THEN 'APAC' WHEN 'EUROPE' THEN 'EMEA' ELSE 'LATAM' END
            AS region,
-         CAST(NULL AS TIMESTAMP) AS opened_ts,
-         CAST(NULL AS DATE) AS opened_date,
+         CAST(DATE '1994-01-01' + CAST(c.c_custkey % 900 AS INTEGER) AS TIMESTAMP) AS opened_ts,
+         CAST(DATE '1994-01-01' + CAST(c.c_custkey % 900 AS INTEGER) AS DATE) AS opened_date,
          'U-' || CAST(c.c_custkey % 10 AS VARCHAR) AS partner_lead_user_id,
          CASE c.c_custkey % 4 WHEN 0 THEN 'hourly' WHEN 1 THEN 'fixed_fee' WHEN 2 THEN 'retainer'
               ELSE 'contingency' END AS billing_arrangement,
@@ -32,14 +32,14 @@ typed_matters_master AS (
   FROM customer c
   JOIN nation n ON c.c_nationkey = n.n_nationkey
   JOIN region r ON n.n_regionkey = r.r_regionkey
-  WHERE c.c_custkey % 50 <> 49
 ),
 silver_matters_master AS (
   SELECT * FROM typed_matters_master WHERE matter_id IS NOT NULL
 ),
 typed_matter_events AS (
-  SELECT 'E-' || CAST(o_orderkey AS VARCHAR) AS event_id,
+  SELECT CASE WHEN o_orderkey % 89 <> 5 THEN 'E-' || CAST(o_orderkey AS VARCHAR) END AS event_id,
          CASE WHEN o_orderkey % 97 = 0 THEN NULL WHEN o_orderkey % 97 = 1 THEN ''
+              WHEN o_custkey % 40 = 7 THEN 'X-' || CAST(o_custkey AS VARCHAR)
               ELSE 'M-' || CAST(o_custkey AS VARCHAR) END AS matter_id,
          CASE WHEN o_orderstatus = 'O' THEN 'opened'
               WHEN o_orderstatus = 'F' AND o_orderkey % 3 = 0 THEN 'closed'
@@ -54,7 +54,6 @@ typed_matter_events AS (
          'standin/orders' AS _source_file,
          {_TS} AS _ingested_at
   FROM orders
-  WHERE o_custkey % 40 <> 7
 ),
 silver_matter_events AS (
   SELECT * FROM typed_matter_events
@@ -64,16 +63,16 @@ silver_matter_events AS (
 ),
 time_entry_base_raw AS (
   SELECT l.l_quantity, 'T-' || CAST(l.l_orderkey AS VARCHAR) || '-' || CAST(l.l_linenumber AS VARCHAR) AS entry_id,
-         'M-' || CAST(o.o_custkey AS VARCHAR) AS matter_id,
+         CASE WHEN l.l_orderkey % 83 = 2 THEN NULL WHEN o.o_custkey % 60 = 11 THEN 'X-' || CAST(o.o_custkey AS VARCHAR)
+              ELSE 'M-' || CAST(o.o_custkey AS VARCHAR) END AS matter_id,
          CASE WHEN l.l_suppkey % 20 = 19 THEN NULL ELSE 'U-' || CAST(l.l_suppkey % 50 AS VARCHAR) END AS user_id,
          TRY_CAST(l.l_quantity * CAST(0.75 AS DOUBLE) - 2 AS DECIMAL(5,2)) AS hours_dec,
-         l.l_returnflag <> 'R' AS billable_flag,
-         CAST(floor(l.l_extendedprice / 100) AS BIGINT) AS raw_rate,
+         CASE WHEN l.l_linenumber <> 7 THEN l.l_returnflag <> 'R' END AS billable_flag,
+         CASE WHEN l.l_suppkey % 23 <> 4 THEN CAST(floor(l.l_extendedprice / 100) AS BIGINT) END AS raw_rate,
          CAST(l.l_shipdate AS DATE) AS entry_date,
          'order ' || CAST(l.l_orderkey AS VARCHAR) || ' line ' || CAST(l.l_linenumber AS VARCHAR) AS narrative
   FROM lineitem l
   JOIN orders o ON l.l_orderkey = o.o_orderkey
-  WHERE o.o_custkey % 60 <> 11
 ),
 time_entry_base AS (SELECT * EXCLUDE (l_quantity) FROM time_entry_base_raw),
 typed_time_entries AS (
@@ -131,7 +130,8 @@ raw_doc_audit AS (
   FROM typed_doc_audit
 ),
 raw_matters_master AS (
-  SELECT matter_id, client_name, practice_area, region, CAST(NULL AS VARCHAR) AS opened_at,
+  SELECT matter_id, client_name, practice_area, region,
+         strftime(opened_ts, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' AS opened_at,
          partner_lead_user_id, billing_arrangement
   FROM typed_matters_master
 ),
@@ -354,5 +354,72 @@ FINAL.update({
 })
 
 
+# Dirty variants of the landed lines: the line is spelled out, each variant's values and rescued text stated.
+_LINE = """
+lines AS (
+  SELECT r.*, (CAST(split_part(entry_id, '-', 2) AS BIGINT) * 7 + CAST(split_part(entry_id, '-', 3) AS BIGINT)) % 8 AS v,
+         '{"entry_id":"' || entry_id || '","matter_id":' || coalesce('"' || matter_id || '"', 'null') || ',"user_id":' || coalesce('"' || user_id || '"', 'null')
+           || ',"hours":' || CAST(hours AS VARCHAR) || ',"billable_flag":' || coalesce(CAST(billable_flag AS VARCHAR), 'null')
+           || ',"rate_usd":' || coalesce(CAST(rate_usd AS VARCHAR), 'null') || ',"date":"' || "date" || '","narrative":"' || narrative || '"}' AS line
+  FROM raw_time_entries r
+)"""
+FINAL.update({
+    "rescue_json": """
+        SELECT CASE WHEN v IN (2, 3, 4) THEN NULL ELSE entry_id END AS entry_id,
+               CASE WHEN v IN (3, 4) THEN NULL ELSE matter_id END AS matter_id,
+               CASE WHEN v IN (3, 4) THEN NULL ELSE user_id END AS user_id,
+               CASE WHEN v IN (3, 4, 6) THEN NULL ELSE hours END AS hours,
+               CASE WHEN v IN (3, 4) THEN NULL ELSE billable_flag END AS billable_flag,
+               CASE WHEN v IN (3, 4, 5) THEN NULL ELSE rate_usd END AS rate_usd,
+               CASE WHEN v IN (3, 4) THEN NULL ELSE "date" END AS "date",
+               CASE WHEN v IN (3, 4) THEN NULL ELSE narrative END AS narrative,
+               CASE WHEN v = 1 THEN '{"extra_field":1}'
+                    WHEN v = 2 THEN '{"ENTRY_ID":"' || entry_id || '"}'
+                    WHEN v = 3 THEN left(line, length(line) - 3)
+                    WHEN v = 4 THEN '[' || line || ']'
+                    WHEN v = 5 AND rate_usd IS NOT NULL THEN '{"rate_usd":' || CAST(rate_usd AS VARCHAR) || '.7}'
+                    WHEN v = 6 THEN '{"hours":"' || CAST(hours AS VARCHAR) || '"}' END AS _rescued_data
+        FROM lines""",
+    "rows_per_source_file": """
+        SELECT source, n_rows, CAST(0 AS BIGINT) AS n_unknown, true AS all_in_landing, true AS several_files FROM (
+          SELECT 'matters_master' AS source, COUNT(*) AS n_rows FROM raw_matters_master UNION ALL
+          SELECT 'matters', COUNT(*) FROM raw_matter_events UNION ALL
+          SELECT 'time_entries', COUNT(*) FROM raw_time_entries UNION ALL
+          SELECT 'doc_audit', COUNT(*) FROM raw_doc_audit)""",
+    # fixed: the schema that inference must find, and the catalog's entries
+    "infer_raw_schema": """
+        SELECT * FROM (VALUES
+          ('matters_master', 'billing_arrangement', 'string'), ('matters_master', 'client_name', 'string'),
+          ('matters_master', 'matter_id', 'string'), ('matters_master', 'opened_at', 'string'),
+          ('matters_master', 'partner_lead_user_id', 'string'), ('matters_master', 'practice_area', 'string'),
+          ('matters_master', 'region', 'string'),
+          ('matters', 'event_id', 'string'), ('matters', 'event_type', 'string'), ('matters', 'matter_id', 'string'),
+          ('matters', 'office', 'string'), ('matters', 'timestamp', 'string'), ('matters', 'user_id', 'string'),
+          ('time_entries', 'billable_flag', 'boolean'), ('time_entries', 'date', 'string'),
+          ('time_entries', 'entry_id', 'string'), ('time_entries', 'hours', 'double'),
+          ('time_entries', 'matter_id', 'string'), ('time_entries', 'narrative', 'string'),
+          ('time_entries', 'rate_usd', 'bigint'), ('time_entries', 'user_id', 'string'),
+          ('doc_audit', 'action', 'string'), ('doc_audit', 'audit_id', 'string'), ('doc_audit', 'client_ip', 'string'),
+          ('doc_audit', 'doc_id', 'string'), ('doc_audit', 'matter_id', 'string'), ('doc_audit', 'timestamp', 'string'),
+          ('doc_audit', 'user_id', 'string')) t(source, field, type)""",
+    "table_catalog": """
+        SELECT * FROM (VALUES
+          ('bronze_matter_events', 'Landed matter event lines as read, with rescued fields, file and time of ingestion.', 'bronze'),
+          ('bronze_time_entries', 'Landed time entry lines as read, with rescued fields, file and time of ingestion.', 'bronze'),
+          ('bronze_doc_audit', 'Landed document audit lines as read, with rescued fields, file and time of ingestion.', 'bronze'),
+          ('bronze_matters_master', 'Landed matter dimension lines as read; the dimension lands a single time.', 'bronze'),
+          ('silver_matter_events', 'Matter events that pass every drop rule, time of the event typed.', 'silver'),
+          ('silver_time_entries', 'Time entries that pass every drop rule, with decimal hours, rate and amount, and the rate tier.', 'silver'),
+          ('silver_doc_audit', 'Document audit rows with a known action and a document, time typed.', 'silver'),
+          ('silver_matters_master', 'Matters with an id, opening time typed; unknown practice areas are kept and counted.', 'silver'),
+          ('gold_billable_hours_by_matter_month', 'Sums of billable hours and amounts, users and entries, by matter and month of the entry.', 'gold'),
+          ('gold_doc_activity_by_matter', 'Number of audit rows, documents and users, first and last time, by matter and action.', 'gold'),
+          ('gold_matter_lifecycle', 'Events of each matter: first, last, how many in all and of each kind, offices.', 'gold'),
+          ('gold_matter_summary', 'A row for each matter of the dimension with its revenue, lifecycle and document totals.', 'gold')
+        ) t("table", comment, quality)""",
+})
+
+
 def oracle_queries() -> dict[str, str]:
-    return {name: PREAMBLE + final for name, final in FINAL.items()}
+    extra = {"rescue_json": "," + _LINE}
+    return {name: PREAMBLE + extra.get(name, "") + final for name, final in FINAL.items()}

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from docketflow import AS_OF
@@ -24,17 +25,18 @@ def top_matters_by_revenue(summary: DataFrame, k: int = 10) -> DataFrame:
 def revenue_share_by_practice(summary: DataFrame) -> DataFrame:
     """Revenue per practice area and its share of the total.
 
-    The total is a scalar subquery (exactly one row by construction), so no cross
-    join and no single-partition window is needed.
+    The total is summed over the per-area rows (one per practice area), so the revenue
+    chain runs once; the window sees those few rows only.
     """
-    total = summary.agg(F.sum("total_revenue_usd").cast("double").alias("t")).scalar()
     per_area = summary.groupBy("practice_area").agg(
-        F.sum("total_revenue_usd").cast("double").alias("revenue_usd"),
+        F.sum("total_revenue_usd").alias("revenue"),
         F.count(F.lit(1)).alias("matter_count"),
     )
+    total = F.sum("revenue").over(W.partitionBy()).cast("double")
+    revenue = F.col("revenue").cast("double")
     return per_area.select(
-        "practice_area", "revenue_usd", "matter_count",
-        F.try_divide(F.col("revenue_usd"), total).alias("revenue_share"),
+        "practice_area", revenue.alias("revenue_usd"), "matter_count",
+        F.try_divide(revenue, total).alias("revenue_share"),
     ).orderBy(F.desc("revenue_usd"), F.asc_nulls_last("practice_area"))
 
 
@@ -61,15 +63,14 @@ def opened_never_closed(lifecycle: DataFrame) -> DataFrame:
 
 
 def opened_never_closed_anti(matter_events: DataFrame) -> DataFrame:
-    """Same matters as :func:`opened_never_closed`, via semi/anti joins on de-duplicated keys.
+    """Same matters as :func:`opened_never_closed`, via an anti join on de-duplicated keys.
 
     Each side is reduced to distinct matter ids first (map-side combine), so a hot
     matter contributes one row per map task to the shuffle, not all its events.
     """
-    ids = matter_events.select("matter_id").distinct()
     opened = matter_events.filter(F.col("event_type") == "opened").select("matter_id").distinct()
     closed = matter_events.filter(F.col("event_type") == "closed").select("matter_id").distinct()
-    return ids.join(opened, "matter_id", "left_semi").join(closed, "matter_id", "left_anti")
+    return opened.join(closed, "matter_id", "left_anti")
 
 
 def avg_hours_by_practice(summary: DataFrame, areas: tuple[str, ...] = ("M&A", "Litigation")) -> DataFrame:

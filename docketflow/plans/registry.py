@@ -138,10 +138,6 @@ BATCH_QUERIES: dict[str, Query] = {
 
 
 def all_queries() -> dict[str, Query]:
-    out = dict(BATCH_QUERIES)
-    try:
-        from docketflow.streaming.registry import STREAM_QUERIES
-    except ImportError:  # streaming layer not importable: batch keys still work
-        STREAM_QUERIES = {}
-    out.update(STREAM_QUERIES)
-    return out
+    from docketflow.streaming.registry import STREAM_QUERIES
+
+    return {**BATCH_QUERIES, **STREAM_QUERIES}

@@ -9,7 +9,7 @@ from pyspark.sql import SparkSession
 
 
 def get_session(app: str = "docketflow", cpus: int | str = "*", shuffle_partitions: int | None = None,
-                extra: dict[str, str] | None = None) -> SparkSession:
+                extra: dict[str, str] | None = None, driver_memory: str = "8g") -> SparkSession:
     """Local session with the settings the engine assumes (UTC, AQE, no UI).
 
     On a cluster, build the session with the cluster's own master/resources and keep
@@ -27,7 +27,7 @@ def get_session(app: str = "docketflow", cpus: int | str = "*", shuffle_partitio
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", driver_memory)
     )
     for k, v in (extra or {}).items():
         builder = builder.config(k, v)
@@ -39,13 +39,15 @@ def get_session(app: str = "docketflow", cpus: int | str = "*", shuffle_partitio
 def work_root(spark: SparkSession) -> str:
     """Shared folder for landing files, checkpoints and layer tables.
 
-    Uses the cluster's ``spark.checkpoint.dir``.  Only when the session has none
-    (local tests) a fresh folder is created and registered as checkpoint dir.
+    Uses the cluster's ``spark.checkpoint.dir``.  A session in this one process
+    (``local[n]``, as in tests) may do without: it gets a folder of its own.
     """
-    conf_dir = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not conf_dir:
-        conf_dir = spark.sparkContext.getCheckpointDir()
+    conf = spark.sparkContext.getConf()
+    conf_dir = conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not conf_dir:
+        master = conf.get("spark.master", "")
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         import tempfile
 
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="docketflow-"))

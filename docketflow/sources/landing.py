@@ -46,13 +46,17 @@ def land_json_batch(df: DataFrame, landing: str, source: str, files: int | None
 
 
 def land_master_once(df: DataFrame, landing: str, source: str = "matters_master") -> str:
-    """Write the dimension files only if the folder does not exist yet (write-once).
+    """Write the dimension files unless an earlier write was committed (write-once).
 
-    Keeps the input partitioning: a large dimension is written by many tasks, not
-    funnelled through one to get a single file.
+    A folder without Spark's ``_SUCCESS`` marker is what a crashed write left: it is
+    written anew.  Keeps the input partitioning: a large dimension is written by many
+    tasks, not funnelled through one to get a single file.
     """
     path = f"{landing.rstrip('/')}/{source}"
-    to_landing_shape(df, source).write.mode("ignore").option("ignoreNullFields", "false").json(path)
+    spark = df.sparkSession
+    done = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    if not done.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(done):
+        to_landing_shape(df, source).write.mode("overwrite").option("ignoreNullFields", "false").json(path)
     return path
 
 

@@ -3,7 +3,8 @@
 Each line is parsed once into ``map<string, variant>``.  A field is taken only when
 its JSON type fits the declared column type exactly (an integer fits a double
 column; ``250.7`` or ``"3.5"`` does not fit a bigint/double column and is *not*
-coerced).  Unknown keys (including wrong-case ones), mistyped values, and whole
+coerced, nor is a number beyond a double's range).  Rescued values are written anew as
+JSON, so a number's text may change (``250.0`` becomes ``250``).  Unknown keys (including wrong-case ones), mistyped values, and whole
 lines that are not a JSON object (broken JSON, arrays, scalars, duplicate keys)
 go to ``_rescued_data`` as JSON text.  Blank lines are skipped.
 
@@ -47,13 +48,15 @@ def rescue_json(lines: DataFrame, schema: T.StructType, value_col: str = "value"
     m = F.col("_m")
     names = [f.name for f in schema.fields]
     parsed = (
-        lines.filter(F.trim(text) != "")
+        lines.filter(text.rlike(r"\S"))
         .select(text.alias("_line"), *keep,
                 F.try_variant_get(F.try_parse_json(text), "$", "map<string,variant>").alias("_m"))
     )
     probed = parsed.select("*", *[F.schema_of_variant(m[n]).alias(f"_t{i}") for i, n in enumerate(names)])
 
     fits = [_fits(F.col(f"_t{i}"), f.dataType) for i, f in enumerate(schema.fields)]
+    fits = [ok & ~F.coalesce(F.abs(F.try_variant_get(m[f.name], "$", "double")) == float("inf"), F.lit(False)) if isinstance(f.dataType, T.DoubleType) else ok
+            for ok, f in zip(fits, schema.fields)]
     values = [
         F.when(ok, F.try_variant_get(m[f.name], "$", f.dataType.simpleString())).cast(f.dataType).alias(f.name)
         for ok, f in zip(fits, schema.fields)

@@ -2,9 +2,9 @@
 
 The pipeline's real input is JSON-lines landing files; for checks against an
 independent SQL engine we derive rows of the same shape from the given tables
-(whole tables, every row).  A few key-based exclusions are part of the mapping on
-purpose: they leave facts without a dimension row and matters without events or
-billing, which are the edge cases the star roll-up must get right.
+(whole tables, every row).  Some rows are given other keys or NULLs on purpose: facts
+whose matter has no dimension row (``X-...``), matters that are left without events or
+billing, and rows that each data-quality rule must fail.
 
 Columns are raw-shaped (same names as the landing schema).  Time fields stay typed
 (TIMESTAMP / DATE) here; the silver typing accepts both typed values and ISO strings,
@@ -63,17 +63,17 @@ def _lineage(table: str) -> list[Column]:
 
 
 def matters_master(spark: SparkSession, sf_dir: str, lineage: bool = True) -> DataFrame:
-    c = read_table(spark, sf_dir, "customer").filter(F.col("c_custkey") % 50 != 49)
+    c = read_table(spark, sf_dir, "customer")
     n = read_table(spark, sf_dir, "nation")
     r = read_table(spark, sf_dir, "region")
     j = c.join(n, c.c_nationkey == n.n_nationkey).join(r, n.n_regionkey == r.r_regionkey)
     key = F.col("c_custkey")
     return j.select(
-        _prefixed("M-", key).alias("matter_id"),
+        F.when(key % 101 != 100, _prefixed("M-", key)).alias("matter_id"),
         F.col("c_name").alias("client_name"),
         _case(F.col("c_mktsegment"), PRACTICE_BY_SEGMENT).alias("practice_area"),
         _case(F.col("r_name"), REGION_BY_NAME, REGION_DEFAULT).alias("region"),
-        F.lit(None).cast("timestamp").alias("opened_at"),
+        F.date_add(F.lit("1994-01-01").cast("date"), (key % 900).cast("int")).cast("timestamp").alias("opened_at"),
         _prefixed("U-", key % 10).alias("partner_lead_user_id"),
         _pick(BILLING_ARRANGEMENTS, key % 4).alias("billing_arrangement"),
         *(_lineage("customer") if lineage else []),
@@ -81,7 +81,7 @@ def matters_master(spark: SparkSession, sf_dir: str, lineage: bool = True) -> Da
 
 
 def matter_events(spark: SparkSession, sf_dir: str, lineage: bool = True) -> DataFrame:
-    o = read_table(spark, sf_dir, "orders").filter(F.col("o_custkey") % 40 != 7)
+    o = read_table(spark, sf_dir, "orders")
     okey = F.col("o_orderkey")
     event_type = (
         F.when(F.col("o_orderstatus") == "O", F.lit("opened"))
@@ -91,9 +91,10 @@ def matter_events(spark: SparkSession, sf_dir: str, lineage: bool = True) -> Dat
         .otherwise(F.lit("note_added"))
     )
     return o.select(
-        _prefixed("E-", okey).alias("event_id"),
+        F.when(okey % 89 != 5, _prefixed("E-", okey)).alias("event_id"),
         F.when(okey % 97 == 0, F.lit(None).cast("string"))
         .when(okey % 97 == 1, F.lit(""))
+        .when(F.col("o_custkey") % 40 == 7, _prefixed("X-", F.col("o_custkey")))
         .otherwise(_prefixed("M-", F.col("o_custkey"))).alias("matter_id"),
         event_type.alias("event_type"),
         F.col("o_orderdate").alias("timestamp"),
@@ -105,17 +106,19 @@ def matter_events(spark: SparkSession, sf_dir: str, lineage: bool = True) -> Dat
 
 def time_entries(spark: SparkSession, sf_dir: str, lineage: bool = True) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem")
-    o = read_table(spark, sf_dir, "orders").filter(F.col("o_custkey") % 60 != 11)
+    o = read_table(spark, sf_dir, "orders")
     j = li.join(o, li.l_orderkey == o.o_orderkey)
     supp = F.col("l_suppkey")
     return j.select(
         F.concat(F.lit("T-"), F.col("l_orderkey").cast("string"), F.lit("-"),
                  F.col("l_linenumber").cast("string")).alias("entry_id"),
-        _prefixed("M-", F.col("o_custkey")).alias("matter_id"),
+        F.when(F.col("l_orderkey") % 83 == 2, F.lit(None).cast("string"))
+        .when(F.col("o_custkey") % 60 == 11, _prefixed("X-", F.col("o_custkey")))
+        .otherwise(_prefixed("M-", F.col("o_custkey"))).alias("matter_id"),
         F.when(supp % 20 == 19, F.lit(None).cast("string")).otherwise(_prefixed("U-", supp % 50)).alias("user_id"),
         (F.col("l_quantity") * F.lit(0.75).cast("double") - F.lit(2)).alias("hours"),
-        (F.col("l_returnflag") != "R").alias("billable_flag"),
-        F.floor(F.col("l_extendedprice") / 100).cast("bigint").alias("rate_usd"),
+        F.when(F.col("l_linenumber") != 7, F.col("l_returnflag") != "R").alias("billable_flag"),
+        F.when(supp % 23 != 4, F.floor(F.col("l_extendedprice") / 100).cast("bigint")).alias("rate_usd"),
         F.to_date(F.col("l_shipdate")).alias("date"),
         F.concat(F.lit("order "), F.col("l_orderkey").cast("string"), F.lit(" line "),
                  F.col("l_linenumber").cast("string")).alias("narrative"),

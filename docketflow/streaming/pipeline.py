@@ -2,11 +2,13 @@
 
 Layout under ``root`` (a shared folder, e.g. below ``spark.checkpoint.dir``)::
 
-    gen=<run_id>/bronze/<dataset>/          parquet file-sink output (+ _spark_metadata log)
-    gen=<run_id>/silver/<dataset>/          same; not partitioned (see note below)
-    gen=<run_id>/_checkpoints/<layer>/<dataset>/
-    gen=<run_id>/gold/<table>/v=<run_id>/   one immutable version per refresh
-    gen=<run_id>/metrics/                   expectation counts per run (append)
+    gen=<n>-<run_id>/bronze/<dataset>/          parquet file-sink output (+ _spark_metadata log)
+    gen=<n>-<run_id>/silver/<dataset>/          same; not partitioned (see note below)
+    gen=<n>-<run_id>/_checkpoints/<layer>/<dataset>/
+    gen=<n>-<run_id>/gold/<table>/v=<n>-<run_id>/   one immutable version per refresh
+    gen=<n>-<run_id>/metrics/dataset=<dataset>/batch_id=<id>/   expectation counts per micro-batch
+
+``<n>`` counts up, so that the newest is the one committed last, whatever the run ids.
 
 Bronze and silver are append-only streams run with ``trigger(availableNow=True)``:
 each run consumes only files not seen before (file-source log + checkpoint give
@@ -24,6 +26,7 @@ pushed to the parquet scan and skip row groups through min/max statistics.
 from __future__ import annotations
 
 import datetime as dt
+import re
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,24 +34,24 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docketflow.operators import gold as G
-from docketflow.operators.expectations import metrics_rows
+from docketflow.operators.expectations import metrics_frame, metrics_rows
 from docketflow.operators.silver import SILVER, SILVER_BY_SOURCE
 from docketflow.schemas import GOLD_COLUMNS, RAW_SCHEMAS, SILVER_COLUMNS, SOURCES, bronze_schema
 from docketflow.sources.rescue import rescue_json
 
 TABLE_COMMENTS = {
-    "bronze_matter_events": "Raw matter events from JSON files. Append-only.",
-    "bronze_time_entries": "Raw time entries from JSON files. Append-only.",
-    "bronze_doc_audit": "Raw document audit events from JSON files. Append-only.",
-    "bronze_matters_master": "Raw matter master/dimension records. Written once.",
-    "silver_matter_events": "Cleaned matter events: typed timestamp, recognized event types only.",
-    "silver_time_entries": "Cleaned time entries with derived billable_amount_usd and rate_tier.",
-    "silver_doc_audit": "Cleaned doc audit events with parsed timestamp.",
-    "silver_matters_master": "Matter dimension: typed columns, one row per matter_id.",
-    "gold_billable_hours_by_matter_month": "Billable hours and revenue by matter and calendar month.",
-    "gold_doc_activity_by_matter": "Per-matter doc activity counts, broken out by action type.",
-    "gold_matter_lifecycle": "Per-matter lifecycle summary: first/last event, total events.",
-    "gold_matter_summary": "Star-schema roll-up: matter dimension + revenue + lifecycle + doc activity.",
+    "bronze_matter_events": "Landed matter event lines as read, with rescued fields, file and time of ingestion.",
+    "bronze_time_entries": "Landed time entry lines as read, with rescued fields, file and time of ingestion.",
+    "bronze_doc_audit": "Landed document audit lines as read, with rescued fields, file and time of ingestion.",
+    "bronze_matters_master": "Landed matter dimension lines as read; the dimension lands a single time.",
+    "silver_matter_events": "Matter events that pass every drop rule, time of the event typed.",
+    "silver_time_entries": "Time entries that pass every drop rule, with decimal hours, rate and amount, and the rate tier.",
+    "silver_doc_audit": "Document audit rows with a known action and a document, time typed.",
+    "silver_matters_master": "Matters with an id, opening time typed; unknown practice areas are kept and counted.",
+    "gold_billable_hours_by_matter_month": "Sums of billable hours and amounts, users and entries, by matter and month of the entry.",
+    "gold_doc_activity_by_matter": "Number of audit rows, documents and users, first and last time, by matter and action.",
+    "gold_matter_lifecycle": "Events of each matter: first, last, how many in all and of each kind, offices.",
+    "gold_matter_summary": "A row for each matter of the dimension with its revenue, lifecycle and document totals.",
 }
 
 METRICS_SCHEMA = T.StructType([
@@ -83,14 +86,24 @@ def list_children(spark: SparkSession, path: str) -> list[str]:
 
 
 def latest_child(spark: SparkSession, path: str, prefix: str, marker: str | None = None) -> str | None:
-    """Newest child named ``prefix...``; with ``marker``, only children containing that file."""
+    """Newest child named ``prefix<number>-...``; with ``marker``, only children containing that file."""
     names = [n for n in list_children(spark, path) if n.startswith(prefix)]
-    for name in reversed(names):
+    for name in sorted(names, key=_number, reverse=True):
         if marker is None or path_exists(spark, f"{path.rstrip('/')}/{name}/{marker}"):
             return name
     return None
 
 
+def _number(name: str) -> int:
+    return int(re.search(r"=(\d*)", name)[1] or 0)
+
+
+def next_child(spark: SparkSession, paths: list[str], prefix: str, run_id: str) -> str:
+    """A name that no child of ``paths`` has and that is newer than all of them."""
+    numbers = [_number(n) for path in paths for n in list_children(spark, path) if n.startswith(prefix)]
+    return f"{prefix}{max(numbers, default=0) + 1:06d}-{run_id}"
+
+
 def touch(spark: SparkSession, path: str) -> None:
     fs, p = _fs(spark, path)
     fs.create(p, True).close()
@@ -125,7 +138,7 @@ class Layout:
 def current_layout(spark: SparkSession, root: str, new_generation: bool = False, run_id: str | None = None) -> Layout:
     """Generation a run writes to: the newest one (a failed full refresh is resumed), or a new one."""
     gen = None if new_generation else latest_child(spark, root, "gen=")
-    return Layout(root, gen or f"gen={run_id or new_run_id()}")
+    return Layout(root, gen or next_child(spark, [root], "gen=", run_id or new_run_id()))
 
 
 def readable_layout(spark: SparkSession, root: str) -> Layout:
@@ -138,11 +151,33 @@ def readable_layout(spark: SparkSession, root: str) -> Layout:
 
 # ---------------------------------------------------------------- bronze
 
-def bronze_stream(spark: SparkSession, landing: str, source: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Unbounded DataFrame over ``landing/source``: rescued raw fields + ingestion columns."""
-    reader = spark.readStream.format("text")
+#: How long landed files are kept.  A file whose modification time lies further behind the
+#: newest one than this would be passed over by the file source, so ``run_pipeline`` refuses it.
+#: The file source remembers the files of this span on the driver: set it to the landing's retention.
+LANDING_RETENTION_DAYS = 3650
+#: Input of one micro-batch, unless a number of files is given.
+MAX_BYTES_PER_TRIGGER = 64 << 30
+
+
+def _bounded(reader, max_files_per_trigger: int | None, retention_days: int):
+    reader = reader.option("maxFileAge", f"{retention_days}d")
     if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+        return reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    return reader.option("maxBytesPerTrigger", str(MAX_BYTES_PER_TRIGGER))
+
+
+def too_old(spark: SparkSession, path: str, retention_days: int) -> list[str]:
+    """Files that lie further behind the newest file of ``path`` than the retention."""
+    fs, p = _fs(spark, path)
+    times = [(s.getModificationTime(), s.getPath().getName()) for s in fs.listStatus(p) if not s.getPath().getName().startswith(("_", "."))]
+    newest = max((t for t, _ in times), default=0)
+    return sorted(n for t, n in times if newest - t > retention_days * 86_400_000)
+
+
+def bronze_stream(spark: SparkSession, landing: str, source: str, max_files_per_trigger: int | None = None,
+                  retention_days: int = LANDING_RETENTION_DAYS) -> DataFrame:
+    """Unbounded DataFrame over ``landing/source``: rescued raw fields + ingestion columns."""
+    reader = _bounded(spark.readStream.format("text"), max_files_per_trigger, retention_days)
     lines = reader.load(f"{landing.rstrip('/')}/{source}").select(
         "value", F.col("_metadata.file_path").alias("_source_file"))
     rescued = rescue_json(lines, RAW_SCHEMAS[source], keep=("_source_file",))
@@ -161,40 +196,66 @@ def _sink(df: DataFrame, path: str, checkpoint: str, name: str, partition_by: st
     return w.start(path)
 
 
-def run_bronze(spark: SparkSession, landing: str, layout: Layout, max_files_per_trigger: int | None = None) -> dict:
-    queries = {}
-    for source, (bronze_name, _) in SOURCES.items():
-        if not path_exists(spark, f"{landing.rstrip('/')}/{source}"):
-            continue  # nothing landed for this source yet
-        df = bronze_stream(spark, landing, source, max_files_per_trigger)
-        queries[bronze_name] = _sink(df, layout.table("bronze", bronze_name),
-                                     layout.checkpoint("bronze", bronze_name), f"{bronze_name}_{layout.generation}")
-    return _await_all(queries)
-
-
 # ---------------------------------------------------------------- silver
 
 def read_bronze_stream(spark: SparkSession, layout: Layout, source: str,
-                       max_files_per_trigger: int | None = None) -> DataFrame:
+                       max_files_per_trigger: int | None = None,
+                       retention_days: int = LANDING_RETENTION_DAYS) -> DataFrame:
     bronze_name = SOURCES[source][0]
-    reader = spark.readStream.schema(bronze_schema(source))
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    reader = _bounded(spark.readStream.schema(bronze_schema(source)), max_files_per_trigger, retention_days)
     return reader.parquet(layout.table("bronze", bronze_name))
 
 
-def _await_all(queries: dict) -> dict:
-    """Wait for every availableNow query; return each query's progress list."""
-    out, errors = {}, []
-    for name, q in queries.items():
-        try:
-            q.awaitTermination()
-        except Exception as e:  # keep waiting for the others, then raise
-            errors.append((name, e))
-        out[name] = list(q.recentProgress)
-    if errors:
-        raise RuntimeError(f"streaming queries failed: {[n for n, _ in errors]}") from errors[0][1]
-    return out
+def _finished(query) -> list:
+    """Waits for an availableNow query; its latest progress entries."""
+    query.awaitTermination()
+    return list(query.recentProgress)
+
+
+# ---------------------------------------------------------------- expectation counters
+
+def _batch_files(spark: SparkSession, checkpoint: str) -> dict[int, list[str]]:
+    """Input files of each committed micro-batch, from the stream's own log of the files it read."""
+    done = {int(n) for n in list_children(spark, f"{checkpoint}/commits") if n.isdigit()}
+    if not done:
+        return {}
+    lines = spark.read.text(f"{checkpoint}/sources/0").where(F.col("value").startswith("{")).distinct()
+    entries = lines.select(F.from_json("value", "path string, batchId long").alias("f")).select("f.*").distinct().collect()
+    files: dict[int, list[str]] = {b: [] for b in done}
+    for path, batch in entries:
+        if batch in files:
+            files[batch].append(path)
+    return files
+
+
+def record_metrics(spark: SparkSession, layout: Layout, source: str, run_id: str, progress: list) -> list[tuple]:
+    """Stores the counters of every committed silver micro-batch that has none yet; returns this call's rows.
+
+    The batches of this run come from their progress.  Others (of a run that failed before
+    it came here, or beyond the progress that Spark keeps) are counted again from the
+    bronze files they read.  Each batch is a partition of its own that is written whole,
+    so that a repeated call changes nothing.
+    """
+    name = SOURCES[source][1]
+    rules, obs = SILVER[name].rules, f"dq_{name}"
+    stored = {int(n.split("=", 1)[1]) for n in list_children(spark, f"{layout.metrics}/dataset={name}") if n.startswith("batch_id=")}
+    files = {b: f for b, f in _batch_files(spark, layout.checkpoint("silver", name)).items() if b not in stored}
+    seen = {p.batchId: p.observedMetrics[obs].asDict() for p in progress if obs in (p.observedMetrics or {})}
+    rows = []
+    for batch in sorted(files):
+        if batch in seen:
+            counted = [m[1:] for m in metrics_rows(name, rules, [seen[batch]])]
+        elif files[batch]:
+            bronze = spark.read.schema(bronze_schema(source)).parquet(*files[batch])
+            counted = [tuple(r)[1:] for r in metrics_frame(SILVER[name].typed(bronze), name, rules).collect()]  # one row per rule
+        else:
+            counted = [m[1:] for m in metrics_rows(name, rules, [])]
+        rows += [(run_id, name, *c, batch) for c in counted]
+    if rows:
+        # one small file per micro-batch and dataset
+        table = spark.createDataFrame(rows, T.StructType([*METRICS_SCHEMA.fields, T.StructField("batch_id", T.LongType())])).coalesce(1)
+        table.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("dataset", "batch_id").parquet(layout.metrics)
+    return rows
 
 
 # ---------------------------------------------------------------- reading layer tables
@@ -209,7 +270,7 @@ def read_silver(spark: SparkSession, layout: Layout, name: str) -> DataFrame:
 
 
 def committed_gold_version(spark: SparkSession, layout: Layout) -> str:
-    """Newest refresh (``v=<run_id>``) whose every gold table committed: one consistent snapshot."""
+    """Newest refresh (``v=<number>-<run_id>``) whose every gold table committed: one consistent snapshot."""
     common = None
     for name in GOLD_COLUMNS:
         base = layout.table("gold", name)
@@ -218,7 +279,7 @@ def committed_gold_version(spark: SparkSession, layout: Layout) -> str:
         common = done if common is None else common & done
     if not common:
         raise FileNotFoundError(f"no complete gold refresh under {layout.base}")
-    return max(common)
+    return max(common, key=_number)
 
 
 def read_gold(spark: SparkSession, layout: Layout, name: str, version: str | None = None) -> DataFrame:
@@ -228,6 +289,8 @@ def read_gold(spark: SparkSession, layout: Layout, name: str, version: str | Non
 
 def read_bronze(spark: SparkSession, layout: Layout, name: str) -> DataFrame:
     source = next(s for s, (b, _) in SOURCES.items() if b == name)
+    if not path_exists(spark, layout.table("bronze", name)):
+        return spark.createDataFrame([], bronze_schema(source))
     return spark.read.schema(bronze_schema(source)).parquet(layout.table("bronze", name))
 
 
@@ -253,12 +316,12 @@ def refresh_gold(spark: SparkSession, layout: Layout, run_id: str, parallel: boo
     from concurrent.futures import ThreadPoolExecutor
 
     silver = {name: read_silver(spark, layout, name) for name in SILVER}
+    version = next_child(spark, [layout.table("gold", name) for name in GOLD_COLUMNS], "v=", run_id)
     written: dict[str, str] = {}
 
     def write(name: str, df: DataFrame) -> DataFrame:
-        path = f"{layout.table('gold', name)}/v={run_id}"
-        # overwrite: a retried run with the same id replaces its own partial output
-        G.contract(df, name).write.mode("overwrite").parquet(path)
+        path = f"{layout.table('gold', name)}/{version}"
+        G.contract(df, name).write.parquet(path)
         written[name] = path
         return spark.read.parquet(path)
 
@@ -282,6 +345,7 @@ def refresh_gold(spark: SparkSession, layout: Layout, run_id: str, parallel: boo
 # ---------------------------------------------------------------- catalog (comments + quality property)
 
 def register_tables(spark: SparkSession, layout: Layout, gold_paths: dict[str, str], database: str = "docketflow") -> None:
+    """(Re)creates the catalog entries of all layer tables that exist; give each root a database of its own."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     locations = {}
     for source, (bronze_name, silver_name) in SOURCES.items():
@@ -290,6 +354,8 @@ def register_tables(spark: SparkSession, layout: Layout, gold_paths: dict[str, s
     for name, path in gold_paths.items():
         locations[name] = ("gold", path)
     for name, (quality, path) in locations.items():
+        if not path_exists(spark, path):
+            continue  # its source has not landed yet
         comment = TABLE_COMMENTS[name].replace("'", "\\'")
         spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")  # drops the catalog entry only (external table)
         spark.sql(
@@ -323,58 +389,69 @@ def _rows(progress: list) -> int:
     return int(sum(p.numInputRows for p in progress))
 
 
-def _run_source(spark: SparkSession, landing: str, layout: Layout, source: str,
-                max_files_per_trigger: int | None) -> tuple[list, list, list[tuple]]:
-    """bronze then silver for one source; returns (bronze progress, silver progress, metrics)."""
-    bronze_name, silver_name = SOURCES[source]
-    bronze = _sink(bronze_stream(spark, landing, source, max_files_per_trigger),
-                   layout.table("bronze", bronze_name), layout.checkpoint("bronze", bronze_name),
-                   f"{bronze_name}_{layout.generation}")
-    bronze_progress = _await_all({bronze_name: bronze})[bronze_name]
-    spec = SILVER_BY_SOURCE[source]
-    obs = f"dq_{silver_name}"
-    silver = _sink(spec.build_observed(read_bronze_stream(spark, layout, source, max_files_per_trigger), obs),
-                   layout.table("silver", silver_name), layout.checkpoint("silver", silver_name),
-                   f"{silver_name}_{layout.generation}")
-    silver_progress = _await_all({silver_name: silver})[silver_name]
-    observed = [p.observedMetrics[obs].asDict() for p in silver_progress if obs in (p.observedMetrics or {})]
-    return bronze_progress, silver_progress, metrics_rows(silver_name, spec.rules, observed)
+def run_bronze_source(spark: SparkSession, landing: str, layout: Layout, source: str,
+                      max_files_per_trigger: int | None = None, retention_days: int = LANDING_RETENTION_DAYS) -> list:
+    """Ingests what one source has landed since the last run."""
+    stale = too_old(spark, f"{landing.rstrip('/')}/{source}", retention_days)
+    if stale:
+        raise ValueError(f"{source}: files older than the landing retention of {retention_days} days would be skipped: {stale[:10]}")
+    name = SOURCES[source][0]
+    return _finished(_sink(bronze_stream(spark, landing, source, max_files_per_trigger, retention_days),
+                           layout.table("bronze", name), layout.checkpoint("bronze", name), f"{name}_{layout.generation}"))
+
+
+def _run_source(spark: SparkSession, landing: str, layout: Layout, source: str, run_id: str,
+                max_files_per_trigger: int | None, retention_days: int) -> tuple[list, list, list[tuple]]:
+    """bronze, silver and its counters for one source; returns (bronze progress, silver progress, metrics)."""
+    bronze_progress = run_bronze_source(spark, landing, layout, source, max_files_per_trigger, retention_days)
+    name = SOURCES[source][1]
+    typed = SILVER_BY_SOURCE[source].build_observed(
+        read_bronze_stream(spark, layout, source, max_files_per_trigger, retention_days), f"dq_{name}")
+    progress = _finished(_sink(typed, layout.table("silver", name), layout.checkpoint("silver", name), f"{name}_{layout.generation}"))
+    return bronze_progress, progress, record_metrics(spark, layout, source, run_id, progress)
 
 
 def run_pipeline(spark: SparkSession, landing: str, root: str, run_id: str | None = None,
                  full_refresh: bool = False, max_files_per_trigger: int | None = None,
-                 register: bool = True) -> RunResult:
-    """bronze -> silver per source, then gold, then metrics; each stream runs to completion.
+                 register: bool = True, database: str = "docketflow",
+                 retention_days: int = LANDING_RETENTION_DAYS) -> RunResult:
+    """bronze -> silver -> counters per source, then gold; each stream runs to completion.
 
     The four sources run side by side, each chaining its silver stream right after
     its own bronze stream, so small sources do not wait for the largest one; gold
-    starts when every silver stream has finished.  ``max_files_per_trigger`` bounds
-    each micro-batch (bronze and silver) so a large backlog is consumed in several
-    bounded batches; the expectation counters are summed over all batches of the run.
+    starts when every silver stream has finished.  A backlog is consumed in micro-batches
+    of bounded bytes (or ``max_files_per_trigger`` files).  The expectation counters are
+    stored before gold starts, so a failed gold refresh loses none.
     """
     from concurrent.futures import ThreadPoolExecutor
 
+    if spark.conf.get("spark.sql.session.timeZone") not in ("UTC", "Etc/UTC", "Z", "+00:00"):
+        raise ValueError("dates are taken in UTC: set spark.sql.session.timeZone to UTC")
     run_id = run_id or new_run_id()
-    # recentProgress must hold every micro-batch of an availableNow run to sum its counters
-    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "100000")
     layout = current_layout(spark, root, new_generation=full_refresh, run_id=run_id)
     sources = [s for s in SOURCES if path_exists(spark, f"{landing.rstrip('/')}/{s}")]
     with ThreadPoolExecutor(max_workers=max(1, len(sources))) as pool:
-        futures = {s: pool.submit(_run_source, spark, landing, layout, s, max_files_per_trigger) for s in sources}
+        futures = {s: pool.submit(_run_source, spark, landing, layout, s, run_id, max_files_per_trigger, retention_days)
+                   for s in sources}
         done = {s: f.result() for s, f in futures.items()}
     gold_paths = refresh_gold(spark, layout, run_id)
-    rows = [(run_id, *m) for s in sources for m in done[s][2]]
-    # one row per rule and run (bounded by the rule list): a single small file per run
-    spark.createDataFrame(rows, METRICS_SCHEMA).coalesce(1).write.mode("append").parquet(layout.metrics)
     touch(spark, f"{layout.base}/{COMPLETE}")
     if register:
-        register_tables(spark, layout, gold_paths)
+        register_tables(spark, layout, gold_paths, database)
+    totals: dict[tuple, list[int]] = {}
+    for s in sources:
+        for _, dataset, rule, action, n_rows, n_failed, _ in done[s][2]:
+            t = totals.setdefault((dataset, rule, action), [0, 0])
+            t[0], t[1] = t[0] + n_rows, t[1] + n_failed
     return RunResult(
-        run_id, layout, gold_paths, rows,
+        run_id, layout, gold_paths, [(run_id, *k, *v) for k, v in totals.items()],
         {SOURCES[s][0]: _rows(done[s][0]) for s in sources},
         {SOURCES[s][1]: _rows(done[s][1]) for s in sources},
     )
 
 
 def read_metrics(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.schema(METRICS_SCHEMA).parquet(readable_layout(spark, root).metrics)
+    """Counters of every micro-batch: run_id, dataset, rule, action, n_rows, n_failed, batch_id."""
+    layout = readable_layout(spark, root)
+    schema = T.StructType([*METRICS_SCHEMA.fields, T.StructField("batch_id", T.LongType())])
+    return spark.read.schema(schema).parquet(layout.metrics).select(*schema.names)

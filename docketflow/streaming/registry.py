@@ -9,6 +9,7 @@ returned frames leave them out; everything else must equal the batch results.
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,13 +21,14 @@ from docketflow.sources.landing import infer_raw_schema, land_json_batch, land_m
 from docketflow.sources.rescue import rescue_json
 from docketflow.sources.standin import standin_source
 from docketflow.streaming.pipeline import (
+    _fs,
     current_layout,
     new_run_id,
     read_bronze,
     read_metrics,
     readable_layout,
     refresh_gold,
-    run_bronze,
+    run_bronze_source,
     run_pipeline,
     table_catalog,
 )
@@ -64,23 +66,42 @@ def _drop_lineage(df: DataFrame) -> DataFrame:
     return df.drop(*LINEAGE_COLUMNS)
 
 
-def _bronze_query(bronze_name: str):
-    def run(spark: SparkSession, sf: str) -> DataFrame:
-        work = new_work_dir(spark, "bronze")
-        land_standin(spark, sf, f"{work}/landing")
-        layout = current_layout(spark, f"{work}/out", run_id=new_run_id())
-        run_bronze(spark, f"{work}/landing", layout)
-        return _drop_lineage(read_bronze(spark, layout, bronze_name))
-    return run
+def _land_source(spark: SparkSession, sf: str, landing: str, source: str, files: int | None = None) -> None:
+    df = standin_source(spark, sf, source, lineage=False)
+    if source == "matters_master":
+        land_master_once(df, landing)
+    else:
+        land_json_batch(df, landing, source, files=files)
 
 
-def rows_per_source_file(spark: SparkSession, sf: str) -> DataFrame:
-    work = new_work_dir(spark, "files")
-    land_standin(spark, sf, f"{work}/landing")
+def _bronze_of(spark: SparkSession, sf: str, source: str, files: int | None = None) -> DataFrame:
+    """One source landed and ingested as the pipeline does it."""
+    work = new_work_dir(spark, "bronze")
+    _land_source(spark, sf, f"{work}/landing", source, files)
     layout = current_layout(spark, f"{work}/out", run_id=new_run_id())
-    run_bronze(spark, f"{work}/landing", layout)
-    bronze = read_bronze(spark, layout, "bronze_time_entries")
-    return bronze.groupBy("_source_file").agg(F.count(F.lit(1)).alias("n_rows"))
+    run_bronze_source(spark, f"{work}/landing", layout, source)
+    return read_bronze(spark, layout, SOURCES[source][0])
+
+
+def _bronze_query(source: str):
+    return lambda spark, sf: _drop_lineage(_bronze_of(spark, sf, source))
+
+
+def rows_per_source_file(spark: SparkSession, sf: str) -> DataFrame:
+    """Provenance of every source, the facts landed as four files each: rows, files, and rows without file or time."""
+    parts = []
+    for source in SOURCES:
+        bronze = _bronze_of(spark, sf, source, files=4)
+        parts.append(bronze.select(
+            F.lit(source).alias("source"), "_source_file", "_ingested_at",
+            F.col("_source_file").rlike(rf"/{source}/[^/]+\.json$").alias("in_landing")))
+    rows = reduce(DataFrame.unionByName, parts)
+    # one landed file per writing task: the count is part of the landing's partitioning, so only "several" is stated
+    return rows.groupBy("source").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(F.col("_source_file").isNull() | F.col("_ingested_at").isNull()).alias("n_unknown"),
+        F.min("in_landing").alias("all_in_landing"),
+        ((F.approx_count_distinct("_source_file") > 1) | (F.col("source") == "matters_master")).alias("several_files"))
 
 
 def land_json_batch_query(spark: SparkSession, sf: str) -> DataFrame:
@@ -108,7 +129,7 @@ def infer_raw_schema_query(spark: SparkSession, sf: str) -> DataFrame:
     return spark.createDataFrame(rows, "source string, field string, type string")
 
 
-# Dirty-line variants derived from each landed time entry (hash of its id picks one).
+# Dirty-line variants of the landed time entries (order key and line number pick one).
 _DIRTY = (
     "line",                                                         # 0 clean
     "replace(line, '\"billable_flag\"', '\"extra_field\":1,\"billable_flag\"')",  # 1 unknown key
@@ -117,7 +138,7 @@ _DIRTY = (
     "concat('[', line, ']')",                                       # 4 top-level array
     "regexp_replace(line, '\"rate_usd\":([0-9]+)', '\"rate_usd\":$1.7')",  # 5 decimal for a bigint
     "regexp_replace(line, '\"hours\":(-?[0-9.E]+)', '\"hours\":\"$1\"')",  # 6 number as string
-    "line",                                                         # 7 clean, followed by a blank line
+    "line",                                                         # 7 clean, followed by blank lines
 )
 
 
@@ -125,21 +146,43 @@ def rescue_json_query(spark: SparkSession, sf: str) -> DataFrame:
     """Rescue parsing over every stand-in time entry (one output row each), a share of lines made dirty."""
     shaped = to_landing_shape(standin_source(spark, sf, "time_entries", lineage=False), "time_entries")
     line = F.to_json(F.struct(*shaped.columns), {"ignoreNullFields": "false"})
-    pick = F.pmod(F.xxhash64("entry_id"), F.lit(len(_DIRTY)))
+    order_key, line_number = (F.split_part("entry_id", F.lit("-"), F.lit(k)).cast("long") for k in (2, 3))
+    pick = F.pmod(order_key * 7 + line_number, F.lit(len(_DIRTY)))
     lines = shaped.select(line.alias("line"), pick.alias("v"))
     variant_case = "CASE v " + " ".join(f"WHEN {i} THEN {e}" for i, e in enumerate(_DIRTY)) + " END"
     # every entry keeps its line; variant 7 adds an extra blank line, which parsing must skip
     texts = lines.select(F.explode(
-        F.when(F.col("v") == len(_DIRTY) - 1, F.array(F.expr(variant_case), F.lit("   ")))
+        F.when(F.col("v") == len(_DIRTY) - 1, F.array(F.expr(variant_case), F.lit("   "), F.lit("\t")))
         .otherwise(F.array(F.expr(variant_case)))
     ).alias("value"))
     return rescue_json(texts, RAW_SCHEMAS["time_entries"])
 
 
+def _files(spark: SparkSession, folder: str) -> set[str]:
+    fs, p = _fs(spark, folder)
+    return {s.getPath().toString() for s in fs.listStatus(p)} if fs.exists(p) else set()
+
+
+def _land_old(spark: SparkSession, sf: str, landing: str, wave: int, days: int = 30) -> None:
+    """Lands a wave whose files carry a modification time ``days`` back, as copies of older files do."""
+    facts = [s for s in SOURCES if s != "matters_master"]
+    before = {s: _files(spark, f"{landing}/{s}") for s in facts}
+    land_standin(spark, sf, landing, wave=wave)
+    then = int((dt.datetime.now().timestamp() - days * 86_400) * 1000)
+    for s in facts:
+        for name in _files(spark, f"{landing}/{s}") - before[s]:
+            fs, p = _fs(spark, name)
+            fs.setTimes(p, then, -1)
+
+
 def _pipeline_root(spark: SparkSession, sf: str, waves: tuple = (None,)) -> str:
+    """A pipeline run after each wave; the second wave's files are older than the first's."""
     work = new_work_dir(spark, "pipe")
     for w in waves:
-        land_standin(spark, sf, f"{work}/landing", wave=w)
+        if w == 2:
+            _land_old(spark, sf, f"{work}/landing", w)
+        else:
+            land_standin(spark, sf, f"{work}/landing", wave=w)
         run_pipeline(spark, f"{work}/landing", f"{work}/out", register=False)
     return f"{work}/out"
 
@@ -157,10 +200,8 @@ def run_pipeline_query(spark: SparkSession, sf: str) -> DataFrame:
 
 def full_refresh_equivalence(spark: SparkSession, sf: str) -> DataFrame:
     """Incremental runs, then a full refresh (fresh generation replaying every file)."""
-    work = new_work_dir(spark, "refresh")
-    for w in (1, 2):
-        land_standin(spark, sf, f"{work}/landing", wave=w)
-        run_pipeline(spark, f"{work}/landing", f"{work}/out", register=False)
+    root = _pipeline_root(spark, sf, waves=(1, 2))
+    work = root.removesuffix("/out")
     run_pipeline(spark, f"{work}/landing", f"{work}/out", full_refresh=True, register=False)
     return TableLayers(spark, f"{work}/out").gold("gold_billable_hours_by_matter_month")
 
@@ -184,12 +225,13 @@ def stream_expectation_metrics(spark: SparkSession, sf: str) -> DataFrame:
 def table_catalog_query(spark: SparkSession, sf: str) -> DataFrame:
     work = new_work_dir(spark, "catalog")
     land_standin(spark, sf, f"{work}/landing")
-    run_pipeline(spark, f"{work}/landing", f"{work}/out", register=True)
-    return table_catalog(spark)
+    database = "docketflow_" + work.rsplit("-", 1)[1]
+    run_pipeline(spark, f"{work}/landing", f"{work}/out", register=True, database=database)
+    return table_catalog(spark, database)
 
 
 STREAM_QUERIES = {
-    **{bronze: _bronze_query(bronze) for bronze, _ in SOURCES.values()},
+    **{bronze: _bronze_query(source) for source, (bronze, _) in SOURCES.items()},
     "rows_per_source_file": rows_per_source_file,
     "land_json_batch": land_json_batch_query,
     "land_master_once": land_master_once_query,
