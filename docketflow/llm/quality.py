@@ -55,6 +55,15 @@ def word_set(text: str | None) -> set[str]:
     return found
 
 
+def code(word: str) -> int:
+    return zlib.crc32(word.encode("utf-8", "surrogatepass"))
+
+
+def codes(text: str | None) -> list[int]:
+    """The words of ``word_set`` as 32-bit codes: what the sample and the model hold."""
+    return sorted({code(w) for w in word_set(text)})
+
+
 def shape(text: str | None) -> list[float]:
     """Shares that describe a text's form."""
     text = text or ""
@@ -134,7 +143,7 @@ class Model:
         self.prior, self.columns = prior, {}
 
     def content(self, texts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        found = [[c for w in word_set(t) if (c := self.columns.get(w)) is not None] for t in texts]
+        found = [[c for w in word_set(t) if (c := self.columns.get(code(w))) is not None] for t in texts]
         rows, cols = sparse(found)
         return self.with_shape(rows, cols, np.array([shape(t) for t in texts]).reshape(len(texts), -1))
 
@@ -170,25 +179,21 @@ def fit(rows: pd.DataFrame) -> Model:
         return model
     held = known & (np.arange(len(rows)) % 4 == 3)
     train, pool = known & ~held, ~known
-    words = rows["words"].tolist()
-    good, bad = {}, {}
-    for k in np.flatnonzero(train):
-        side = good if y[k] else bad
-        for w in words[k]:
-            side[w] = side.get(w, 0) + 1
-    n_good, n_bad = max(1, int(y[train].sum())), max(1, int((1 - y[train]).sum()))
-    n = n_good + n_bad
-    chi = {}
-    for w in good.keys() | bad.keys():
-        a, b = bad.get(w, 0), good.get(w, 0)
-        if a + b >= 4:
-            e = (a + b) * n_bad / n
-            chi[w] = (a - e) ** 2 / e + (a - e) ** 2 / max(1e-9, (a + b) - e)
-    chosen = sorted(chi, key=lambda w: (-chi[w], w))[:FEATURES]
-    model.columns = {w: k for k, w in enumerate(chosen)} or {"": 0}
+    words = [np.asarray(w, np.int64) for w in rows["words"]]
+    seen = [np.unique(np.concatenate([words[k] for k in np.flatnonzero(train & (y == side))]), return_counts=True) for side in (0, 1)]
+    n_bad, n_good = int((1 - y[train]).sum()), int(y[train].sum())
+    every = np.union1d(seen[0][0], seen[1][0])
+    bad, good = np.zeros(len(every)), np.zeros(len(every))
+    for counts, (u, n) in zip((bad, good), seen, strict=True):
+        counts[np.searchsorted(every, u)] = n
+    both = bad + good
+    expected = both * n_bad / (n_bad + n_good)
+    chi = np.where(both >= 4, (bad - expected) ** 2 / expected + (bad - expected) ** 2 / np.maximum(1e-9, both - expected), -1)
+    chosen = every[np.lexsort((every, -chi))[:FEATURES]][: int((chi >= 0).sum())]
+    model.columns = {int(w): k for k, w in enumerate(chosen)} or {-1: 0}
     form = np.array(rows["form"].tolist())
     model.mean, model.spread = form[train].mean(0), form[train].std(0) + 1e-6
-    cr, cc = sparse([[model.columns[w] for w in ws if w in model.columns] for ws in words])
+    cr, cc = sparse([[model.columns[w] for w in ws.tolist() if w in model.columns] for ws in words])
     content = model.with_shape(cr, cc, form)
     mr, mc = sparse([meta_row(*x) for x in zip(rows["source"], rows["lang"], rows["size"], strict=True)])
     meta = (mr, mc, np.ones(len(mc)))
@@ -231,11 +236,11 @@ def sample(docs: DataFrame, labels: DataFrame, seed: int = 3) -> pd.DataFrame:
 
     def describe(batches):
         for rows in batches:
-            words = [sorted(word_set(t))[:WORDS] for t in rows["text"]]
+            words = [codes(t)[:WORDS] for t in rows["text"]]
             yield pd.DataFrame({"doc_id": rows["doc_id"], "words": words, "form": [shape(t) for t in rows["text"]], "source": rows["source"], "lang": rows["lang"], "size": rows["size"], "y": rows["y"]})
 
     src = docs.select("doc_id", "text", F.col("source").cast("string"), F.col("lang").cast("string"), F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("size"))
-    out = src.join(F.broadcast(wanted), "doc_id").mapInPandas(describe, "doc_id long, words array<string>, form array<double>, source string, lang string, size long, y double")
+    out = src.join(F.broadcast(wanted), "doc_id").mapInPandas(describe, "doc_id long, words array<long>, form array<double>, source string, lang string, size long, y double")
     found = out.toPandas()
     found["rank"] = [zlib.crc32(str(int(i)).encode()) for i in found["doc_id"]]
     return found.sort_values(["rank", "doc_id"]).drop_duplicates("doc_id")

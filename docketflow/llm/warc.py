@@ -84,18 +84,18 @@ def write_archives(pages: DataFrame, folder: str, id_col: str, url_col: str, htm
         for batch in batches:
             for page, url, html, ref in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if out is None:
-                    name, n, size = f"{base}/{uuid.uuid4().hex}.warc.gz", 0, 0
-                    out = system.open_output_stream(name, compression=None)
+                    name, n, size = f"{uuid.uuid4().hex}.warc.gz", 0, 0
+                    out = system.open_output_stream(f"{base}/{name}", compression=None)
                 data = member(record(page, url, html.encode("utf-8", "surrogatepass"), ref))
                 out.write(data)
                 n, size = n + 1, size + len(data)
                 if size >= roll:
                     out.close()
                     out = None
-                    yield pa.RecordBatch.from_pylist([{"path": name, "records": n, "bytes": size}])
+                    yield pa.RecordBatch.from_pylist([{"path": f"{folder}/{name}", "records": n, "bytes": size}])
         if out is not None:
             out.close()
-            yield pa.RecordBatch.from_pylist([{"path": name, "records": n, "bytes": size}])
+            yield pa.RecordBatch.from_pylist([{"path": f"{folder}/{name}", "records": n, "bytes": size}])
 
     return saved(rows.mapInArrow(write, "path string, records long, bytes long"), "warc-manifest")
 
@@ -203,11 +203,7 @@ def read_archives(manifest: DataFrame) -> DataFrame:
 def op5_warc(spark, sf_dir: str) -> DataFrame:
     """Query over the whole of ``pages``: page_id, payload_bytes, payload_digest, record_type, refers_to, verified."""
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
-    folder = new_work_dir(spark, "warc")
-    manifest = write_archives(pages, folder, "page_id", "url", "html")
-    prefix = folder.split("/", 1)[0] if folder.startswith("file:") else ""
-    paths = manifest.withColumn("path", F.concat(F.lit(prefix + "//" if prefix else ""), "path"))
-    found = read_archives(paths)
+    found = read_archives(write_archives(pages, new_work_dir(spark, "warc"), "page_id", "url", "html"))
     return found.select(F.col("page").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast("long"), "verified")
 
 
