@@ -32,7 +32,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-FIT, POOL, WORDS, ROUNDS, SHARE, FEATURES, META = 12_000, 4_000, 4_000, 3, 0.05, 400, 256
+FIT, POOL, WORDS, ROUNDS, SHARE, FEATURES, META = 10_000, 4_000, 4_000, 3, 0.05, 400, 256
 #: Lengths of word beginnings.
 STARTS = (4, 5, 6)
 TOKEN = re.compile(r"[^\W_]+|[^\w\s]{2,}|\|")
@@ -236,12 +236,13 @@ def sample(docs: DataFrame, labels: DataFrame, seed: int = 3) -> pd.DataFrame:
 
     def describe(batches):
         for rows in batches:
-            words = [codes(t)[:WORDS] for t in rows["text"]]
+            words = [np.array(codes(t)[:WORDS], np.uint32).tobytes() for t in rows["text"]]
             yield pd.DataFrame({"doc_id": rows["doc_id"], "words": words, "form": [shape(t) for t in rows["text"]], "source": rows["source"], "lang": rows["lang"], "size": rows["size"], "y": rows["y"]})
 
     src = docs.select("doc_id", "text", F.col("source").cast("string"), F.col("lang").cast("string"), F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("size"))
-    out = src.join(F.broadcast(wanted), "doc_id").mapInPandas(describe, "doc_id long, words array<long>, form array<double>, source string, lang string, size long, y double")
-    found = out.toPandas()
+    out = src.join(F.broadcast(wanted), "doc_id").mapInPandas(describe, "doc_id long, words binary, form array<double>, source string, lang string, size long, y double")
+    found = out.toArrow().to_pandas()
+    found["words"] = [np.frombuffer(w, np.uint32) for w in found["words"]]
     found["rank"] = [zlib.crc32(str(int(i)).encode()) for i in found["doc_id"]]
     return found.sort_values(["rank", "doc_id"]).drop_duplicates("doc_id")
 
