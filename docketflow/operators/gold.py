@@ -49,45 +49,45 @@ def _join_branches(key_names: tuple[str, ...], main: DataFrame, *others: DataFra
                       *[c for c in out.columns if c != "_k"])
 
 
-def billable_hours_by_matter_month(time_entries: DataFrame) -> DataFrame:
+# ---- pre-aggregates that several gold tables share ----
+
+def billable_by_user_month(time_entries: DataFrame) -> DataFrame:
+    """Billable sums per (matter, month, user): the rows that G1's sums and the summary's revenue come from."""
+    return _billable(time_entries).groupBy("matter_id", F.trunc("entry_date", "month").alias("entry_month"), "user_id").agg(
+        F.sum("hours").alias("hours"), F.sum("billable_amount_usd").alias("amount"), F.max("entry_date").alias("last_date"))
+
+
+def doc_activity_by_doc(doc_audit: DataFrame) -> DataFrame:
+    """Audit rows per (matter, action, document): the rows that G2's counts and the summary's documents come from."""
+    return doc_audit.groupBy("matter_id", "action", "doc_id").agg(
+        F.count(F.lit(1)).alias("n"), F.min("audit_ts").alias("first_ts"), F.max("audit_ts").alias("last_ts"))
+
+
+def billable_hours_by_matter_month(time_entries: DataFrame, by_user: DataFrame | None = None) -> DataFrame:
     """Billable hours, revenue, distinct users and distinct entries per (matter, month).
 
-    Sums and users are pre-aggregated per (matter, month, user) -- tiny after the
-    map-side combine -- and entries are counted through (matter, month, entry_id).
+    Sums and users come from the rows per (matter, month, user) -- tiny after the
+    map-side combine, and ready if ``by_user`` is a written table -- and entries are
+    counted through (matter, month, entry_id).
     """
-    rows = _billable(time_entries).select(
-        _group_key("matter_id", F.trunc("entry_date", "month").alias("entry_month")),
-        "user_id", "entry_id", "hours", "billable_amount_usd",
-    )
-    sums = (
-        rows.groupBy("_k", "user_id")
-        .agg(F.sum("hours").alias("h"), F.sum("billable_amount_usd").alias("a"))
-        .groupBy("_k")
-        .agg(
-            F.sum("h").cast(HOURS_SUM_TYPE).alias("total_hours"),
-            F.sum("a").cast(AMOUNT_SUM_TYPE).alias("total_revenue_usd"),
-            F.count("user_id").alias("distinct_users"),  # one row per non-NULL user
-        )
+    by_user = billable_by_user_month(time_entries) if by_user is None else by_user
+    sums = by_user.select(_group_key("matter_id", "entry_month"), "user_id", "hours", "amount").groupBy("_k").agg(
+        F.sum("hours").cast(HOURS_SUM_TYPE).alias("total_hours"),
+        F.sum("amount").cast(AMOUNT_SUM_TYPE).alias("total_revenue_usd"),
+        F.count("user_id").alias("distinct_users"),  # one row per non-NULL user
     )
-    entries = rows.groupBy("_k").agg(F.countDistinct("entry_id").alias("entry_count"))
+    month = F.trunc("entry_date", "month").alias("entry_month")
+    entries = _billable(time_entries).select(_group_key("matter_id", month), "entry_id").groupBy("_k").agg(F.countDistinct("entry_id").alias("entry_count"))
     return _join_branches(("matter_id", "entry_month"), sums, entries)
 
 
-def doc_activity_by_matter(doc_audit: DataFrame) -> DataFrame:
+def doc_activity_by_matter(doc_audit: DataFrame, by_doc: DataFrame | None = None) -> DataFrame:
     """Events, distinct documents and users, first/last time per (matter, action)."""
-    rows = doc_audit.select(_group_key("matter_id", "action"), "doc_id", "user_id", "audit_ts")
-    per_doc = (
-        rows.groupBy("_k", "doc_id")
-        .agg(F.count(F.lit(1)).alias("n"), F.min("audit_ts").alias("lo"), F.max("audit_ts").alias("hi"))
-        .groupBy("_k")
-        .agg(
-            F.sum("n").alias("event_count"),
-            F.count("doc_id").alias("distinct_docs"),
-            F.min("lo").alias("first_seen"),
-            F.max("hi").alias("last_seen"),
-        )
-    )
-    users = rows.groupBy("_k").agg(F.countDistinct("user_id").alias("distinct_users"))
+    by_doc = doc_activity_by_doc(doc_audit) if by_doc is None else by_doc
+    per_doc = by_doc.select(_group_key("matter_id", "action"), "doc_id", "n", "first_ts", "last_ts").groupBy("_k").agg(
+        F.sum("n").alias("event_count"), F.count("doc_id").alias("distinct_docs"),
+        F.min("first_ts").alias("first_seen"), F.max("last_ts").alias("last_seen"))
+    users = doc_audit.select(_group_key("matter_id", "action"), "user_id").groupBy("_k").agg(F.countDistinct("user_id").alias("distinct_users"))
     return _join_branches(("matter_id", "action"), per_doc, users).select(*GOLD_COLUMNS["gold_doc_activity_by_matter"])
 
 
@@ -114,6 +114,16 @@ def summary_revenue(time_entries: DataFrame) -> DataFrame:
     )
 
 
+def summary_revenue_from(by_user: DataFrame) -> DataFrame:
+    """Same rows as :func:`summary_revenue`, from the shared rows per (matter, month, user)."""
+    return by_user.groupBy("matter_id").agg(
+        F.sum("hours").cast(HOURS_SUM_TYPE).alias("total_billable_hours"),
+        F.sum("amount").cast(AMOUNT_SUM_TYPE).alias("total_revenue_usd"),
+        F.countDistinct("user_id").alias("distinct_timekeepers"),
+        F.max("last_date").alias("last_billed_date"),
+    )
+
+
 def summary_lifecycle(matter_events: DataFrame) -> DataFrame:
     return matter_events.groupBy("matter_id").agg(
         F.min("event_ts").alias("first_event_ts"),
@@ -138,6 +148,11 @@ def summary_doc_activity(doc_audit: DataFrame) -> DataFrame:
     )
 
 
+def summary_doc_activity_from(by_doc: DataFrame) -> DataFrame:
+    """Same rows as :func:`summary_doc_activity`, from the shared rows per (matter, action, document)."""
+    return by_doc.groupBy("matter_id").agg(F.sum("n").alias("total_doc_events"), F.countDistinct("doc_id").alias("distinct_docs"))
+
+
 def matter_summary_from_branches(matters: DataFrame, revenue: DataFrame, lifecycle: DataFrame,
                                  doc_activity: DataFrame) -> DataFrame:
     """Dimension-driven star roll-up: facts without a dimension row do not appear."""

@@ -308,10 +308,11 @@ def read_layer_table(spark: SparkSession, root: str, name: str) -> DataFrame:
 def refresh_gold(spark: SparkSession, layout: Layout, run_id: str, parallel: bool = True) -> dict[str, str]:
     """Recompute all gold tables from silver into new version directories; return their paths.
 
-    The three per-fact tables are independent jobs and are submitted concurrently
-    (their small final stages then overlap instead of leaving cores idle).  The
-    lifecycle table is read back for the summary's lifecycle branch (one row per
-    matter), so silver events are scanned once per refresh.
+    Two pre-aggregates are written first: billable sums per (matter, month, user) and audit
+    rows per (matter, action, document).  The monthly, document and summary tables share
+    them, so each fact is read twice per refresh (pre-aggregate and the other distinct
+    count) and the summary never touches silver facts.  Independent tables are submitted
+    concurrently (their small final stages then overlap instead of leaving cores idle).
     """
     from concurrent.futures import ThreadPoolExecutor
 
@@ -321,24 +322,33 @@ def refresh_gold(spark: SparkSession, layout: Layout, run_id: str, parallel: boo
 
     def write(name: str, df: DataFrame) -> DataFrame:
         path = f"{layout.table('gold', name)}/{version}"
-        G.contract(df, name).write.parquet(path)
-        written[name] = path
-        return spark.read.parquet(path)
-
-    independent = {
-        "gold_billable_hours_by_matter_month": lambda: G.billable_hours_by_matter_month(silver["silver_time_entries"]),
-        "gold_doc_activity_by_matter": lambda: G.doc_activity_by_matter(silver["silver_doc_audit"]),
-        "gold_matter_lifecycle": lambda: G.matter_lifecycle(silver["silver_matter_events"]),
-    }
-    with ThreadPoolExecutor(max_workers=len(independent) if parallel else 1) as pool:
-        futures = {name: pool.submit(lambda n=name, b=build: write(n, b())) for name, build in independent.items()}
-        results = {name: f.result() for name, f in futures.items()}
-    write("gold_matter_summary", G.matter_summary_from_branches(
-        silver["silver_matters_master"],
-        G.summary_revenue(silver["silver_time_entries"]),
-        G.summary_lifecycle_from_gold(results["gold_matter_lifecycle"]),
-        G.summary_doc_activity(silver["silver_doc_audit"]),
-    ))
+        if name in GOLD_COLUMNS:
+            df = G.contract(df, name)
+            written[name] = path
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    def together(tables: dict) -> dict[str, DataFrame]:
+        with ThreadPoolExecutor(max_workers=len(tables) if parallel else 1) as pool:
+            futures = {name: pool.submit(write, name, df) for name, df in tables.items()}
+            return {name: f.result() for name, f in futures.items()}
+
+    entries, docs = silver["silver_time_entries"], silver["silver_doc_audit"]
+    shared = together({
+        "_by_user_month": G.billable_by_user_month(entries),
+        "_by_doc": G.doc_activity_by_doc(docs),
+        "gold_matter_lifecycle": G.matter_lifecycle(silver["silver_matter_events"]),
+    })
+    together({
+        "gold_billable_hours_by_matter_month": G.billable_hours_by_matter_month(entries, shared["_by_user_month"]),
+        "gold_doc_activity_by_matter": G.doc_activity_by_matter(docs, shared["_by_doc"]),
+        "gold_matter_summary": G.matter_summary_from_branches(
+            silver["silver_matters_master"],
+            G.summary_revenue_from(shared["_by_user_month"]),
+            G.summary_lifecycle_from_gold(shared["gold_matter_lifecycle"]),
+            G.summary_doc_activity_from(shared["_by_doc"]),
+        ),
+    })
     return written
 
 

@@ -60,3 +60,25 @@ def test_unused_distinct_branch_is_pruned(spark, key):
     """Reports that read only sums from a two-distinct gold table do not compute its distinct branch."""
     plan = BATCH_QUERIES[key](spark, SF001)._jdf.queryExecution().optimizedPlan().toString()
     assert "Join LeftOuter" not in plan and "count(distinct" not in plan.lower(), plan[:2000]
+
+
+def test_gold_refresh_reads_each_fact_twice(spark, monkeypatch):
+    """The shared pre-aggregates: two scans of silver entries and of silver audit rows, none in the summary."""
+    from conftest import SF0001
+    from docketflow.operators import gold as G
+    from docketflow.session import new_work_dir
+    from docketflow.streaming import pipeline as P
+    from docketflow.streaming.registry import land_standin
+
+    work = new_work_dir(spark, "scans")
+    land_standin(spark, SF0001, f"{work}/landing")
+    plans = {}
+    real = G.contract
+    monkeypatch.setattr(G, "contract", lambda df, name: plans.setdefault(name, real(df, name)))
+    res = P.run_pipeline(spark, f"{work}/landing", f"{work}/out", register=False)
+    scans = {n: _plan(df).count("FileScan parquet") for n, df in plans.items()}
+    # one scan of the pre-aggregate and one of the silver fact; the summary: dimension, lifecycle and two pre-aggregates
+    assert scans["gold_billable_hours_by_matter_month"] == scans["gold_doc_activity_by_matter"] == 2
+    assert scans["gold_matter_summary"] == 4
+    assert not any("/silver_time_entries/" in f or "/silver_doc_audit/" in f for f in plans["gold_matter_summary"].inputFiles())
+    assert set(res.gold_paths) == set(plans)
