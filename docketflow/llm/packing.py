@@ -45,8 +45,12 @@ def unit_bounds(part: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.nd
         kind[a:b] = 1
     kind[0x27] = 0
     k = kind[part]
-    border = np.flatnonzero(k[1:] * k[:-1] == 2) + 1
-    return np.union1d(lo, border), np.union1d(hi, border)
+    border = k[1:] * k[:-1] == 2
+    begin, end = np.zeros(len(part) + 1, bool), np.zeros(len(part) + 1, bool)
+    begin[lo], end[hi] = True, True
+    begin[1:-1] |= border
+    end[1:-1] |= border
+    return np.flatnonzero(begin), np.flatnonzero(end)
 
 
 class UnitIds:
