@@ -72,7 +72,7 @@ def shape(text: str | None) -> list[float]:
     lines = text.count("\n") + 1
     return [
         np.log1p(len(words)) / 10, len(set(words)) / w, text.count("!") / w, sum(text.count(c) for c in "#$%&*@^~=<>{}[]\\") / w, text.count("|") / w,
-        sum(map(text.count, ".,;:?")) / w, sum(c.isupper() for c in text[:2000]) / min(n, 2000), sum(c.isdigit() for c in text[:2000]) / min(n, 2000), n / w / 10, np.log1p(lines) / 5,
+        sum(map(text.count, ".,;:?")) / w, sum(map(str.isupper, words)) / w, sum(map(text.count, "0123456789")) / n, n / w / 10, np.log1p(lines) / 5,
     ]
 
 
