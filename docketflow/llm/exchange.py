@@ -25,7 +25,7 @@ BLOBS_ARROW = pa.schema([("grp", pa.int32()), ("bucket", pa.int32()), ("n", pa.i
 REPLIES_ARROW = pa.schema([("grp", pa.int32()), ("bucket", pa.int32()), ("body", pa.binary())])
 #: Bytes of text in one sending group, and keys in one tally: both bound a task's memory.
 GROUP_BYTES = 6 << 20
-TALLY_KEYS = 3_000_000
+TALLY_KEYS = 1_500_000
 
 
 def pack(keys: np.ndarray) -> bytes:

@@ -11,7 +11,7 @@ import pyarrow as pa
 
 #: ASCII white space: the separators of the word pattern [^\x20\x09-\x0D]+.
 SPACES = b" \t\n\x0b\x0c\r"
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 BASE = 0x9E3779B97F4A7C15
 BASE_2 = 0xD6E8FEB86659FD93
 
