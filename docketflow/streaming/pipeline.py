@@ -215,19 +215,31 @@ def _finished(query) -> list:
 # ---------------------------------------------------------------- expectation counters
 
 def _batch_files(spark: SparkSession, checkpoint: str) -> dict[int, list[str]]:
-    """Input files of each committed micro-batch, from the stream's own log of the files it read."""
-    done = {int(n) for n in list_children(spark, f"{checkpoint}/commits") if n.isdigit()}
+    """Input files of each committed micro-batch, from the stream's own log of the files it read.
+
+    Spark purges the logs of commits and offsets, but not that of the files: all of its
+    batches up to the end of the last committed one are done.
+    """
+    done = [int(n) for n in list_children(spark, f"{checkpoint}/commits") if n.isdigit()]
     if not done:
         return {}
+    offsets = [r.value for r in spark.read.text(f"{checkpoint}/offsets/{max(done)}").collect()]
+    end = max(_log_offset(v) for v in offsets if "logOffset" in v)
     lines = spark.read.text(f"{checkpoint}/sources/0").where(F.col("value").startswith("{")).distinct()
     entries = lines.select(F.from_json("value", "path string, batchId long").alias("f")).select("f.*").distinct().collect()
-    files: dict[int, list[str]] = {b: [] for b in done}
+    files: dict[int, list[str]] = {}
     for path, batch in entries:
-        if batch in files:
-            files[batch].append(path)
+        if batch <= end:
+            files.setdefault(batch, []).append(path)
     return files
 
 
+def _log_offset(offset: str | None) -> int:
+    """Number of a batch in the log of files, from an offset of the file source; -1 before the first one."""
+    found = re.search(r'"logOffset"\s*:\s*(-?\d+)', offset or "")
+    return int(found[1]) if found else -1
+
+
 def record_metrics(spark: SparkSession, layout: Layout, source: str, run_id: str, progress: list) -> list[tuple]:
     """Stores the counters of every committed silver micro-batch that has none yet; returns this call's rows.
 
@@ -240,16 +252,18 @@ def record_metrics(spark: SparkSession, layout: Layout, source: str, run_id: str
     rules, obs = SILVER[name].rules, f"dq_{name}"
     stored = {int(n.split("=", 1)[1]) for n in list_children(spark, f"{layout.metrics}/dataset={name}") if n.startswith("batch_id=")}
     files = {b: f for b, f in _batch_files(spark, layout.checkpoint("silver", name)).items() if b not in stored}
-    seen = {p.batchId: p.observedMetrics[obs].asDict() for p in progress if obs in (p.observedMetrics or {})}
+    seen = {}
+    for p in progress:
+        start, end = _log_offset(p.sources[0].startOffset), _log_offset(p.sources[0].endOffset)
+        if obs in (p.observedMetrics or {}) and end == start + 1:  # else its files are of several batches of the log
+            seen[end] = p.observedMetrics[obs].asDict()
     rows = []
     for batch in sorted(files):
         if batch in seen:
             counted = [m[1:] for m in metrics_rows(name, rules, [seen[batch]])]
-        elif files[batch]:
+        else:
             bronze = spark.read.schema(bronze_schema(source)).parquet(*files[batch])
             counted = [tuple(r)[1:] for r in metrics_frame(SILVER[name].typed(bronze), name, rules).collect()]  # one row per rule
-        else:
-            counted = [m[1:] for m in metrics_rows(name, rules, [])]
         rows += [(run_id, name, *c, batch) for c in counted]
     if rows:
         # one small file per micro-batch and dataset

@@ -277,3 +277,18 @@ def test_refuses_other_time_zones(spark):
             run_pipeline(spark, "/none", "/none")
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_counters_of_more_batches_than_spark_keeps(spark):
+    """Spark purges commits and progress after 100 micro-batches; every batch has its counters all the same."""
+    from docketflow.streaming import pipeline as P
+
+    work = new_work_dir(spark, "batches")
+    landing, n = f"{work}/landing", 104
+    for k in range(n):
+        _write(f"{landing}/matters_master", [json.dumps(MASTER[k % 2])])
+    layout = P.current_layout(spark, f"{work}/out", run_id="r")
+    rows = P._run_source(spark, landing, layout, "matters_master", "r", 1, P.LANDING_RETENTION_DAYS)[2]
+    assert sorted({r[-1] for r in rows}) == list(range(n))
+    assert {rule: sum(r[4] for r in rows if r[2] == rule) for rule in {r[2] for r in rows}} == dict.fromkeys({r[2] for r in rows}, n)
+    assert P.record_metrics(spark, layout, "matters_master", "r", []) == []
