@@ -20,7 +20,8 @@ in all, df of them with the element, exact copies included in both.
 Defined cases: a null text is a class of its own; equal texts (also empty ones) are one
 class; a text with fewer words than a shingle has one element, all its words; a text
 without words has none and is linked by equality only; repeated rows are members of
-the same class.  Nothing is capped: large buckets and classes are split into blocks.
+the same class; classes without an id, or with one that another class has, are told
+apart by their component.  Nothing is capped: large buckets and classes are split into blocks.
 """
 
 from __future__ import annotations
@@ -218,7 +219,11 @@ def _in_blocks(members: DataFrame, key: str, n: str, block: int, rows: int) -> D
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, threshold: float = 0.8, bands: int = 16, rows: int = 4) -> DataFrame:
-    """One row per document: id, node (digest of its text), class_id (the smallest id of its class), class_size."""
+    """One row per document: id, node (digest of its text), comp (the key of its class), class_id (the smallest id of its class), class_size.
+
+    Only comp identifies a class: different classes have one class_id if their ids are null or repeated.
+    A null text has neither node nor comp.
+    """
     spark, samples = docs.sparkSession, bands * rows
     plain = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     groups, buckets = X.sizes(plain, "text")
@@ -313,16 +318,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     label = reps.join(classes, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     sizes = label.groupBy("comp").agg(F.min("rid").alias("class_id"), F.sum("num").alias("class_size"))
-    per_text = saved(label.join(sizes, "comp").select("node", "class_id", "class_size"), "classes")
+    per_text = saved(label.join(sizes, "comp").select("node", "comp", "class_id", "class_size"), "classes")
     rows_out = plain.select("id", F.when(F.col("text").isNotNull(), node).alias("node")).join(per_text, "node", "left")
     alone = F.col("node").isNull()
-    return rows_out.select("id", "node", F.when(alone, F.col("id")).otherwise(F.col("class_id")).alias("class_id"), F.when(alone, F.lit(1).cast("long")).otherwise(F.col("class_size")).alias("class_size"))
+    return rows_out.select("id", "node", "comp", F.when(alone, F.col("id")).otherwise(F.col("class_id")).alias("class_id"), F.when(alone, F.lit(1).cast("long")).otherwise(F.col("class_size")).alias("class_size"))
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Of each class the document with the smallest id (first copy of its text), and every null text: id, text, carried."""
     classes = near_duplicates(docs, id_col, text_col)
-    kept = classes.where("node is not null").groupBy("class_id").agg(F.min(F.when(F.col("id").eqNullSafe(F.col("class_id")), F.col("node"))).alias("node"))
+    kept = classes.where("node is not null and id <=> class_id").groupBy("comp").agg(F.min("class_id").alias("class_id"), F.min("node").alias("node"))
     groups, _ = X.sizes(docs, text_col)
     base = X.grouped(docs, id_col, text_col, groups, F.md5(F.col(text_col).cast("string")))
     carried = X.arrow(base, "carried")
@@ -342,7 +347,40 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return base.groupBy("grp").cogroup(keep.groupBy("grp")).applyInArrow(pick, X.shape(base, ["id", "text", "carried"]))
 
 
+def numbered(df: DataFrame, label: str) -> DataFrame:
+    """``df`` as a written table with a column nth: 0, 1, 2, ... over all rows."""
+    own = F.monotonically_increasing_id()
+    table = saved(df.select("*", F.shiftright(own, 33).alias("part"), own.bitwiseAND((1 << 33) - 1).alias("nth")), label)
+    counts = sorted((r.part, r.n) for r in table.groupBy("part").agg(F.count(F.lit(1)).alias("n")).collect())  # a row per task
+    before = np.cumsum([0, *[n for _, n in counts]]).tolist()
+    starts = df.sparkSession.createDataFrame([(p, b) for (p, _), b in zip(counts, before)], "part long, start long")
+    return table.join(F.broadcast(starts), "part").withColumn("nth", F.col("start") + F.col("nth")).drop("part", "start")
+
+
+def distinct_ids(found: DataFrame) -> DataFrame:
+    """id, class_id, class_size of ``near_duplicates`` with a class_id for each class, and each null text, of its own.
+
+    Of the classes with one smallest id the first keeps it.  The others, and those whose
+    ids are all null, get numbers that no document has: below the smallest id, or above
+    the largest if there is no room.
+    """
+    rows = saved(found.select("id", F.coalesce(F.hex("comp"), F.concat(F.lit("row "), F.monotonically_increasing_id().cast("string"))).alias("key"), "class_id", "class_size"), "rows")
+    classes = rows.groupBy("key").agg(F.min("class_id").alias("class_id"))
+    first = classes.where("class_id is not null").groupBy("class_id").agg(F.min("key").alias("key"))
+    others = numbered(classes.join(first, "key", "left_anti").select("key"), "unnamed")
+    n = others.count()
+    low, high = rows.agg(F.min("id"), F.max("id")).first()
+    low, high = min(0, 0 if low is None else low), max(0, 0 if high is None else high)
+    if low - n >= -(2**63):
+        number = F.lit(low - 1) - F.col("nth") if n else F.lit(0).cast("long")
+    elif high + n < 2**63:
+        number = F.lit(high + 1) + F.col("nth")
+    else:
+        raise ValueError(f"no room for {n} class ids below {low} or above {high}")
+    return rows.join(others.select("key", number.cast("long").alias("number")), "key", "left").select("id", F.coalesce("number", "class_id").alias("class_id"), "class_size")
+
+
 def op9_minhash_dedup(spark, sf_dir: str) -> DataFrame:
     """Query over the whole of ``documents``: doc_id, class_id, class_size."""
-    found = near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
+    found = distinct_ids(near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")))
     return found.select(F.col("id").alias("doc_id"), "class_id", "class_size")

@@ -79,6 +79,19 @@ def test_repeated_and_null_ids_and_empty(spark):
     assert M.near_duplicates(documents(spark, ["only one"])).count() == 1
 
 
+def test_different_texts_under_null_or_one_id(spark):
+    texts = ["first of all", "quite another", "first of all", "third text", "fourth text", "fourth text", None, None, None, "fifth"]
+    docs = documents(spark, texts, ids=[None, None, None, 7, 7, 8, None, 7, 7, -(2**63) + 1])
+    kept = sorted(((r.id, r.text) for r in M.one_of_each(docs).collect()), key=repr)
+    assert kept == sorted([(None, "first of all"), (None, "quite another"), (7, "third text"), (7, "fourth text"), (None, None), (7, None), (7, None), (-(2**63) + 1, "fifth")], key=repr)
+    for some in (docs, docs.where("doc_id is null or doc_id > 0"), docs.where("doc_id is null")):
+        got = M.distinct_ids(M.near_duplicates(some)).collect()
+        size = collections.Counter(r.class_id for r in got)
+        assert len(got) == some.count() and None not in size and all(size[r.class_id] == r.class_size for r in got)
+        n_texts = some.where("text is not null").select("text").distinct().count() + some.where("text is null").count()
+        assert len(size) == n_texts
+
+
 def test_samples_agree_as_often_as_the_weighted_similarity():
     rng, table = np.random.default_rng(1), M.draws(64)
     for n in (100, 20_000):
