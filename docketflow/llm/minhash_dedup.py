@@ -8,9 +8,11 @@ in all, df of them with the element, exact copies included in both.
 1. Exact copies meet by a 128-bit digest; one of each set goes on, with its count.
 2. Document frequencies of all elements are counted in packed form (``exchange``).
 3. Improved consistent weighted sampling draws ``rows * bands`` samples a text; a band
-   is ``rows`` of them.  Texts that share a band, and agree in at least half of all
-   samples, are candidates (at a true similarity of 0.8 a lower agreement has a chance
-   of under 1e-5).  Buckets are compared in blocks of bounded size.
+   is ``rows`` of them.  Texts that share a band, and agree in at least two fifths of all
+   samples, are candidates.  Frequent elements weigh 1 and unique ones 2, so that a pair
+   at a plain similarity of 0.8 may have a weighted one of only 2/3; there the bands miss
+   1.5 in 10,000, and a lower agreement has a chance of about 1e-6.  Buckets are compared
+   in blocks of bounded size.
 4. Inside each connected set of candidates all pairs are compared exactly, in blocks:
    a link is a weighted Jaccard similarity of ``threshold`` or more, or a plain one
    (the weights of common elements are low; they must not hide a near copy).  A block
@@ -40,7 +42,7 @@ from docketflow.llm.components import components, linked, saved
 DF_BITS = 48  # a collision only moves one weight a little
 TABLE_BITS = 12
 BUCKET_BLOCK, CLASS_BLOCK, BATCH_ROWS = 512, 192, 8000
-AGREE = 0.5
+AGREE = 0.4
 COLUMNS = 8192
 
 
@@ -218,7 +220,7 @@ def _in_blocks(members: DataFrame, key: str, n: str, block: int, rows: int) -> D
     )
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, threshold: float = 0.8, bands: int = 16, rows: int = 4) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, threshold: float = 0.8, bands: int = 25, rows: int = 3) -> DataFrame:
     """One row per document: id, node (digest of its text), comp (the key of its class), class_id (the smallest id of its class), class_size.
 
     Only comp identifies a class: different classes have one class_id if their ids are null or repeated.

@@ -1,4 +1,5 @@
 import collections
+import inspect
 import math
 import random
 
@@ -109,6 +110,24 @@ def test_samples_agree_as_often_as_the_weighted_similarity():
         assert abs(np.mean(agree) - shared / (shared + 2 * own)) < 0.03
 
 
+def test_candidates_reach_plain_similarity_in_a_hot_group():
+    """At a plain 0.8 with shared elements of weight 1 and own ones of weight 2 hardly a pair is missed."""
+    given = inspect.signature(M.near_duplicates).parameters
+    bands, rows = given["bands"].default, given["rows"].default
+    rng, table, missed, pairs = np.random.default_rng(3), M.draws(bands * rows), 0, 1500
+    for _ in range(pairs):
+        keys = np.sort(rng.integers(0, 2**63, 100).astype(np.uint64))
+        kind = rng.permutation([0] * 80 + [1] * 10 + [2] * 10)
+        sides = []
+        for own in (1, 2):
+            mine = (kind == 0) | (kind == own)
+            sides.append(M.sample(np.zeros(90, np.int64), keys[mine], np.where(kind[mine] == 0, 1, 2).astype(np.float32), 1, table)[0])
+        same = sides[0] == sides[1]
+        in_band = np.all([same[r::rows] for r in range(rows)], axis=0).any()
+        missed += not (in_band and same.mean() >= M.AGREE)
+    assert missed <= 5, missed
+
+
 def test_components(spark):
     r = random.Random(8)
     pairs = [(r.randrange(300), r.randrange(300)) for _ in range(180)] + [(k, k + 1) for k in range(1000, 1100)] + [(5000, x) for x in range(5001, 5100)]
