@@ -1,11 +1,12 @@
 """Operator 6: main text of web pages by tag-path ratios.
 
-A page's text nodes are grouped by their root-to-leaf tag path.  Each path has the mean
-text length and the mean punctuation of its nodes; both are smoothed over the paths in
+A page's text nodes are grouped by the tag path of their block; inline tags belong to it.
+Each path has the mean text length and punctuation of its blocks; both are smoothed over the paths in
 page order and fused into one score on a log scale, damped by the share of link text.
 The container is the deepest element path that still holds most of the page's free text
-and punctuation; of the paths inside it those above the threshold are content, and with
-a path all of its nodes, short ones too.  Elements that can't be content by their name, role, class or id take no part.
+and punctuation, but no part of an article or main element; of the paths inside it those above the threshold are content, and with
+a path all of its nodes, short ones too.  Elements that can't be content by their name, role, class or id take no part,
+unless one that only role, class or id name (or a form) holds most of the page's free text and its title.
 
 Defined cases: a null or empty page, or one without any content, gives the empty text;
 unclosed and misnested tags end with the element that ends around them; text outside
@@ -37,34 +38,67 @@ APART_WORDS = frozenset(
     "sidebar aside footer contentinfo complementary cookie cookies consent gdpr notice notices notification alert popup modal newsletter subscribe subscription signup "
     "login search share sharing social comment comments disqus respond reply replies related recommended pagination pager toolbar masthead".split()
 )
+#: First parts of a class that say what a page has, and last ones that go with a word of the above.
+STATES = frozenset("has have no not non with without is hide show enable disable".split())
+PARTS = frozenset("ad ads bar block box button buttons container content form icons item items links list panel post posts articles section stories area widget wrap wrapper inner thread".split())
 CLOSED_BY = {"p": frozenset("p div article section main header footer nav aside form ul ol dl table pre blockquote h1 h2 h3 h4 h5 h6 hr address figure".split()), "li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd": frozenset(["dt", "dd"]), "tr": frozenset(["tr"]), "td": frozenset(["td", "th", "tr"]), "th": frozenset(["td", "th", "tr"]), "option": frozenset(["option"])}
+HEADING = re.compile(r"h[1-6]")
 PUNCTUATION = re.compile(r"[.,;:!?…、。，]")
 KERNEL = np.array([0.06, 0.24, 0.40, 0.24, 0.06])
 MOST, THRESHOLD, LINKS = 0.5, 0.1, 0.75
 
 
-def apart(name: str, attributes: str, inside_article: bool) -> bool:
+def around(token: str) -> bool:
+    """Whether a whole class or id names something around the article."""
+    parts = [p for p in re.split(r"[^a-z]+", token) if p]
+    if not parts or parts[0] in STATES:
+        return False
+    return parts[-1] in APART_WORDS or (parts[0] in APART_WORDS and all(p in APART_WORDS | PARTS for p in parts))
+
+
+def apart(name: str, attributes: str, inside_article: bool) -> int:
+    """0: may be content; 1: can't be by role, class or id, or is a form; 2: can't be by its name, or is hidden."""
     if name in APART or (name == "header" and not inside_article):
-        return True
+        return 1 if name == "form" else 2
     if not attributes or name in ("html", "body"):
-        return False
+        return 0
     if HIDDEN.search(attributes):
-        return True
-    for _, *values in ATTRIBUTE.findall(attributes):
-        if APART_WORDS & set(re.split(r"[^a-z]+", "".join(values).lower())):
-            return True
-    return False
+        return 2
+    for kind, *values in ATTRIBUTE.findall(attributes):
+        if HEADING.fullmatch(name) and kind.lower() == "id":  # made from the heading's words
+            continue
+        if any(map(around, "".join(values).lower().split())):
+            return 1
+    return 0
 
 
 def nodes(html: str) -> list[tuple[tuple[str, ...], str, bool, int]]:
-    """Text nodes in page order: tag path, raw text, whether within a link, number of the block."""
+    """Text nodes in page order: tag path without inline tags, raw text, whether within a link, number of the block."""
+    spared: set[int] = set()
+    while True:
+        out, left, title = _nodes(html, spared)
+        total = sum(len(t.strip()) for _, t, link, _ in out if not link) + sum(n for n, _ in left.values())
+        most = {at for at, (n, inner) in left.items() if n > MOST * total and (inner or not title)}
+        if not most:
+            return out
+        spared |= most
+
+
+def _nodes(html: str, spared: set[int]) -> tuple[list, dict[int, list], bool]:
+    """The text nodes; free characters of each outermost element that is apart by 1, by its place, and whether a title is in it; whether one is outside."""
     out: list = []
-    stack: list[tuple[str, bool]] = []  # name, whether it is apart
-    block, pos, article = 0, 0, 0
+    left: dict[int, list] = {}
+    stack: list[tuple[str, int]] = []  # name; 0, or the place + 1 of the outermost element that is apart by 1, or -1 if by 2
+    block, pos, article, title = 0, 0, 0, False
 
     def take(end: int) -> None:
-        if end > pos and not (stack and stack[-1][1]):
-            out.append((tuple(n for n, _ in stack), html[pos:end], any(n == "a" for n, _ in stack), block))
+        if end <= pos:
+            return
+        link, where = any(n == "a" for n, _ in stack), stack[-1][1] if stack else 0
+        if where > 0 and not link:
+            left[where - 1][0] += len(html[pos:end].strip())
+        elif not where:
+            out.append((tuple(n for n, _ in stack if n not in INLINE), html[pos:end], link, block))
 
     while (m := TAG.search(html, pos)) is not None:
         take(m.start())
@@ -74,7 +108,7 @@ def nodes(html: str) -> list[tuple[tuple[str, ...], str, bool, int]]:
             continue
         if name == "br":
             if not (stack and stack[-1][1]):
-                out.append((tuple(n for n, _ in stack), " ", False, block))
+                out.append((tuple(n for n, _ in stack if n not in INLINE), " ", False, block))
             continue
         if name not in INLINE:
             block += 1
@@ -95,10 +129,22 @@ def nodes(html: str) -> list[tuple[tuple[str, ...], str, bool, int]]:
                 if name in CLOSED_BY.get(stack[k][0], ()):
                     del stack[k:]
                 break
-        stack.append((name, bool(stack and stack[-1][1]) or apart(name, m[3], article > 0)))
+        where = stack[-1][1] if stack else 0
+        if where >= 0:
+            kind = apart(name, m[3], article > 0)
+            if kind == 2:
+                where = -1
+            elif kind and not where and m.start() not in spared:
+                where = m.start() + 1
+                left[m.start()] = [0, False]
+        if where > 0:
+            left[where - 1][1] |= name in ("h1", "main")
+        elif not where:
+            title |= name in ("h1", "main", "article")
+        stack.append((name, where))
         article += name in ("article", "main")
     take(len(html))
-    return out
+    return out, left, title
 
 
 def main_text(html: str | None) -> str:
@@ -106,8 +152,9 @@ def main_text(html: str | None) -> str:
         return ""
     found = [(p, unescape(t), a, b) for p, t, a, b in nodes(html)]
     order: dict[tuple, int] = {}
-    stats: list[list[float]] = []  # characters, punctuation, nodes, characters in links
-    for path, text, link, _ in found:
+    stats: list[list[float]] = []  # characters, punctuation, blocks, characters in links
+    last: dict[tuple, int] = {}
+    for path, text, link, block in found:
         size = len(text.strip())
         if size:
             k = order.setdefault(path, len(order))
@@ -116,7 +163,8 @@ def main_text(html: str | None) -> str:
             s = stats[k]
             s[0] += size
             s[1] += len(PUNCTUATION.findall(text))
-            s[2] += 1
+            s[2] += last.get(path) != block
+            last[path] = block
             s[3] += size * link
     if not stats:
         return ""
@@ -133,6 +181,8 @@ def main_text(html: str | None) -> str:
     container: tuple = ()
     blocks = [p for p in held if not p or p[-1] not in INLINE | CLOSED_BY.keys() | {"h1", "h2", "h3", "h4", "h5", "h6", "ul", "ol", "blockquote", "pre"}]
     for path in sorted(blocks, key=len):
+        if "article" in container or "main" in container and path[-1:] != ("article",):
+            continue
         if path[: len(container)] == container and held[path] > MOST * total:
             container = path
     named = [p for p in held if p and p[-1] == "article"]
@@ -141,7 +191,6 @@ def main_text(html: str | None) -> str:
     inside = {p for p in order if p[: len(container)] == container}
     level = THRESHOLD * max((score[order[p]] for p in inside), default=0.0)
     content = {p for p in inside if score[order[p]] >= level and a[order[p], 3] <= LINKS * max(1, a[order[p], 0])}
-    content |= {p for p in inside if p[-1:] and p[-1] == "a" and p[:-1] in content}  # links in running text
     lines: dict[int, list[str]] = {}
     for path, text, _, block in found:
         if path in content or not text.strip() and path[: len(container)] == container:

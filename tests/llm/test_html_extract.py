@@ -48,6 +48,22 @@ def test_crafted_pages(html, want):
     assert main_text(html) == want
 
 
+@pytest.mark.parametrize(
+    ("html", "want"),
+    [
+        (f"<article><h1>Title</h1><p>A lead, of a few words.</p><section>{A}{B}</section></article>", "Title\nA lead, of a few words.\n" + TEXT),
+        (f"<main><h1>Title</h1><p>A lead, of a few words.</p><div>{A}{B}</div></main>", "Title\nA lead, of a few words.\n" + TEXT),
+        (f"<body><div class='has-sidebar'>{A}{B}</div></body>", TEXT), (f"<article class='post no-comments'>{A}{B}</article>", TEXT),
+        (f"<body><form id='search'><h1>Title</h1>{A}{B}</form></body>", "Title\n" + TEXT), (f"<body><div class='layout sidebar'>{A}{B}</div></body>", TEXT),
+        (f"<article>{A}<h2 id='related-work'>Related work</h2>{B}<h2 id='search'>Search</h2>{A}</article>", TEXT.replace("\n", "\nRelated work\n") + "\nSearch\n" + TEXT.split("\n")[0]),
+        (f"<article><p>See <a href=x><code>x</code></a>, or <b><a href=y>y</a></b>, in this rather long paragraph.</p>{A}{B}</article>", "See x, or y, in this rather long paragraph.\n" + TEXT),
+        (f"<article>{A}{B}</article><div id=comments>{A * 9}</div><div class='related-posts'>{B}</div><div class='site-footer'>{B}</div>", TEXT),
+    ],
+)
+def test_pages_that_are_not_flat(html, want):
+    assert main_text(html) == want
+
+
 def test_tables_with_edges(spark):
     pages = spark.createDataFrame([(1, "u", A, "x"), (1, "u", A, "x"), (None, None, None, "x")], "page_id long, url string, html string, text string")
     assert sorted((r.page_id or 0, r.n_chars) for r in extract(pages).collect()) == [(0, 0), (1, 82), (1, 82)]
