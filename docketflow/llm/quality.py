@@ -12,13 +12,15 @@ held-out rows, whose threshold balances the errors.  All documents are scored.
 A document is good if its label is quality 1 and toxic 0; everything else is rejected.
 
 Bounds: the fit sees at most ``FIT`` labelled and ``POOL`` unlabelled rows, the ones with
-the smallest seeded hash of their id, and at most ``WORDS`` distinct words a row of that
-sample.  Documents to be scored are read whole.
+the smallest seeded hash of their id that have a document.  Their texts are read whole:
+the words are counted in Spark, and only those chosen as features reach the fit.  The
+fixed size of the unlabelled pool is a known limit.
 
 Defined cases: a null or empty text has no words and length 0; a null source or language
 is a value of its own; labels that are null or belong to no document are left out;
-repeated rows are scored each; without rows of both classes every score is the prior
-of the one class there is (0.5 with no labels at all), and rows are kept from 0.5 on.
+repeated rows are scored each; without rows of both classes, or with fewer than ``FEWEST``
+labelled rows (too few to train, calibrate and hold some out), every score is the share of
+good rows among the labelled ones (0.5 with no labels at all), and rows are kept from 0.5 on.
 """
 
 from __future__ import annotations
@@ -32,7 +34,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-FIT, POOL, WORDS, ROUNDS, SHARE, FEATURES, META = 10_000, 4_000, 4_000, 3, 0.05, 400, 256
+from docketflow.llm.components import saved
+
+FIT, POOL, ROUNDS, SHARE, FEATURES, META, FEWEST = 10_000, 4_000, 3, 0.05, 400, 256, 20
 #: Lengths of word beginnings.
 STARTS = (4, 5, 6)
 TOKEN = re.compile(r"[^\W_]+|[^\w\s]{2,}|\|")
@@ -169,15 +173,19 @@ class Model:
         return tuple(1 / (1 + np.exp(-np.clip(x, -30, 30))) for x in (za, zb, z))
 
 
+def held_out(known: np.ndarray) -> np.ndarray:
+    return known & (np.arange(len(known)) % 4 == 3)
+
+
 def fit(rows: pd.DataFrame) -> Model:
     """Co-trains on the sample: columns words, form, source, lang, size, y (null: unlabelled), ordered by the seeded hash."""
     rows = rows.reset_index(drop=True)
     known = rows["y"].notna().to_numpy()
     y = rows["y"].fillna(0).to_numpy(np.float64)
     model = Model(float(y[known].mean()) if known.any() else 0.5)
-    if known.sum() < 20 or len(set(y[known])) < 2:
+    if known.sum() < FEWEST or len(set(y[known])) < 2:
         return model
-    held = known & (np.arange(len(rows)) % 4 == 3)
+    held = held_out(known)
     train, pool = known & ~held, ~known
     words = [np.asarray(w, np.int64) for w in rows["words"]]
     seen = [np.unique(np.concatenate([words[k] for k in np.flatnonzero(train & (y == side))]), return_counts=True) for side in (0, 1)]
@@ -230,21 +238,59 @@ def sample(docs: DataFrame, labels: DataFrame, seed: int = 3) -> pd.DataFrame:
     """The bounded sample that the fit sees."""
     pick = F.xxhash64(F.lit(seed), "doc_id")
     truth = labels.where("doc_id is not null and quality is not null and toxic is not null").groupBy("doc_id").agg(F.min(F.when((F.col("quality") == 1) & (F.col("toxic") == 0), 1.0).otherwise(0.0)).alias("y"))
-    known = truth.orderBy(pick, "doc_id").limit(FIT)
-    pool = docs.select("doc_id").join(truth, "doc_id", "left_anti").where("doc_id is not null").distinct().orderBy(pick, "doc_id").limit(POOL).withColumn("y", F.lit(None).cast("double"))
+    ids = docs.select("doc_id").where("doc_id is not null").distinct()
+    known = truth.join(ids, "doc_id", "left_semi").orderBy(pick, "doc_id").limit(FIT)
+    pool = ids.join(truth, "doc_id", "left_anti").orderBy(pick, "doc_id").limit(POOL).withColumn("y", F.lit(None).cast("double"))
     wanted = known.unionByName(pool)  # FIT + POOL ids at most
 
     def describe(batches):
         for rows in batches:
-            words = [np.array(codes(t)[:WORDS], np.uint32).tobytes() for t in rows["text"]]
+            words = [np.array(codes(t), np.uint32).tobytes() for t in rows["text"]]
             yield pd.DataFrame({"doc_id": rows["doc_id"], "words": words, "form": [shape(t) for t in rows["text"]], "source": rows["source"], "lang": rows["lang"], "size": rows["size"], "y": rows["y"]})
 
     src = docs.select("doc_id", "text", F.col("source").cast("string"), F.col("lang").cast("string"), F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("size"))
-    out = src.join(F.broadcast(wanted), "doc_id").mapInPandas(describe, "doc_id long, words binary, form array<double>, source string, lang string, size long, y double")
-    found = out.toArrow().to_pandas()
-    found["words"] = [np.frombuffer(w, np.uint32) for w in found["words"]]
+    described = src.join(F.broadcast(wanted), "doc_id").mapInPandas(describe, "doc_id long, words binary, form array<double>, source string, lang string, size long, y double")
+    table = saved(described.dropDuplicates(["doc_id"]), "sample")
+    found = table.drop("words").toArrow().to_pandas()
     found["rank"] = [zlib.crc32(str(int(i)).encode()) for i in found["doc_id"]]
-    return found.sort_values(["rank", "doc_id"]).drop_duplicates("doc_id")
+    found = found.sort_values(["rank", "doc_id"]).reset_index(drop=True)
+    labelled = found["y"].notna().to_numpy()
+    train = found[labelled & ~held_out(labelled)]
+    chosen = separating(table, train)
+
+    def narrow(batches):
+        for rows in batches:
+            words = [np.frombuffer(w, np.uint32) for w in rows["words"]]
+            yield pd.DataFrame({"doc_id": rows["doc_id"], "words": [w[np.isin(w, chosen)].tobytes() for w in words]})
+
+    words = table.select("doc_id", "words").mapInPandas(narrow, "doc_id long, words binary").toArrow().to_pandas()
+    by_id = dict(zip(words["doc_id"], words["words"], strict=True))
+    found["words"] = [np.frombuffer(by_id[i], np.uint32) for i in found["doc_id"]]
+    return found
+
+
+def separating(table: DataFrame, train: pd.DataFrame) -> np.ndarray:
+    """The codes that ``fit`` chooses by chi-square, counted over all words of the training rows."""
+    good, bad = (set(train["doc_id"][train["y"] == side].tolist()) for side in (1, 0))
+    if not good or not bad:
+        return np.zeros(0, np.uint32)
+
+    def count(batches):
+        for rows in batches:
+            sides = {}
+            for name, ids in (("good", good), ("bad", bad)):
+                mine = [np.frombuffer(w, np.uint32) for i, w in zip(rows["doc_id"], rows["words"], strict=True) if i in ids]
+                u, n = np.unique(np.concatenate([np.zeros(0, np.uint32), *mine]), return_counts=True)
+                sides[name] = pd.Series(n, u.astype(np.int64))
+            out = pd.DataFrame(sides).fillna(0).astype(np.int64)
+            yield out.rename_axis("code").reset_index()[["code", "good", "bad"]]
+
+    both = F.col("good") + F.col("bad")
+    counts = table.select("doc_id", "words").mapInPandas(count, "code long, good long, bad long").groupBy("code").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad")).where(both >= 4)
+    expected = both * len(bad) / (len(good) + len(bad))
+    off = (F.col("bad") - expected) * (F.col("bad") - expected)
+    top = counts.select("code", (off / expected + off / F.greatest(F.lit(1e-9), both - expected)).alias("chi")).orderBy(F.desc("chi"), "code").limit(FEATURES)
+    return np.array([r.code for r in top.collect()], np.uint32)
 
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -45,3 +45,17 @@ def test_platt_stands_separable_margins():
 
     a, b = platt(np.array([-1e6, -5.0, 5.0, 1e6]), np.array([0.0, 0.0, 1.0, 1.0]))
     assert a > 0 and abs(b) < 5
+
+
+def test_every_word_of_a_long_text_and_labels_without_documents(spark, monkeypatch):
+    """A mark with the largest code of over 4,000 is chosen; labels without a document don't use up the sample."""
+    from docketflow.llm import quality as Q
+
+    common = " ".join(f"w{k}q" for k in range(5000))
+    mark = max((f"mark{k}" for k in range(50_000)), key=Q.code)
+    docs = documents(spark, [f"{common} {mark}" if k % 2 else common for k in range(40)])
+    labels = spark.createDataFrame([(k, k % 2, 0) for k in range(2000)], "doc_id long, quality int, toxic int")
+    monkeypatch.setattr(Q, "FIT", 50)
+    found = Q.sample(docs, labels)
+    assert len(found) == 40 and found["y"].notna().all()
+    assert all((Q.code(mark) in w.tolist()) == (i % 2 == 1) for i, w in zip(found["doc_id"], found["words"], strict=True))
