@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from docketflow.llm.decontamination import op10_decontamination
 from docketflow.llm.html_extract import op6_html_extraction
+from docketflow.llm.license_scan import op13_license_scan
 from docketflow.llm.minhash_dedup import op9_minhash_dedup
 from docketflow.llm.packing import op8_packing
 from docketflow.llm.quality import op3_quality_classifier
@@ -32,6 +33,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_packing": op8_packing,
         "op9_minhash_dedup": op9_minhash_dedup,
         "op10_decontamination": op10_decontamination,
+        "op13_license_scan": op13_license_scan,
         "pipeline": corpus_pipeline.run,
     }
 
