@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from docketflow.llm.decontamination import op10_decontamination
+from docketflow.llm.filter_audit import OP12_SQL, op12_filter_audit
 from docketflow.llm.html_extract import op6_html_extraction
 from docketflow.llm.license_scan import op13_license_scan
 from docketflow.llm.minhash_dedup import op9_minhash_dedup
@@ -33,10 +34,11 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_packing": op8_packing,
         "op9_minhash_dedup": op9_minhash_dedup,
         "op10_decontamination": op10_decontamination,
+        "op12_filter_audit": op12_filter_audit,
         "op13_license_scan": op13_license_scan,
         "pipeline": corpus_pipeline.run,
     }
 
 
 def llm_oracle_sql() -> dict[str, str]:
-    return {"op1_substring_dedup": OP1_SQL, "op2_topk_search": OP2_SQL, "op4_url_filter": OP4_SQL, "op5_warc": OP5_SQL}
+    return {"op1_substring_dedup": OP1_SQL, "op2_topk_search": OP2_SQL, "op4_url_filter": OP4_SQL, "op5_warc": OP5_SQL, "op12_filter_audit": OP12_SQL}
