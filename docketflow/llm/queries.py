@@ -12,6 +12,7 @@ from docketflow.llm.html_extract import op6_html_extraction
 from docketflow.llm.license_scan import op13_license_scan
 from docketflow.llm.minhash_dedup import op9_minhash_dedup
 from docketflow.llm.packing import op8_packing
+from docketflow.llm.prefix_trie import OP11_SQL, op11_prefix_trie
 from docketflow.llm.quality import op3_quality_classifier
 from docketflow.llm.sharding import op7_sharding
 from docketflow.llm.substring_dedup import OP1_SQL, op1_substring_dedup
@@ -34,6 +35,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_packing": op8_packing,
         "op9_minhash_dedup": op9_minhash_dedup,
         "op10_decontamination": op10_decontamination,
+        "op11_prefix_trie": op11_prefix_trie,
         "op12_filter_audit": op12_filter_audit,
         "op13_license_scan": op13_license_scan,
         "pipeline": corpus_pipeline.run,
@@ -41,4 +43,4 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def llm_oracle_sql() -> dict[str, str]:
-    return {"op1_substring_dedup": OP1_SQL, "op2_topk_search": OP2_SQL, "op4_url_filter": OP4_SQL, "op5_warc": OP5_SQL, "op12_filter_audit": OP12_SQL}
+    return {"op1_substring_dedup": OP1_SQL, "op2_topk_search": OP2_SQL, "op4_url_filter": OP4_SQL, "op5_warc": OP5_SQL, "op11_prefix_trie": OP11_SQL, "op12_filter_audit": OP12_SQL}
