@@ -50,10 +50,6 @@ def spans_hash(values: np.ndarray, lo: np.ndarray, hi: np.ndarray, powers: Power
     return mix((total[hi] - total[lo]) * down[lo], seed)
 
 
-def byte_codes() -> np.ndarray:
-    return mix(np.arange(256, dtype=np.uint64), 7)
-
-
 def text_buffers(column: pa.ChunkedArray | pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of a string column and each row's start in them (one more at the end); null reads as empty."""
     if isinstance(column, pa.ChunkedArray):
@@ -97,8 +93,40 @@ def words_of(raw: np.ndarray, starts: np.ndarray, lo: int, hi: int) -> tuple[np.
     return part, word_lo, word_hi, np.searchsorted(word_lo, edges)
 
 
-def word_hashes(part: np.ndarray, word_lo: np.ndarray, word_hi: np.ndarray, codes: np.ndarray, powers: Powers) -> np.ndarray:
-    return spans_hash(codes[part], word_lo, word_hi, powers)
+#: Places of a word whose mixed (byte, place) pairs are looked up; further ones are mixed as they come.
+TABLE_PLACES = 256
+
+
+def pair_table(seed: int) -> np.ndarray:
+    """Strongly mixed values of all (place, byte) pairs of the first places."""
+    return mix(mix(np.arange(TABLE_PLACES << 8, dtype=np.uint64), seed), seed + 1)
+
+
+def word_hashes(part: np.ndarray, word_lo: np.ndarray, word_hi: np.ndarray, table: np.ndarray, seed: int) -> np.ndarray:
+    """64-bit hash of every word: the sum of its (byte, place) pairs, each mixed on its own under ``seed``.
+
+    Unlike a polynomial modulo 2**64 it has no words that collide by their pattern.
+    """
+    if not len(word_lo):
+        return np.zeros(0, np.uint64)
+    n = word_hi - word_lo
+    start = np.cumsum(n) - n
+    place = np.arange(int(n.sum())) - np.repeat(start, n)
+    pair = part[np.repeat(word_lo, n) + place].astype(np.int64) + (place << 8)
+    far = np.flatnonzero(pair >= len(table))
+    values = table[np.minimum(pair, len(table) - 1)]
+    if len(far):
+        values[far] = mix(mix(pair[far].astype(np.uint64), seed), seed + 1)
+    return mix(np.add.reduceat(values, start) + n.astype(np.uint64), seed)
+
+
+def same_spans(a: np.ndarray, a_lo: np.ndarray, b: np.ndarray, b_lo: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Whether a[a_lo : a_lo + n] equals b[b_lo : b_lo + n], for every span (none empty)."""
+    if not len(n):
+        return np.zeros(0, bool)
+    start = np.cumsum(n) - n
+    place = np.arange(int(n.sum())) - np.repeat(start, n)
+    return np.logical_and.reduceat(a[np.repeat(a_lo, n) + place] == b[np.repeat(b_lo, n) + place], start)
 
 
 def windows(row_words: np.ndarray, width: int, n_words: int) -> np.ndarray:

@@ -39,6 +39,7 @@ from docketflow.llm import exchange as X
 from docketflow.llm import kernels as K
 from docketflow.llm.components import components, linked, saved
 
+SEED = 59
 DF_BITS = 48  # a collision only moves one weight a little
 TABLE_BITS = 12
 BUCKET_BLOCK, CLASS_BLOCK, BATCH_ROWS = 512, 192, 8000
@@ -60,10 +61,10 @@ def draws(samples: int, seed: int = 11) -> tuple[np.ndarray, ...]:
 def elements(text, width: int):
     """For each slice of rows: lo, hi, and sorted by row: each element's row and 64-bit key."""
     raw, starts = K.text_buffers(text)
-    codes, chars, words = K.byte_codes(), K.Powers(), K.Powers(K.BASE_2)
+    pairs, words = K.pair_table(SEED), K.Powers(K.BASE_2)
     for lo, hi in K.row_slices(starts):
         part, word_lo, word_hi, rows = K.words_of(raw, starts, lo, hi)
-        hashes = K.word_hashes(part, word_lo, word_hi, codes, chars)
+        hashes = K.word_hashes(part, word_lo, word_hi, pairs, SEED)
         at = K.windows(rows, width, len(hashes))
         n = np.diff(rows)
         short = np.flatnonzero((n > 0) & (n < width))

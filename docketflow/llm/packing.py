@@ -31,6 +31,7 @@ from docketflow.llm.components import saved
 
 CAPACITY, CLOSING_ID, SLACK, LEAST = 2048, 1, 1 / 128, 16
 CACHE_UNITS = 2_000_000
+SEED = 71
 
 
 def unit_bounds(part: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -60,13 +61,14 @@ class UnitIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.codes, self.powers = K.byte_codes(), K.Powers()
+        self.pairs = K.pair_table(SEED)
         self.clear()
 
     def clear(self) -> None:
         self.keys = np.zeros(0, np.uint64)
         self.at = self.n = np.zeros(0, np.int64)
         self.pool = np.array([CLOSING_ID], np.uint32)
+        self.bytes, self.from_, self.size = np.zeros(0, np.uint8), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def learn(self, keys: np.ndarray, units: list[str]) -> None:
         """Adds units (their keys sorted and new)."""
@@ -84,6 +86,15 @@ class UnitIds:
         self.pool = np.concatenate([self.pool, *got])
         place = np.searchsorted(self.keys, keys)
         self.keys, self.at, self.n = np.insert(self.keys, place, keys), np.insert(self.at, place, at), np.insert(self.n, place, n)
+        written = [u.encode() for u in units]
+        size = np.array([len(w) for w in written], np.int64)
+        self.from_, self.size = np.insert(self.from_, place, len(self.bytes) + np.cumsum(size) - size), np.insert(self.size, place, size)
+        self.bytes = np.concatenate([self.bytes, np.frombuffer(b"".join(written), np.uint8)])
+
+    def plain(self, raw: np.ndarray, starts: np.ndarray, lo: int, hi: int) -> tuple[np.ndarray, np.ndarray]:
+        """What ``ids`` returns, by the tokenizer on each whole text."""
+        rows = [[*self.tokenizer.encode(raw[a:b].tobytes().decode(), add_special_tokens=False).ids, CLOSING_ID] for a, b in zip(starts[lo:hi], starts[lo + 1 : hi + 1], strict=True)]
+        return np.concatenate([np.array(r, np.uint32) for r in rows]), np.cumsum([0, *[len(r) for r in rows]])
 
     def ids(self, raw: np.ndarray, starts: np.ndarray, lo: int, hi: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of rows lo..hi with the closing id after each, and where each row starts (one more at the end)."""
@@ -94,7 +105,7 @@ class UnitIds:
             body = body.lower()
             part = np.frombuffer(body, np.uint8)
             word_lo, word_hi = unit_bounds(part, word_lo, word_hi)
-        keys = K.spans_hash(self.codes[part], word_lo, word_hi, self.powers)
+        keys = K.word_hashes(part, word_lo, word_hi, self.pairs, SEED)
         u, first, inv = np.unique(keys, return_index=True, return_inverse=True)
         if len(self.keys) + len(u) > CACHE_UNITS:
             self.clear()
@@ -103,6 +114,10 @@ class UnitIds:
         if new.any():
             self.learn(u[new], [body[word_lo[k] : word_hi[k]].decode() for k in first[new]])
         place = np.searchsorted(self.keys, u)
+        # a hash only proposes: every unit must be the one that was encoded, byte for byte
+        size, known = word_hi - word_lo, place[inv]
+        if not (np.array_equal(size, self.size[known]) and K.same_spans(part, word_lo, self.bytes, self.from_[known], size).all()):
+            return self.plain(raw, starts, lo, hi)
         rows = np.searchsorted(word_lo, edges)
         at = np.insert(self.at[place][inv], rows[1:], 0)
         n = np.insert(self.n[place][inv], rows[1:], 1)

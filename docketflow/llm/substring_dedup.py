@@ -7,7 +7,8 @@ words aligned to either copy's own grid.  So
    block length at every word are the probes; hashes of both meet in key ranges
    (``exchange``) and each document learns which of its blocks occur anywhere else;
 2. each anchor that was hit is extended to the windows of ``window`` words around it;
-   these meet again under a 96-bit key, which decides exactly which windows repeat;
+   these meet again under 96 bits from two independent word hashes, which decide which
+   windows repeat;
 3. adjoining repeated windows are merged into the maximal repeated spans, which are cut.
 
 All three steps work per group of documents on bounded slices.  The texts are
@@ -30,16 +31,18 @@ from pyspark.sql import functions as F
 from . import exchange as X
 from . import kernels as K
 
+#: Seeds of the two independent word hashes: of anchors and keys, and of the check beside a key.
+SEED, CHECK_SEED = 31, 47
 KEY_BITS = 48  # anchors: a collision only costs an extension that step 2 refuses
 
 
 def _anchors(text, block: int, make):
     """For each slice of rows: ``make(raw part, word bounds, row words, word hashes, block hash at each word)``."""
     raw, starts = K.text_buffers(text)
-    codes, chars, words = K.byte_codes(), K.Powers(), K.Powers(K.BASE_2)
+    pairs, words = K.pair_table(SEED), K.Powers(K.BASE_2)
     for lo, hi in K.row_slices(starts):
         part, word_lo, word_hi, row_words = K.words_of(raw, starts, lo, hi)
-        hashes = K.word_hashes(part, word_lo, word_hi, codes, chars)
+        hashes = K.word_hashes(part, word_lo, word_hi, pairs, SEED)
         at = K.windows(row_words, block, len(hashes))
         keys = K.spans_hash(hashes, at, at + block, words) >> np.uint64(64 - KEY_BITS)
         yield make(lo, hi, part, word_lo, word_hi, row_words, hashes, at, keys, words)
@@ -70,10 +73,9 @@ def _shared(keys: np.ndarray, extra: np.ndarray) -> np.ndarray:
     return good[inv].astype(np.uint8)
 
 
-def _wide(hashes: np.ndarray, at: np.ndarray, width: int, powers: K.Powers) -> tuple[np.ndarray, np.ndarray]:
-    """Key and independent 32-bit check of the windows at ``at``."""
-    other = K.Powers(K.BASE)
-    return K.spans_hash(hashes, at, at + width, powers, 1), (K.spans_hash(K.mix(hashes, 3), at, at + width, other, 2) >> np.uint64(32)).astype(np.uint32)
+def _wide(hashes: np.ndarray, others: np.ndarray, at: np.ndarray, width: int, powers: K.Powers) -> tuple[np.ndarray, np.ndarray]:
+    """Key of the windows at ``at`` and a 32-bit check from the other word hash."""
+    return K.spans_hash(hashes, at, at + width, powers, 1), (K.spans_hash(others, at, at + width, K.Powers(K.BASE), 2) >> np.uint64(32)).astype(np.uint32)
 
 
 def _candidates(row_words, hashes, at, hit, block: int, window: int) -> np.ndarray:
@@ -130,12 +132,14 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     def candidates(text, first: pa.Table):
         known = local(text)[0]
         good = known[X.answers(first, np.uint8) > 0] if len(known) else known
+        check = K.pair_table(CHECK_SEED)
 
         def make(lo, hi, part, a, b, rows, h, at, keys, p):
             place = np.minimum(np.searchsorted(good, keys), max(0, len(good) - 1))
             hit = good[place] == keys if len(good) else np.zeros(len(keys), bool)
             wins = _candidates(rows, h, at, hit, block, window)
-            return lo, hi, part, a, b, rows, wins, *_wide(h, wins, window, p)
+            others = K.word_hashes(part, a, b, check, CHECK_SEED) if len(wins) else h
+            return lo, hi, part, a, b, rows, wins, *_wide(h, others, wins, window, p)
 
         return list(_anchors(text, block, make))
 

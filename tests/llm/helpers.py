@@ -37,3 +37,9 @@ def documents(spark, texts, ids=None, **more):
 
     out = spark.createDataFrame(data, "doc_id long, text string, lang string, source string, n_chars long")
     return out.withColumns({k: F.lit(v) for k, v in more.items()}) if more else out
+
+
+def twins(n: int) -> tuple[str, str]:
+    """A Thue-Morse word of n letters and its complement: they collide under any polynomial hash modulo 2**64 from 1,024 letters on."""
+    bits = [bin(k).count("1") & 1 for k in range(n)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)

@@ -5,7 +5,7 @@ import random
 
 import numpy as np
 import pytest
-from helpers import documents
+from helpers import documents, twins
 
 from docketflow.llm import minhash_dedup as M
 from docketflow.llm.components import components, linked
@@ -148,3 +148,10 @@ def test_linked_is_a_spanning_set():
     ok = np.zeros((5, 5), bool)
     ok[0, 3] = ok[3, 0] = ok[3, 4] = ok[4, 3] = True
     assert sorted(linked(ok)) == [(0, 3), (0, 4)]
+
+
+@pytest.mark.parametrize("n", [1024, 2048])
+def test_twin_words_are_two_classes(spark, n):
+    a, b = twins(n)
+    found = M.near_duplicates(documents(spark, [a, b, f"x {a} y", f"x {b} y", a]))
+    assert len({r.comp for r in found.collect()}) == 4

@@ -5,7 +5,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
-from helpers import DATA, documents
+from helpers import DATA, documents, twins
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -81,3 +81,15 @@ def test_unit_ids_equal_the_tokenizer(texts):
     ids, at = UNITS.ids(raw, starts, 0, len(texts))
     for k, text in enumerate(texts):
         assert ids[at[k] : at[k + 1]].tolist() == ids_of(UNITS.tokenizer, text)
+
+
+def test_twin_words_and_any_collision(spark, tokenizer, monkeypatch):
+    texts = [*twins(1024), *twins(2048), "a b", "b a c", " ".join(twins(1024))]
+    rows = pack(documents(spark, texts), default_tokenizer()).withColumnRenamed("id", "doc_id").collect()
+    check(rows, dict(enumerate(texts)), tokenizer)
+    monkeypatch.setattr(K, "word_hashes", lambda part, lo, hi, pairs, seed: (hi - lo).astype(np.uint64))  # every two words of one length collide
+    units = UnitIds(default_tokenizer())
+    for some in (texts, ["aa bb aa"], ["cc"], ["aa"]):
+        raw, starts = K.text_buffers(pa.array(some))
+        ids, at = units.ids(raw, starts, 0, len(some))
+        assert [ids[at[k] : at[k + 1]].tolist() for k in range(len(some))] == [ids_of(tokenizer, t) for t in some]

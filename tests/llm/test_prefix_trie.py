@@ -76,7 +76,7 @@ def test_edges(spark):
     assert trie(table(spark, turnless)) == brute(reorder(sequences(turnless))) and len(trie(table(spark, turnless))) == 1
 
 
-@pytest.mark.parametrize("seed,depth", [(1, 5), (2, 17), (3, 40)])
+@pytest.mark.parametrize("seed,depth", [(1, 5), (2, 21)])
 def test_random_tries_against_brute_force(spark, seed, depth):
     """Few distinct turns and random lengths: many shared beginnings, ends at every depth."""
     rng = random.Random(seed)
@@ -96,10 +96,10 @@ def test_random_tries_against_brute_force(spark, seed, depth):
 def test_hot_conversation_and_hot_beginning_spread(spark, monkeypatch):
     """A third of all rows in one conversation, another third with one first turn; long lists of ends in pieces."""
     monkeypatch.setattr(T, "PIECE_BYTES", 64)
-    rows = [(1, k, "u", f"t{k % 11}") for k in range(600)] + [(c, 0, "u", "hello") for c in range(1000, 1600)] + [(c, 0, "u", f"w{c}") for c in range(2000, 2600)]
+    rows = [(1, k, "u", f"t{k % 11}") for k in range(120)] + [(c, 0, "u", "hello") for c in range(1000, 1120)] + [(c, 0, "u", f"w{c}") for c in range(2000, 2120)]
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # or this little input is one range
     placed = T.numbered(T.turns(table(spark, rows)).repartition(5))
     parts = placed.where("conv = 1").groupBy("part").count().collect()
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
-    assert len(parts) > 1 and max(p["count"] for p in parts) < 500
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(parts) > 1 and max(p["count"] for p in parts) < 100
     assert trie(table(spark, rows).repartition(5)) == brute(reorder(sequences(rows)))

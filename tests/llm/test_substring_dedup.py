@@ -2,7 +2,8 @@ import collections
 import hashlib
 import random
 
-from helpers import DATA, documents, same_as_sql
+import pytest
+from helpers import DATA, documents, same_as_sql, twins
 
 from docketflow.llm.substring_dedup import OP1_SQL, op1_substring_dedup, substring_dedup
 
@@ -56,3 +57,10 @@ def test_repeated_and_null_ids(spark):
 
 def test_empty_table(spark):
     assert substring_dedup(documents(spark, [])).count() == 0
+
+
+@pytest.mark.parametrize("n", [1024, 2048])
+def test_twin_words_repeat_nothing(spark, n):
+    same = " ".join(f"w{k}" for k in range(34))
+    texts = [f"{same} {w}" for w in twins(n)] + [f"{w} {same}" for w in twins(n)]
+    assert [x.n_removed for x in substring_dedup(documents(spark, texts)).collect()] == [0] * 4
