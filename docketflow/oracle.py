@@ -350,6 +350,9 @@ FINAL.update({
     "run_pipeline": "SELECT * FROM gold_matter_summary",
     "full_refresh_equivalence": "SELECT * FROM gold_billable_hours_by_matter_month",
     "refresh_gold": "SELECT * FROM gold_doc_activity_by_matter",
+    "incremental_gold_monthly": "SELECT * FROM gold_billable_hours_by_matter_month",
+    "incremental_gold_activity": "SELECT * FROM gold_doc_activity_by_matter",
+    "incremental_gold_summary": "SELECT * FROM gold_matter_summary",
     "stream_expectation_metrics": FINAL["expectation_metrics"],
 })
 

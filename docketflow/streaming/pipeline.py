@@ -166,12 +166,27 @@ def _bounded(reader, max_files_per_trigger: int | None, retention_days: int):
     return reader.option("maxBytesPerTrigger", str(MAX_BYTES_PER_TRIGGER))
 
 
-def too_old(spark: SparkSession, path: str, retention_days: int) -> list[str]:
-    """Files that lie further behind the newest file of ``path`` than the retention."""
-    fs, p = _fs(spark, path)
-    times = [(s.getModificationTime(), s.getPath().getName()) for s in fs.listStatus(p) if not s.getPath().getName().startswith(("_", "."))]
-    newest = max((t for t, _ in times), default=0)
-    return sorted(n for t, n in times if newest - t > retention_days * 86_400_000)
+def _log_entries(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """(path, batchId) of all files that a file stream has taken up, from its own log."""
+    lines = spark.read.text(f"{checkpoint}/sources/0").where(F.col("value").startswith("{"))
+    return lines.select(F.from_json("value", "path string, batchId long").alias("f")).select("f.*").distinct()
+
+
+def too_old(spark: SparkSession, path: str, retention_days: int, checkpoint: str | None = None, at_most: int = 10) -> list[str]:
+    """Some of the files that lie further behind the newest file of ``path`` than the retention.
+
+    Files that the stream of ``checkpoint`` has already taken up do not count.  Names and
+    times are compared in Spark: one small job if no file is old.
+    """
+    files = spark.read.format("binaryFile").load(path).select(F.element_at(F.split("path", "/"), -1).alias("name"), F.unix_seconds("modificationTime").alias("time"))
+    newest, oldest = files.agg(F.max("time"), F.min("time")).first()
+    if newest is None or newest - oldest <= retention_days * 86_400:
+        return []
+    old = files.where(F.col("time") < newest - retention_days * 86_400)
+    if checkpoint and path_exists(spark, f"{checkpoint}/sources/0"):
+        seen = F.url_decode(F.replace(F.element_at(F.split("path", "/"), -1), F.lit("+"), F.lit("%2B")))  # the log holds encoded URIs
+        old = old.join(_log_entries(spark, checkpoint).select(seen.alias("name")), "name", "left_anti")
+    return [r["name"] for r in old.orderBy("name").limit(at_most).collect()]
 
 
 def bronze_stream(spark: SparkSession, landing: str, source: str, max_files_per_trigger: int | None = None,
@@ -214,24 +229,26 @@ def _finished(query) -> list:
 
 # ---------------------------------------------------------------- expectation counters
 
-def _batch_files(spark: SparkSession, checkpoint: str) -> dict[int, list[str]]:
-    """Input files of each committed micro-batch, from the stream's own log of the files it read.
+def _batches_without(spark: SparkSession, checkpoint: str, stored: set[int]) -> tuple[list[int], DataFrame | None]:
+    """Committed micro-batches that are not in ``stored``, and the log (path, batchId) of the files of all batches.
 
     Spark purges the logs of commits and offsets, but not that of the files: all of its
-    batches up to the end of the last committed one are done.
+    batches up to the end of the last committed one are done.  Only numbers of batches
+    without counters reach the driver.
     """
     done = [int(n) for n in list_children(spark, f"{checkpoint}/commits") if n.isdigit()]
     if not done:
-        return {}
+        return [], None
     offsets = [r.value for r in spark.read.text(f"{checkpoint}/offsets/{max(done)}").collect()]
     end = max(_log_offset(v) for v in offsets if "logOffset" in v)
-    lines = spark.read.text(f"{checkpoint}/sources/0").where(F.col("value").startswith("{")).distinct()
-    entries = lines.select(F.from_json("value", "path string, batchId long").alias("f")).select("f.*").distinct().collect()
-    files: dict[int, list[str]] = {}
-    for path, batch in entries:
-        if batch <= end:
-            files.setdefault(batch, []).append(path)
-    return files
+    first = 0
+    while first in stored:
+        first += 1
+    entries = _log_entries(spark, checkpoint)
+    if first > end:
+        return [], entries
+    later = entries.where(F.col("batchId").between(first, end)).select("batchId").distinct()
+    return sorted(r.batchId for r in later.collect() if r.batchId not in stored), entries
 
 
 def _log_offset(offset: str | None) -> int:
@@ -251,18 +268,19 @@ def record_metrics(spark: SparkSession, layout: Layout, source: str, run_id: str
     name = SOURCES[source][1]
     rules, obs = SILVER[name].rules, f"dq_{name}"
     stored = {int(n.split("=", 1)[1]) for n in list_children(spark, f"{layout.metrics}/dataset={name}") if n.startswith("batch_id=")}
-    files = {b: f for b, f in _batch_files(spark, layout.checkpoint("silver", name)).items() if b not in stored}
+    batches, log = _batches_without(spark, layout.checkpoint("silver", name), stored)
     seen = {}
     for p in progress:
         start, end = _log_offset(p.sources[0].startOffset), _log_offset(p.sources[0].endOffset)
         if obs in (p.observedMetrics or {}) and end == start + 1:  # else its files are of several batches of the log
             seen[end] = p.observedMetrics[obs].asDict()
     rows = []
-    for batch in sorted(files):
+    for batch in batches:
         if batch in seen:
             counted = [m[1:] for m in metrics_rows(name, rules, [seen[batch]])]
         else:
-            bronze = spark.read.schema(bronze_schema(source)).parquet(*files[batch])
+            files = [r.path for r in log.where(F.col("batchId") == batch).select("path").collect()]  # of one micro-batch
+            bronze = spark.read.schema(bronze_schema(source)).parquet(*files)
             counted = [tuple(r)[1:] for r in metrics_frame(SILVER[name].typed(bronze), name, rules).collect()]  # one row per rule
         rows += [(run_id, name, *c, batch) for c in counted]
     if rows:
@@ -331,7 +349,8 @@ def refresh_gold(spark: SparkSession, layout: Layout, run_id: str, parallel: boo
     from concurrent.futures import ThreadPoolExecutor
 
     silver = {name: read_silver(spark, layout, name) for name in SILVER}
-    version = next_child(spark, [layout.table("gold", name) for name in GOLD_COLUMNS], "v=", run_id)
+    # numbered over all that a refresh writes, so that one that died under the same run id is in no one's way
+    version = next_child(spark, [layout.table("gold", name) for name in (*GOLD_COLUMNS, "_by_user_month", "_by_doc")], "v=", run_id)
     written: dict[str, str] = {}
 
     def write(name: str, df: DataFrame) -> DataFrame:
@@ -416,10 +435,10 @@ def _rows(progress: list) -> int:
 def run_bronze_source(spark: SparkSession, landing: str, layout: Layout, source: str,
                       max_files_per_trigger: int | None = None, retention_days: int = LANDING_RETENTION_DAYS) -> list:
     """Ingests what one source has landed since the last run."""
-    stale = too_old(spark, f"{landing.rstrip('/')}/{source}", retention_days)
-    if stale:
-        raise ValueError(f"{source}: files older than the landing retention of {retention_days} days would be skipped: {stale[:10]}")
     name = SOURCES[source][0]
+    stale = too_old(spark, f"{landing.rstrip('/')}/{source}", retention_days, layout.checkpoint("bronze", name))
+    if stale:
+        raise ValueError(f"{source}: files older than the landing retention of {retention_days} days would be skipped: {stale}")
     return _finished(_sink(bronze_stream(spark, landing, source, max_files_per_trigger, retention_days),
                            layout.table("bronze", name), layout.checkpoint("bronze", name), f"{name}_{layout.generation}"))
 
@@ -438,14 +457,15 @@ def _run_source(spark: SparkSession, landing: str, layout: Layout, source: str,
 def run_pipeline(spark: SparkSession, landing: str, root: str, run_id: str | None = None,
                  full_refresh: bool = False, max_files_per_trigger: int | None = None,
                  register: bool = True, database: str = "docketflow",
-                 retention_days: int = LANDING_RETENTION_DAYS) -> RunResult:
+                 retention_days: int = LANDING_RETENTION_DAYS, incremental_gold: bool = False) -> RunResult:
     """bronze -> silver -> counters per source, then gold; each stream runs to completion.
 
     The four sources run side by side, each chaining its silver stream right after
     its own bronze stream, so small sources do not wait for the largest one; gold
     starts when every silver stream has finished.  A backlog is consumed in micro-batches
     of bounded bytes (or ``max_files_per_trigger`` files).  The expectation counters are
-    stored before gold starts, so a failed gold refresh loses none.
+    stored before gold starts, so a failed gold refresh loses none.  With ``incremental_gold``
+    gold is brought up to date from new silver files (``gold_state``) instead of recomputed.
     """
     from concurrent.futures import ThreadPoolExecutor
 
@@ -458,7 +478,12 @@ def run_pipeline(spark: SparkSession, landing: str, root: str, run_id: str | Non
         futures = {s: pool.submit(_run_source, spark, landing, layout, s, run_id, max_files_per_trigger, retention_days)
                    for s in sources}
         done = {s: f.result() for s, f in futures.items()}
-    gold_paths = refresh_gold(spark, layout, run_id)
+    if incremental_gold:
+        from docketflow.streaming.gold_state import refresh_gold_incremental
+
+        gold_paths = refresh_gold_incremental(spark, layout, run_id).paths
+    else:
+        gold_paths = refresh_gold(spark, layout, run_id)
     touch(spark, f"{layout.base}/{COMPLETE}")
     if register:
         register_tables(spark, layout, gold_paths, database)

@@ -175,7 +175,7 @@ def _land_old(spark: SparkSession, sf: str, landing: str, wave: int, days: int =
             fs.setTimes(p, then, -1)
 
 
-def _pipeline_root(spark: SparkSession, sf: str, waves: tuple = (None,)) -> str:
+def _pipeline_root(spark: SparkSession, sf: str, waves: tuple = (None,), incremental_gold: bool = False) -> str:
     """A pipeline run after each wave; the second wave's files are older than the first's."""
     work = new_work_dir(spark, "pipe")
     for w in waves:
@@ -183,7 +183,7 @@ def _pipeline_root(spark: SparkSession, sf: str, waves: tuple = (None,)) -> str:
             _land_old(spark, sf, f"{work}/landing", w)
         else:
             land_standin(spark, sf, f"{work}/landing", wave=w)
-        run_pipeline(spark, f"{work}/landing", f"{work}/out", register=False)
+        run_pipeline(spark, f"{work}/landing", f"{work}/out", register=False, incremental_gold=incremental_gold)
     return f"{work}/out"
 
 
@@ -212,6 +212,15 @@ def refresh_gold_query(spark: SparkSession, sf: str) -> DataFrame:
     return TableLayers(spark, root).gold("gold_doc_activity_by_matter")
 
 
+def _incremental_gold(table: str):
+    """A gold table after two waves, the second one merged into what the first one left (``gold_state``)."""
+
+    def query(spark: SparkSession, sf: str) -> DataFrame:
+        return TableLayers(spark, _pipeline_root(spark, sf, waves=(1, 2), incremental_gold=True)).gold(table)
+
+    return query
+
+
 def stream_expectation_metrics(spark: SparkSession, sf: str) -> DataFrame:
     """Expectation counters observed in-flight by the silver streams, summed per rule."""
     root = _pipeline_root(spark, sf, waves=(1, 2))
@@ -241,6 +250,9 @@ STREAM_QUERIES = {
     "run_pipeline": run_pipeline_query,
     "full_refresh_equivalence": full_refresh_equivalence,
     "refresh_gold": refresh_gold_query,
+    "incremental_gold_monthly": _incremental_gold("gold_billable_hours_by_matter_month"),
+    "incremental_gold_activity": _incremental_gold("gold_doc_activity_by_matter"),
+    "incremental_gold_summary": _incremental_gold("gold_matter_summary"),
     "stream_expectation_metrics": stream_expectation_metrics,
     "table_catalog": table_catalog_query,
 }

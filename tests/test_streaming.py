@@ -212,6 +212,24 @@ def test_older_file_that_lands_later_is_read(spark):
         run_pipeline(spark, landing, f"{work}/short", register=False, retention_days=30)
 
 
+def test_old_file_that_was_read_does_not_stop_later_runs(spark):
+    """Retention compares unseen files only: a file read long ago may lie as far back as it likes."""
+    work = new_work_dir(spark, "retained")
+    landing, out = f"{work}/landing", f"{work}/out"
+    _write(f"{landing}/time_entries", [_line(entry_id="T-old")])
+    _age(f"{landing}/time_entries", 40)
+    run_pipeline(spark, landing, out, register=False, retention_days=30)
+    _write(f"{landing}/time_entries", [_line(entry_id="T-new")])
+    run_pipeline(spark, landing, out, register=False, retention_days=30)
+    assert {r.entry_id for r in TableLayers(spark, out).silver("silver_time_entries").collect()} == {"T-old", "T-new"}
+    _write(f"{work}/copy", [_line(entry_id="T-unseen")])
+    _age(f"{work}/copy", 40)
+    for f in os.listdir(f"{work}/copy"):
+        os.rename(f"{work}/copy/{f}", f"{landing}/time_entries/{f}")
+    with pytest.raises(ValueError, match="retention"):
+        run_pipeline(spark, landing, out, register=False, retention_days=30)
+
+
 def test_failed_gold_refresh_loses_no_counters(spark, monkeypatch):
     from docketflow.streaming import pipeline as P
 
