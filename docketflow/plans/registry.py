@@ -98,6 +98,21 @@ def _lay(fn):
     return lambda spark, sf: fn(StandinLayers(spark, sf))
 
 
+_DATASETS = {
+    "kpis": ("gold_matter_summary", R.kpis),
+    "monthly_revenue": ("gold_billable_hours_by_matter_month", R.monthly_revenue),
+    "by_practice": ("gold_matter_summary", R.revenue_by_practice),
+    "doc_actions": ("gold_doc_activity_by_matter", R.doc_actions),
+    "top_matters": ("gold_matter_summary", R.top_matters),
+}
+
+
+def _widget(name: str) -> Query:
+    dataset = R.WIDGETS[name][0]
+    gold, report = _DATASETS[dataset]
+    return lambda spark, sf: R.widget({dataset: report(StandinLayers(spark, sf).gold(gold))}, name)
+
+
 BATCH_QUERIES: dict[str, Query] = {
     # silver (P1-P4, E1-E9)
     **{name: _silver(name) for name in SILVER},
@@ -123,6 +138,8 @@ BATCH_QUERIES: dict[str, Query] = {
     "dash_top_matters": _lay(lambda l: R.top_matters(l.gold("gold_matter_summary"))),
     "dash_doc_actions": _lay(lambda l: R.doc_actions(l.gold("gold_doc_activity_by_matter"))),
     "dash_kpis_extended": _lay(lambda l: R.kpis_extended(l.gold("gold_matter_summary"))),
+    # widget feeds (D7): columns of the datasets above
+    **{f"widget_{name}": _widget(name) for name in R.WIDGETS},
     # questions (Q1-Q8, J2, J3)
     "q_top10_matters": _lay(lambda l: Q.top_matters_by_revenue(l.gold("gold_matter_summary"))),
     "q_revenue_share_by_practice": _lay(lambda l: Q.revenue_share_by_practice(l.gold("gold_matter_summary"))),

@@ -4,6 +4,9 @@ Layout under ``root`` (a shared folder, e.g. below ``spark.checkpoint.dir``)::
 
     gen=<n>-<run_id>/bronze/<dataset>/          parquet file-sink output (+ _spark_metadata log)
     gen=<n>-<run_id>/silver/<dataset>/          same; not partitioned (see note below)
+    gen=<n>-<run_id>/rejected/<dataset>/        rows refused by the drop rules (``keep_rejected``)
+    gen=<n>-<run_id>/stream/<name>/             windowed streaming aggregates (``windows``)
+    gen=<n>-<run_id>/state/                     partials of incremental gold (``gold_state``)
     gen=<n>-<run_id>/_checkpoints/<layer>/<dataset>/
     gen=<n>-<run_id>/gold/<table>/v=<n>-<run_id>/   one immutable version per refresh
     gen=<n>-<run_id>/metrics/dataset=<dataset>/batch_id=<id>/   expectation counts per micro-batch
@@ -444,20 +447,43 @@ def run_bronze_source(spark: SparkSession, landing: str, layout: Layout, source:
 
 
 def _run_source(spark: SparkSession, landing: str, layout: Layout, source: str, run_id: str,
-                max_files_per_trigger: int | None, retention_days: int) -> tuple[list, list, list[tuple]]:
+                max_files_per_trigger: int | None, retention_days: int, keep_rejected: bool = False) -> tuple[list, list, list[tuple]]:
     """bronze, silver and its counters for one source; returns (bronze progress, silver progress, metrics)."""
     bronze_progress = run_bronze_source(spark, landing, layout, source, max_files_per_trigger, retention_days)
     name = SOURCES[source][1]
     typed = SILVER_BY_SOURCE[source].build_observed(
         read_bronze_stream(spark, layout, source, max_files_per_trigger, retention_days), f"dq_{name}")
     progress = _finished(_sink(typed, layout.table("silver", name), layout.checkpoint("silver", name), f"{name}_{layout.generation}"))
+    if keep_rejected:
+        run_rejected(spark, layout, source, max_files_per_trigger, retention_days)
     return bronze_progress, progress, record_metrics(spark, layout, source, run_id, progress)
 
 
+def run_rejected(spark: SparkSession, layout: Layout, source: str, max_files_per_trigger: int | None = None,
+                 retention_days: int = LANDING_RETENTION_DAYS) -> list:
+    """The rows that the drop rules refuse, with the rules each one failed, as a table beside silver.
+
+    A stream of its own over the same bronze rows: exactly once like silver's, and a run that
+    dies between the two is made up for by the next one, from the files each has not yet
+    taken up.  So after every completed run silver and rejected rows together are bronze.
+    """
+    name = SOURCES[source][1]
+    refused = SILVER[name].rejected(read_bronze_stream(spark, layout, source, max_files_per_trigger, retention_days))
+    return _finished(_sink(refused, layout.table("rejected", name), layout.checkpoint("rejected", name), f"rejected_{name}_{layout.generation}"))
+
+
+def read_rejected(spark: SparkSession, layout: Layout, name: str) -> DataFrame:
+    """Rejected rows of a silver dataset: its columns and ``_failed_rules``."""
+    schema = SILVER[name].rejected(spark.createDataFrame([], bronze_schema(SILVER[name].source))).schema
+    path = layout.table("rejected", name)
+    return spark.read.schema(schema).parquet(path) if path_exists(spark, path) else spark.createDataFrame([], schema)
+
+
 def run_pipeline(spark: SparkSession, landing: str, root: str, run_id: str | None = None,
                  full_refresh: bool = False, max_files_per_trigger: int | None = None,
                  register: bool = True, database: str = "docketflow",
-                 retention_days: int = LANDING_RETENTION_DAYS, incremental_gold: bool = False) -> RunResult:
+                 retention_days: int = LANDING_RETENTION_DAYS, incremental_gold: bool = False,
+                 keep_rejected: bool = False) -> RunResult:
     """bronze -> silver -> counters per source, then gold; each stream runs to completion.
 
     The four sources run side by side, each chaining its silver stream right after
@@ -466,6 +492,7 @@ def run_pipeline(spark: SparkSession, landing: str, root: str, run_id: str | Non
     of bounded bytes (or ``max_files_per_trigger`` files).  The expectation counters are
     stored before gold starts, so a failed gold refresh loses none.  With ``incremental_gold``
     gold is brought up to date from new silver files (``gold_state``) instead of recomputed.
+    With ``keep_rejected`` the rows that the drop rules refuse are kept beside silver.
     """
     from concurrent.futures import ThreadPoolExecutor
 
@@ -475,7 +502,7 @@ def run_pipeline(spark: SparkSession, landing: str, root: str, run_id: str | Non
     layout = current_layout(spark, root, new_generation=full_refresh, run_id=run_id)
     sources = [s for s in SOURCES if path_exists(spark, f"{landing.rstrip('/')}/{s}")]
     with ThreadPoolExecutor(max_workers=max(1, len(sources))) as pool:
-        futures = {s: pool.submit(_run_source, spark, landing, layout, s, run_id, max_files_per_trigger, retention_days)
+        futures = {s: pool.submit(_run_source, spark, landing, layout, s, run_id, max_files_per_trigger, retention_days, keep_rejected)
                    for s in sources}
         done = {s: f.result() for s, f in futures.items()}
     if incremental_gold:

@@ -21,17 +21,23 @@ from docketflow.sources.landing import infer_raw_schema, land_json_batch, land_m
 from docketflow.sources.rescue import rescue_json
 from docketflow.sources.standin import standin_source
 from docketflow.streaming.pipeline import (
+    LANDING_RETENTION_DAYS,
     _fs,
+    _run_source,
     current_layout,
     new_run_id,
     read_bronze,
     read_metrics,
+    read_rejected,
+    read_silver,
     readable_layout,
     refresh_gold,
     run_bronze_source,
     run_pipeline,
+    run_rejected,
     table_catalog,
 )
+from docketflow.streaming.windows import late_rows, read_daily_doc_activity, run_daily_doc_activity
 
 # Arrival waves: rows whose time is before the cutoff land first, the rest later.
 WAVE_CUTOFFS = {
@@ -231,6 +237,38 @@ def stream_expectation_metrics(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+# key column of each silver dataset, as the rejected rows are named by it
+_ROW_KEYS = {"silver_matter_events": "event_id", "silver_time_entries": "entry_id", "silver_doc_audit": "audit_id", "silver_matters_master": "client_name"}
+
+
+def rejected_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Every row that some drop rule refused in two waves, with the rules it failed."""
+    work = new_work_dir(spark, "rejected")
+    layout = current_layout(spark, f"{work}/out", run_id=new_run_id())
+    for wave in (1, 2):
+        land_standin(spark, sf, f"{work}/landing", wave=wave)
+        for source in SOURCES:
+            run_bronze_source(spark, f"{work}/landing", layout, source)
+            run_rejected(spark, layout, source)
+    parts = [read_rejected(spark, layout, name).select(
+        F.lit(name).alias("dataset"), F.col(key).alias("row_key"), "matter_id", F.array_join("_failed_rules", ",").alias("failed_rules"))
+        for name, key in _ROW_KEYS.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def stream_daily_doc_activity(spark: SparkSession, sf: str) -> DataFrame:
+    """Daily audit activity streamed over two waves; a tenth of the rows comes with the second one, most of it late."""
+    work = new_work_dir(spark, "daily")
+    layout = current_layout(spark, f"{work}/out", run_id=new_run_id())
+    rows = standin_source(spark, sf, "doc_audit", lineage=False)
+    second = (F.col("timestamp") >= F.lit(WAVE_CUTOFFS["doc_audit"][1])) | (F.split_part("audit_id", F.lit("-"), F.lit(2)).cast("long") % 10 == 3)
+    for part in (rows.filter(~second), rows.filter(second)):
+        land_json_batch(part, f"{work}/landing", "doc_audit")
+        _run_source(spark, f"{work}/landing", layout, "doc_audit", new_run_id(), None, LANDING_RETENTION_DAYS)
+        run_daily_doc_activity(spark, layout)
+    return late_rows(read_silver(spark, layout, "silver_doc_audit"), read_daily_doc_activity(spark, layout))
+
+
 def table_catalog_query(spark: SparkSession, sf: str) -> DataFrame:
     work = new_work_dir(spark, "catalog")
     land_standin(spark, sf, f"{work}/landing")
@@ -254,5 +292,7 @@ STREAM_QUERIES = {
     "incremental_gold_activity": _incremental_gold("gold_doc_activity_by_matter"),
     "incremental_gold_summary": _incremental_gold("gold_matter_summary"),
     "stream_expectation_metrics": stream_expectation_metrics,
+    "rejected_rows": rejected_rows,
+    "stream_daily_doc_activity": stream_daily_doc_activity,
     "table_catalog": table_catalog_query,
 }
