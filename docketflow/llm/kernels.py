@@ -102,31 +102,47 @@ def pair_table(seed: int) -> np.ndarray:
     return mix(mix(np.arange(TABLE_PLACES << 8, dtype=np.uint64), seed), seed + 1)
 
 
+def _chunks(n: np.ndarray, limit: int = 1 << 18):
+    """Ranges of spans of sizes ``n`` with about ``limit`` bytes each (or one larger span): bounds the arrays of one step."""
+    ends = np.cumsum(n)
+    at = 0
+    while at < len(n):
+        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + limit, "right")))
+        yield at, to
+        at = to
+
+
+def _places(n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each span starts in the concatenation of all, and each byte's place in its own span."""
+    start = np.cumsum(n) - n
+    return start, np.arange(int(n.sum())) - np.repeat(start, n)
+
+
 def word_hashes(part: np.ndarray, word_lo: np.ndarray, word_hi: np.ndarray, table: np.ndarray, seed: int) -> np.ndarray:
     """64-bit hash of every word: the sum of its (byte, place) pairs, each mixed on its own under ``seed``.
 
     Unlike a polynomial modulo 2**64 it has no words that collide by their pattern.
     """
-    if not len(word_lo):
-        return np.zeros(0, np.uint64)
-    n = word_hi - word_lo
-    start = np.cumsum(n) - n
-    place = np.arange(int(n.sum())) - np.repeat(start, n)
-    pair = part[np.repeat(word_lo, n) + place].astype(np.int64) + (place << 8)
-    far = np.flatnonzero(pair >= len(table))
-    values = table[np.minimum(pair, len(table) - 1)]
-    if len(far):
-        values[far] = mix(mix(pair[far].astype(np.uint64), seed), seed + 1)
-    return mix(np.add.reduceat(values, start) + n.astype(np.uint64), seed)
-
-
-def same_spans(a: np.ndarray, a_lo: np.ndarray, b: np.ndarray, b_lo: np.ndarray, n: np.ndarray) -> np.ndarray:
+    out, sizes = np.zeros(len(word_lo), np.uint64), word_hi - word_lo
+    for a, b in _chunks(sizes):
+        n = sizes[a:b]
+        start, place = _places(n)
+        pair = part[np.repeat(word_lo[a:b], n) + place] + (place << 8)
+        far = np.flatnonzero(pair >= len(table))
+        values = table[np.minimum(pair, len(table) - 1)]
+        if len(far):
+            values[far] = mix(mix(pair[far].astype(np.uint64), seed), seed + 1)
+        out[a:b] = mix(np.add.reduceat(values, start) + n.astype(np.uint64), seed)
+    return out
+
+
+def same_spans(a: np.ndarray, a_lo: np.ndarray, b: np.ndarray, b_lo: np.ndarray, n: np.ndarray) -> bool:
     """Whether a[a_lo : a_lo + n] equals b[b_lo : b_lo + n], for every span (none empty)."""
-    if not len(n):
-        return np.zeros(0, bool)
-    start = np.cumsum(n) - n
-    place = np.arange(int(n.sum())) - np.repeat(start, n)
-    return np.logical_and.reduceat(a[np.repeat(a_lo, n) + place] == b[np.repeat(b_lo, n) + place], start)
+    for x, y in _chunks(n):
+        _, place = _places(n[x:y])
+        if not np.array_equal(a[np.repeat(a_lo[x:y], n[x:y]) + place], b[np.repeat(b_lo[x:y], n[x:y]) + place]):
+            return False
+    return True
 
 
 def windows(row_words: np.ndarray, width: int, n_words: int) -> np.ndarray:

@@ -116,7 +116,7 @@ class UnitIds:
         place = np.searchsorted(self.keys, u)
         # a hash only proposes: every unit must be the one that was encoded, byte for byte
         size, known = word_hi - word_lo, place[inv]
-        if not (np.array_equal(size, self.size[known]) and K.same_spans(part, word_lo, self.bytes, self.from_[known], size).all()):
+        if not (np.array_equal(size, self.size[known]) and K.same_spans(part, word_lo, self.bytes, self.from_[known], size)):
             return self.plain(raw, starts, lo, hi)
         rows = np.searchsorted(word_lo, edges)
         at = np.insert(self.at[place][inv], rows[1:], 0)
