@@ -347,6 +347,7 @@ FINAL.update({
     "land_json_batch": "SELECT * FROM raw_time_entries",
     "land_master_once": "SELECT * FROM raw_matters_master",
     "ingest_incremental": f"SELECT {_NO_LINEAGE['silver_time_entries']} FROM silver_time_entries",
+    "compacted_silver": f"SELECT {_NO_LINEAGE['silver_time_entries']} FROM silver_time_entries",
     "run_pipeline": "SELECT * FROM gold_matter_summary",
     "full_refresh_equivalence": "SELECT * FROM gold_billable_hours_by_matter_month",
     "refresh_gold": "SELECT * FROM gold_doc_activity_by_matter",

@@ -18,7 +18,7 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docketflow.operators import gold as G
@@ -59,21 +59,25 @@ def committed_states(spark: SparkSession, layout) -> list[str]:
     return sorted((v for v in list_children(spark, base) if v.startswith("v=") and path_exists(spark, f"{base}/{v}/{COMMITTED}")), key=_number)
 
 
+def plain_path(path: str) -> Column:
+    """A path as Spark's logs and its metadata column write it, decoded, local ones with one slash."""
+    return F.regexp_replace(F.url_decode(F.replace(F.col(path), F.lit("+"), F.lit("%2B"))), "^file:/+", "file:/")
+
+
 def sink_files(spark: SparkSession, layout, silver: str) -> DataFrame:
-    """Files that the stream into a silver table has committed, from the sink's own log.
+    """(path, size) of the files that the stream into a silver table has committed, from the sink's own log.
 
     Spark's readers pass over the folders of a sink's log, so its lines come by way of text input.
     """
-    reader = spark._jsparkSession.read().schema("path string, action string")
+    reader = spark._jsparkSession.read().schema("path string, size long, action string")
     lines = DataFrame(reader.json(spark.sparkContext._jsc.textFile(f"{layout.table('silver', silver)}/_spark_metadata/[0-9]*")), spark)
-    path = F.url_decode(F.replace("path", F.lit("+"), F.lit("%2B")))  # the log holds encoded URIs
-    return lines.where("action = 'add'").select(path.alias("path")).distinct()
+    return lines.where("action = 'add'").select(plain_path("path").alias("path"), "size").distinct()
 
 
 def fresh_files(spark: SparkSession, layout, silver: str, committed: list[str]) -> DataFrame:
     from docketflow.streaming.pipeline import list_children
 
-    files = sink_files(spark, layout, silver)
+    files = sink_files(spark, layout, silver).select("path")
     done = [f"{_state(layout, '_files', silver)}/{v}" for v in list_children(spark, _state(layout, "_files", silver)) if v in set(committed)]
     return files.join(spark.read.schema("path string").parquet(*done), "path", "left_anti") if done else files
 

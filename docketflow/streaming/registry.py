@@ -20,6 +20,7 @@ from docketflow.session import new_work_dir
 from docketflow.sources.landing import infer_raw_schema, land_json_batch, land_master_once, to_landing_shape
 from docketflow.sources.rescue import rescue_json
 from docketflow.sources.standin import standin_source
+from docketflow.streaming.compaction import compact_silver, read_compacted
 from docketflow.streaming.pipeline import (
     LANDING_RETENTION_DAYS,
     _fs,
@@ -269,6 +270,19 @@ def stream_daily_doc_activity(spark: SparkSession, sf: str) -> DataFrame:
     return late_rows(read_silver(spark, layout, "silver_doc_audit"), read_daily_doc_activity(spark, layout))
 
 
+def compacted_silver(spark: SparkSession, sf: str) -> DataFrame:
+    """Time entries read from a clustered copy of the first wave and the files of the second one."""
+    work = new_work_dir(spark, "compact")
+    layout = current_layout(spark, f"{work}/out", run_id=new_run_id())
+    for wave in (1, 2):
+        df = _wave(standin_source(spark, sf, "time_entries", lineage=False), "time_entries", wave)
+        land_json_batch(df, f"{work}/landing", "time_entries")
+        _run_source(spark, f"{work}/landing", layout, "time_entries", new_run_id(), None, LANDING_RETENTION_DAYS)
+        if wave == 1:
+            compact_silver(spark, layout, "silver_time_entries", new_run_id())
+    return _drop_lineage(read_compacted(spark, layout, "silver_time_entries"))
+
+
 def table_catalog_query(spark: SparkSession, sf: str) -> DataFrame:
     work = new_work_dir(spark, "catalog")
     land_standin(spark, sf, f"{work}/landing")
@@ -294,5 +308,6 @@ STREAM_QUERIES = {
     "stream_expectation_metrics": stream_expectation_metrics,
     "rejected_rows": rejected_rows,
     "stream_daily_doc_activity": stream_daily_doc_activity,
+    "compacted_silver": compacted_silver,
     "table_catalog": table_catalog_query,
 }
