@@ -12,7 +12,8 @@ documents are not shuffled.
 Defined cases: null or empty texts and items match nothing; items shorter than q are
 looked for as they are; an item that occurs several times in a document is reported at
 its best place; repeated rows and items are each reported; a document of any length is
-searched whole.
+searched whole; an empty table gives an empty result, an empty benchmark no leaks; all
+other columns, whatever their names, are carried in ``carried``.
 """
 
 from __future__ import annotations
@@ -161,7 +162,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     leak_arrow = X.arrow(out, "leaks")
     for part in range(parts):  # each of bounded size, whatever the benchmark's
         some = bench.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == part).collect()
-        shared = docs.sparkSession.sparkContext.broadcast([(r[0], r[1]) for r in sorted(some, key=lambda r: (r[0] is None, r[0] or 0, r[1]))])
+        shared = docs.sparkSession.sparkContext.broadcast([(r[0], r[1]) for r in sorted(some, key=lambda r: (r[0] is None, 0 if r[0] is None else r[0], r[1]))])
 
         def search(batches, shared=shared):
             items = Items(shared.value, q, budget)

@@ -23,7 +23,9 @@ Defined cases: a null text is a class of its own; equal texts (also empty ones)
 class; a text with fewer words than a shingle has one element, all its words; a text
 without words has none and is linked by equality only; repeated rows are members of
 the same class; classes without an id, or with one that another class has, are told
-apart by their component.  Nothing is capped: large buckets and classes are split into blocks.
+apart by their component.  Nothing is capped: texts are compared whole, large buckets and
+classes are split into blocks; an empty table gives an empty result; other columns are
+not looked at (``one_of_each`` carries them in ``carried``).
 """
 
 from __future__ import annotations

@@ -9,7 +9,10 @@ number of pieces each of them has per class.  The fewer than k pieces left in ea
 (together a bounded number, whatever the input) are packed first-fit decreasing.
 
 Defined cases: a null or empty text is the closing id alone; repeated rows are packed
-each; ids are those of the tokenizer on the whole text, nothing is truncated.
+each; ids are those of the tokenizer on the whole text, nothing is truncated;
+pieces of one class are ranked by document, place and checksum, and those that tie are
+equal in all of them; a text of any length is cut, never truncated; an empty table gives
+an empty result; other columns are not looked at.
 """
 
 from __future__ import annotations

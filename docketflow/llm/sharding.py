@@ -11,7 +11,8 @@ ranges are counted, summed up and ranked each on its own.
 
 Defined cases: a null source is a source of its own; a null text has no bytes and the
 checksum 0; ties in the digest (repeated ids) go by id, checksum and size, so rows that
-still tie are equal in every column of the result.
+still tie are equal in every column of the result; texts of any length are only measured;
+an empty table gives an empty result; other columns are not looked at.
 """
 
 from __future__ import annotations

@@ -16,7 +16,9 @@ shuffled once: the plan reuses that exchange for every step.
 
 Defined cases: a null or empty text has no words; fewer words than the window repeat
 nothing; repeated rows are separate documents, so both copies go; a repeat inside one
-document counts, overlapping or not; no cap on the length or the number of repeats.
+document counts, overlapping or not; no cap on the length or the number of repeats;
+an empty table gives an empty result; all other columns, whatever their names, are
+carried in ``carried``.
 """
 
 from __future__ import annotations

@@ -9,7 +9,9 @@ lets more keys through to the join.
 
 Defined cases: a null URL or one without ``://`` has an empty host and path and no rule;
 a URL that no rule fits isn't listed, so it is allowed; a rule that is given twice
-counts once (block before allow); rules with a null part never fit.
+counts once (block before allow); rules with a null part never fit;
+URLs of any length are judged whole; repeated rows are judged each; an empty table gives
+an empty result; other columns are not looked at.
 """
 
 from __future__ import annotations

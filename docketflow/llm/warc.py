@@ -13,7 +13,7 @@ by its Content-Length, and both of its digests are verified.
 Defined cases: a null payload is empty; payloads under ``least`` bytes are always
 responses; a null id never wins over another id, and a group of null ids alone has no
 revisits; repeated rows with the largest id are all responses; a null URL is written as
-an URN of the id.
+an URN of the id; an empty table gives no records; other columns are not looked at.
 """
 
 from __future__ import annotations

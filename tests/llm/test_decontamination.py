@@ -99,3 +99,12 @@ def test_banded_equals_full_alignment():
         assert edits == distance_within(item, text)
         assert 0 <= start <= len(text) and end <= len(text) and distance_within(item, text[start:end]) == edits
     assert np.array_equal(points("aé"), [97, 233])
+
+
+def test_items_with_empty_and_null_ids(spark):
+    """Ids of any type are put in order, an empty string beside null and other ones too."""
+    text = "the committee met seventeen times in the hall by the river to settle the terms of the treaty"
+    bench = spark.createDataFrame([("", text), (None, text + " at last"), ("b", "another passage of some length that no document of this table holds anywhere")], "item_id string, text string")
+    found = find_leaks(documents(spark, [f"before. {text} after", "nothing"], item_id="clash", leaks="clash"), bench).collect()
+    assert {r.id: [x.item_id for x in r.leaks] for r in found}[1] == []
+    assert "" in {r.id: [x.item_id for x in r.leaks] for r in found}[0]
