@@ -129,7 +129,10 @@ def refresh_gold_incremental(spark: SparkSession, layout, run_id: str, buckets:
         return [] if rows is None else sorted(r[0] for r in rows.select(bucket.alias("bucket")).distinct().collect())
 
     def merge(name: str):
-        """Merge the new rows of a fact into its partial; returns the partial's schema."""
+        """Merge the new rows of a fact into its partial; returns the partial's schema.  Of the dimension only the buckets are wanted."""
+        if name == DIMENSION:
+            done.touched[name] = fallen(fresh(name))
+            return None
         partial = PARTIALS[name]
         rows = fresh(partial.silver)
         schema = partial.build(read_silver(spark, layout, partial.silver)).schema
@@ -141,9 +144,7 @@ def refresh_gold_incremental(spark: SparkSession, layout, run_id: str, buckets:
                 done.touched[name] = sorted(int(c.split("=")[1]) for c in list_children(spark, f"{_state(layout, name)}/{version}") if c.startswith("bucket="))
         return schema
 
-    dimension_rows = fresh(DIMENSION)
-    done.touched[DIMENSION] = fallen(dimension_rows)
-    schemas = together(merge, list(PARTIALS))
+    schemas = together(merge, [*PARTIALS, DIMENSION])
     if last and not any(done.touched.values()):
         return Refresh(last, {n: f"{layout.table('gold', n)}/{last}" for n in GOLD_COLUMNS}, done.touched, done.files)
     manifest |= {(name, b): version for name in PARTIALS for b in done.touched[name]}
