@@ -59,3 +59,42 @@ def test_every_word_of_a_long_text_and_labels_without_documents(spark, monkeypat
     found = Q.sample(docs, labels)
     assert len(found) == 40 and found["y"].notna().all()
     assert all((Q.code(mark) in w.tolist()) == (i % 2 == 1) for i, w in zip(found["doc_id"], found["words"], strict=True))
+
+
+def test_pseudo_labels_come_from_the_whole_pool_and_the_fit_is_the_optimum(spark):
+    """Choice by sorting all margins, and the gradient over all chosen rows, by brute force."""
+    import numpy as np
+    import pyarrow as pa
+
+    from docketflow.llm import quality as Q
+
+    docs, labels = (spark.read.parquet(f"{DATA}/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    work = Q.CoTraining(Q.sample(docs, labels))
+    known = {r.doc_id for r in labels.collect()}
+    rows = docs.select("doc_id", "text", "source", "lang").toPandas()
+    rows = rows[~rows["doc_id"].isin(known)].reset_index(drop=True)
+    assert len(rows) > 5_000
+    described = work.model.described(rows["text"].tolist(), rows["source"].tolist(), rows["lang"].tolist())
+    described["luck"] = (np.arange(len(rows)) * 0.618034) % 1
+    first = list(work.model.betas)
+    pool = spark.createDataFrame(described[["luck", "cols", "form", "meta"]]).repartition(7)
+    work.round(pool)
+    both = Q.views(pa.RecordBatch.from_pandas(described), work.model.widths[0])
+    picked = Q.chosen(both, described["luck"].to_numpy(), work.history)
+    want = Q.SHARE * len(rows)
+    for v in (0, 1):
+        at = Q.margins(*both[v], first[v], len(rows))
+        active, label = picked[1 - v]
+        for side in (1.0, 0.0):
+            mine = active & (label == side)
+            m = at if side else -at
+            sure = m > np.log(Q.SURE / (1 - Q.SURE)) + 0.01
+            part = want * work.model.prior if side else want * (1 - work.model.prior)
+            assert abs(mine.sum() - min(part, sure.sum())) <= 0.15 * part + 5
+            if mine.any():
+                assert m[mine].min() >= np.sort(m)[::-1][: max(1, int(part))].min() - 0.02
+    for v, (active, label) in enumerate(picked):
+        stats = Q.statistics(*both[v], label, active, work.model.betas[v])
+        _, slope, _ = work.objective(v, work.model.betas[v], stats)
+        assert np.abs(slope).max() < 1e-3
+    assert picked[1][0].sum() > 100  # the metadata view is rarely sure on these tables
