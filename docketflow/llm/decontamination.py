@@ -6,6 +6,12 @@ any region that holds it within the budget, all of them on diagonals at most e a
 Shared q-grams are counted per document, item and diagonal band (bands overlap by half,
 so one of them holds the whole run); bands that reach the bound are aligned in the band.
 
+The budget is a tenth of the item's characters, fewer where less than q q-grams would be
+left to count.  A part of an item, or an item with words replaced, leaks too: a band whose shared q-grams
+cover at least ``PART`` of the item's characters, and ``PART_CHARS`` of them, is aligned
+as well, and reported if no more characters than the rest are edited (``whole`` is false).
+Bands are wide enough for a word of ``WORD`` characters more or less.
+
 The benchmark is read in parts of bounded size, each part against all documents; the
 documents are not shuffled.
 
@@ -26,7 +32,8 @@ from pyspark.sql import functions as F
 from docketflow.llm import exchange as X
 from docketflow.llm import kernels as K
 
-Q, BUDGET = 12, 0.05
+Q, BUDGET = 8, 0.1
+PART, PART_CHARS, WORD = 0.6, 48, 16
 PART_BYTES = 16 << 20
 TABLE_BITS = 22
 
@@ -66,8 +73,10 @@ class Items:
         texts = [normal(r[1]) for r in rows]
         self.texts, self.chars = texts, [points(t) for t in texts]
         m = np.array([len(c) for c in self.chars], np.int64)
-        self.edits = np.maximum(0, np.minimum((budget * m).astype(np.int64), (m - q) // q))
+        self.edits = np.maximum(0, np.minimum((budget * m).astype(np.int64), (m - 2 * q + 1) // q))
         self.bound = m - q + 1 - q * self.edits
+        self.part = np.maximum(np.ceil(PART * m).astype(np.int64), PART_CHARS)  # out of reach for shorter items
+        self.reach = np.where(m >= PART_CHARS, np.maximum(self.edits, WORD), self.edits)
         self.short = [k for k, n in enumerate(m) if 0 < n < q]
         grams = [qgrams(c, q) if len(c) >= q else np.zeros(0, np.uint64) for c in self.chars]
         item = np.repeat(np.arange(len(rows)), [len(g) for g in grams])
@@ -112,7 +121,7 @@ def banded(item: np.ndarray, text: np.ndarray, first: int, last: int) -> tuple[i
 
 
 def regions(items: Items, texts: list[str]) -> list[list[tuple]]:
-    """For each text: (item number, start, end, edits) of the items it holds."""
+    """For each text: (item number, start, end, edits, whole) of the items it holds, whole or in part."""
     parts = [points(t) for t in texts]
     gap = np.zeros(items.q, np.uint32)
     chars = np.concatenate([x for p in parts for x in (p, gap)] or [gap])
@@ -122,7 +131,7 @@ def regions(items: Items, texts: list[str]) -> list[list[tuple]]:
     row = np.searchsorted(starts, at, "right") - 1
     at = at - starts[row]
     if len(at):
-        diag, wide = at - place, items.edits[item] + 1
+        diag, wide = at - place, items.reach[item] + 1
         band = diag // wide
         row, item, at, place, diag = (np.concatenate([x, x]) for x in (row, item, at, place, diag))
         band = np.concatenate([band, band - 1])  # a band holds its own stripe and the next
@@ -132,30 +141,37 @@ def regions(items: Items, texts: list[str]) -> list[list[tuple]]:
         first = np.flatnonzero(new)
         fresh = new | np.concatenate([[True], place[1:] != place[:-1]])  # an item's q-gram counts once in a band
         n = np.add.reduceat(fresh.astype(np.int64), first)
-        for b in first[n >= items.bound[item[first]]]:
-            r, i, e = int(row[b]), int(item[b]), int(items.edits[item[b]])
-            lo = int(band[b]) * (e + 1)
+        one = np.flatnonzero(fresh)  # characters that they cover
+        ends = np.append(new[one[1:]], True)
+        cover = np.where(ends, items.q, np.minimum(items.q, np.append(place[one][1:], 0) - place[one]))
+        covered = np.add.reduceat(cover, np.flatnonzero(new[one]))
+        full, part = n >= items.bound[item[first]], covered >= items.part[item[first]]
+        for b, in_part in zip(first[full | part], part[full | part], strict=True):
+            r, i = int(row[b]), int(item[b])
+            e, reach = int(items.edits[i]), int(items.reach[i])
             if found[r].get(i, (0, 0, 1))[2] == 0:
                 continue
-            edits, start, end = banded(items.chars[i], parts[r], lo - e, lo + 2 * e + 1 + e)
-            if edits <= e and edits < found[r].get(i, (0, 0, e + 1))[2]:
-                found[r][i] = (start, end, edits)
+            lo = int(band[b]) * (reach + 1)
+            edits, start, end = banded(items.chars[i], parts[r], lo - e, lo + 2 * reach + 1 + e)
+            most = max(e, len(items.chars[i]) - int(items.part[i])) if in_part else e
+            if edits <= most and edits < found[r].get(i, (0, 0, most + 1))[2]:
+                found[r][i] = (start, end, edits, edits <= e)
     for i in items.short:
         for r, text in enumerate(texts):
             if (k := text.find(items.texts[i])) >= 0:
-                found[r][i] = (k, k + len(items.texts[i]), 0)
+                found[r][i] = (k, k + len(items.texts[i]), 0, True)
     return [[(i, *x) for i, x in sorted(f.items())] for f in found]
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", q: int = Q, budget: float = BUDGET) -> DataFrame:
-    """Every document as id, text, carried (its other columns) and leaks: item_id, start, end, edits.
+    """Every document as id, text, carried (its other columns) and leaks: item_id, start, end, edits, whole.
 
     start and end are character positions in the normalised text.
     """
     rest = [F.col(f"`{c}`") for c in docs.columns if c not in (id_col, text_col)]
     out = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.struct(*rest or [F.lit(None).alias("none")]).alias("carried"))
     bench = benchmark.select(F.col(item_col).alias("item_id"), F.col(item_text).cast("string").alias("text")).where(F.length("text") > 0)
-    leak = f"array<struct<item_id:{bench.schema['item_id'].dataType.simpleString()},start:long,end:long,edits:long>>"
+    leak = f"array<struct<item_id:{bench.schema['item_id'].dataType.simpleString()},start:long,end:long,edits:long,whole:boolean>>"
     out = out.withColumn("leaks", F.array().cast(leak))
     shape, carried = X.shape(out, out.columns), X.arrow(out, "carried")
     parts = max(1, -(-(bench.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // PART_BYTES))
@@ -172,7 +188,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
                     some = batch.slice(lo, hi - lo)
                     texts = [normal(t) for t in some.column(1).to_pylist()]
                     before = some.column(3).to_pylist()
-                    leaks = [(b or []) + [{"item_id": items.ids[i], "start": s, "end": e, "edits": n} for i, s, e, n in f] for b, f in zip(before, regions(items, texts), strict=True)]
+                    leaks = [(b or []) + [{"item_id": items.ids[i], "start": s, "end": e, "edits": n, "whole": w} for i, s, e, n, w in f] for b, f in zip(before, regions(items, texts), strict=True)]
                     yield pa.RecordBatch.from_arrays([*some.columns[:2], X.same_rows(some.column(2), carried), pa.array(leaks, leak_arrow)], ["id", "text", "carried", "leaks"])
 
         out = out.mapInArrow(search, shape)
@@ -180,7 +196,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
 
 
 def op10_decontamination(spark, sf_dir: str) -> DataFrame:
-    """Query over the whole of ``documents`` and ``benchmark``: doc_id, item_id, region_start, region_end, edits for every item that a document holds."""
+    """Query over the whole of ``documents`` and ``benchmark``: doc_id, item_id, region_start, region_end, edits, whole for every item that a document holds, whole or in part."""
     docs, bench = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "benchmark"))
     found = find_leaks(docs.select("doc_id", "text"), bench.select("item_id", "text"))
-    return found.select(F.col("id").alias("doc_id"), F.explode("leaks").alias("leak")).select("doc_id", "leak.item_id", F.col("leak.start").alias("region_start"), F.col("leak.end").alias("region_end"), "leak.edits")
+    return found.select(F.col("id").alias("doc_id"), F.explode("leaks").alias("leak")).select("doc_id", "leak.item_id", F.col("leak.start").alias("region_start"), F.col("leak.end").alias("region_end"), "leak.edits", "leak.whole")

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from helpers import DATA, documents
 
-from docketflow.llm.decontamination import BUDGET, Q, banded, find_leaks, normal, op10_decontamination, points, qgrams
+from docketflow.llm.decontamination import BUDGET, PART, PART_CHARS, WORD, Q, banded, find_leaks, normal, op10_decontamination, points, qgrams
 
 
 def distance_within(item, text):
@@ -20,7 +20,20 @@ def distance_within(item, text):
 
 
 def budget(m):
-    return max(0, min(int(BUDGET * m), (m - Q) // Q))
+    return max(0, min(int(BUDGET * m), (m - 2 * Q + 1) // Q))
+
+
+def in_part(item, text):
+    """Whether some diagonal band's shared q-grams cover enough of the item, by sets."""
+    need, stripe = max(-(-len(item) * PART // 1), PART_CHARS), max(budget(len(item)), WORD) + 1
+    bands = {}
+    for p in range(len(item) - Q + 1):
+        a = text.find(item[p : p + Q])
+        while a >= 0:
+            for band in ((a - p) // stripe, (a - p) // stripe - 1):
+                bands.setdefault(band, set()).update(range(p, p + Q))
+            a = text.find(item[p : p + Q], a + 1)
+    return max(map(len, bands.values()), default=0) >= need and distance_within(item, text) <= len(item) - need
 
 
 def changed(r, text, edits):
@@ -44,14 +57,19 @@ def test_planted_items_match_brute_force(spark):
         texts.append(items[k][: len(items[k]) // 2] + " " + prose(30))
     docs = documents(spark, texts, id="clash", leaks=0)
     bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
-    got = {(d.id, x.item_id): x.edits for d in find_leaks(docs, bench).collect() for x in d.leaks}
-    want = {}
+    leaks = [(d.id, x) for d in find_leaks(docs, bench).collect() for x in d.leaks]
+    got = {(i, x.item_id): x.edits for i, x in leaks if x.whole}
+    parts = {(i, x.item_id) for i, x in leaks if not x.whole}
+    want, want_parts = {}, set()
     for i, t in enumerate(texts):
         for j, item in enumerate(items):
             m = normal(item)
             if m and normal(t) and len(t) < 20_000 and (e := distance_within(m, normal(t))) <= budget(len(m)):
                 want[(i, j)] = e
+            elif m and t and len(t) < 20_000 and in_part(m, normal(t)):
+                want_parts.add((i, j))
     assert got == want and len(want) > 12
+    assert parts == want_parts
 
 
 def test_query_finds_the_items_of_the_tables(spark):
@@ -62,7 +80,8 @@ def test_query_finds_the_items_of_the_tables(spark):
     exact = {(i, j) for i, t in docs.items() for j, b in items.items() if b in t}
     assert exact <= got.keys()
     for (i, j), r in got.items():
-        assert distance_within(items[j], docs[i]) == r.edits <= budget(len(items[j]))
+        assert distance_within(items[j], docs[i]) <= r.edits
+        assert r.edits <= budget(len(items[j])) if r.whole else in_part(items[j], docs[i])
         if not r.edits:
             assert docs[i][r.region_start : r.region_end] == items[j]
 
@@ -108,3 +127,22 @@ def test_items_with_empty_and_null_ids(spark):
     found = find_leaks(documents(spark, [f"before. {text} after", "nothing"], item_id="clash", leaks="clash"), bench).collect()
     assert {r.id: [x.item_id for x in r.leaks] for r in found}[1] == []
     assert "" in {r.id: [x.item_id for x in r.leaks] for r in found}[0]
+
+
+def test_replaced_words_and_parts_of_an_item(spark):
+    """One longer word in place of another, several edits, and 70 % of an item are reported; less than half of it is not."""
+    item = "the committee met seventeen times in the hall by the river to settle the terms of the treaty"
+    texts = [
+        item.replace("committee", "delegation"),
+        item.replace("seventeen", "twenty-three"),
+        item[: int(0.7 * len(item))],
+        item[int(0.3 * len(item)) :],
+        item.replace("hall", "hell").replace("river", "rivers").replace("terms", "term"),
+        item[: int(0.45 * len(item))],
+        "the committee of the river met in a hall to settle on the treaty and its many terms",
+    ]
+    docs = documents(spark, [f"words that come first {t} and words that follow" for t in texts])
+    bench = spark.createDataFrame([(7, item)], "item_id long, text string")
+    found = {r.id: [(x.item_id, x.whole) for x in r.leaks] for r in find_leaks(docs, bench).collect()}
+    assert all([i for i, _ in found[k]] == [7] for k in range(5)) and found[5] == found[6] == []
+    assert found[4] == [(7, True)] and found[2] == found[3] == [(7, False)]
