@@ -10,7 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from docketflow.llm import kernels as K
-from docketflow.llm.packing import CAPACITY, UnitIds, cuts, default_tokenizer, op8_packing, pack
+from docketflow.llm.packing import CAPACITY, LEAST, UnitIds, default_tokenizer, op8_packing, pack, share_cut
 
 
 @pytest.fixture(scope="module")
@@ -65,10 +65,40 @@ def test_edges(spark, tokenizer):
     assert pack(documents(spark, []), default_tokenizer()).count() == 0
 
 
-def test_cuts():
-    r = random.Random(3)
-    for n in [*range(1, 300), 2047, 2048, 2049, *(r.randrange(10**5) for _ in range(500))]:
-        assert sum(cuts(n)) == n and max(cuts(n)) <= CAPACITY
+def test_documents_are_cut_for_free_places_only(spark):
+    rows = op8_packing(spark, f"{DATA}/sf0.01").collect()
+    used = collections.Counter()
+    for r in rows:
+        used[r.sequence_id] += r.length
+    short = {r.doc_id for r in rows if r.doc_tokens <= CAPACITY}
+    cut = {r.doc_id for r in rows if r.doc_tokens <= CAPACITY and r.length < r.doc_tokens}
+    assert len(cut) < 0.1 * len(short)
+    assert sum(r.length < LEAST <= r.doc_tokens for r in rows) < 0.05 * len(rows)
+    assert sum(used.values()) > 0.98 * len(used) * CAPACITY
+
+
+@pytest.mark.parametrize("words", [1, 700, 1100, 2046, 2047, 2048, 5000])
+def test_documents_of_one_length(spark, tokenizer, words):
+    texts = ["the " * words] * 60
+    rows = pack(documents(spark, texts), default_tokenizer()).withColumnRenamed("id", "doc_id").collect()
+    n = check(rows, dict(enumerate(texts)), tokenizer)
+    ids = sum(r.length for r in rows)
+    assert n <= -(-ids // CAPACITY) * 1.12 + 1
+
+
+def test_small_capacity_and_long_parts(spark, tokenizer, monkeypatch):
+    monkeypatch.setattr("docketflow.llm.packing.PART", 1000)
+    text = "one two, three " * 2000
+    rows = pack(documents(spark, [text, text]), default_tokenizer(), keep_ids=True).withColumnRenamed("id", "doc_id").collect()
+    check(rows, {0: text, 1: text}, tokenizer)
+    for i in (0, 1):
+        assert sum((r.ids for r in sorted((r for r in rows if r.doc_id == i), key=lambda r: r.start)), []) == ids_of(tokenizer, text)
+
+
+def test_share_cut():
+    assert share_cut([], 2048) == 0
+    assert share_cut([(0, 1, 10**6), (1, 10, 11_000)], 2048) == 0
+    assert 0.45 < share_cut([(1, 1000, 1_100_000)], 2048) < 0.52
 
 
 UNITS = UnitIds(default_tokenizer())
