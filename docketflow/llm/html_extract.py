@@ -1,16 +1,23 @@
 """Operator 6: main text of web pages by tag-path ratios.
 
 A page's text nodes are grouped by the tag path of their block; inline tags belong to it.
-Each path has the mean text length and punctuation of its blocks; both are smoothed over the paths in
-page order and fused into one score on a log scale, damped by the share of link text.
-The container is the deepest element path that still holds most of the page's free text
-and punctuation, but no part of an article or main element; of the paths inside it those above the threshold are content, and with
-a path all of its nodes, short ones too.  Elements that can't be content by their name, role, class or id take no part,
-unless one that only role, class or id name (or a form) holds most of the page's free text and its title.
+Each path has the mean text length and punctuation of its blocks, fused into one ratio and
+damped by the share of link text; the ratios are smoothed over the blocks in page order, and
+a path's score is its own ratio fused with the smoothed one.  A heading counts as the block it
+stands before, list items, cells and the like, short by nature, count ``LISTED`` times, and
+paragraphs and headings right in the container ``NEAR`` times.
+
+The container is the deepest element that still holds most of the page's text by these
+ratios, but no part of an article or main element.  Of the paths inside it, those whose score
+is at least ``THRESHOLD`` of that of the path with most text are content, and with a path all
+of its nodes, short ones too.  Elements that can't be content by their name, role, class or id
+take no part, unless one that only role, class or id name (or a form) holds most of the
+page's free text and its title.
 
 Defined cases: a null or empty page, or one without any content, gives the empty text;
 unclosed and misnested tags end with the element that ends around them; text outside
-any tag is a page of one path; nothing is cut or capped.
+any tag is a page of one path; nothing is cut or capped; time is linear in a page's length,
+however deep or broken its tags are.
 """
 
 from __future__ import annotations
@@ -25,7 +32,7 @@ from pyspark.sql import functions as F
 
 from docketflow.llm import exchange as X
 
-TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*+>|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>", re.S)
+TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^<>]*+>|<(/?)([a-zA-Z][^\s/<>]*+)((?:[^<>\"']++|\"[^\"]*+\"|'[^']*+')*+)>", re.S)
 ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 HIDDEN = re.compile(r"""(?:^|\s)hidden(?=[\s=/]|$)|display\s*:\s*none""", re.I)
 RAW = frozenset("script style textarea title noscript template iframe svg math object select".split())
@@ -45,7 +52,11 @@ CLOSED_BY = {"p": frozenset("p div article section main header footer nav aside
 HEADING = re.compile(r"h[1-6]")
 PUNCTUATION = re.compile(r"[.,;:!?…、。，]")
 KERNEL = np.array([0.06, 0.24, 0.40, 0.24, 0.06])
-MOST, THRESHOLD, LINKS = 0.5, 0.1, 0.75
+MOST, THRESHOLD, LINKS, OWN = 0.5, 0.5, 0.75, 2 / 3  # OWN: how much of a score is the path's own ratio
+#: How much more a paragraph or heading right in the container counts; blocks that are short by nature, and how much more these count.
+NEAR = 1.25
+SHORT, LISTED = frozenset("li dt dd td th pre caption figcaption blockquote summary".split()), 3.0
+NO_CONTAINER = INLINE | CLOSED_BY.keys() | SHORT | frozenset("h1 h2 h3 h4 h5 h6 ul ol dl table tbody thead tr".split())
 
 
 def around(token: str) -> bool:
@@ -72,128 +83,177 @@ def apart(name: str, attributes: str, inside_article: bool) -> int:
     return 0
 
 
-def nodes(html: str) -> list[tuple[tuple[str, ...], str, bool, int]]:
-    """Text nodes in page order: tag path without inline tags, raw text, whether within a link, number of the block."""
-    spared: set[int] = set()
-    while True:
-        out, left, title = _nodes(html, spared)
-        total = sum(len(t.strip()) for _, t, link, _ in out if not link) + sum(n for n, _ in left.values())
-        most = {at for at, (n, inner) in left.items() if n > MOST * total and (inner or not title)}
-        if not most:
-            return out
-        spared |= most
-
-
-def _nodes(html: str, spared: set[int]) -> tuple[list, dict[int, list], bool]:
-    """The text nodes; free characters of each outermost element that is apart by 1, by its place, and whether a title is in it; whether one is outside."""
-    out: list = []
-    left: dict[int, list] = {}
-    stack: list[tuple[str, int]] = []  # name; 0, or the place + 1 of the outermost element that is apart by 1, or -1 if by 2
-    block, pos, article, title = 0, 0, 0, False
-
-    def take(end: int) -> None:
-        if end <= pos:
-            return
-        link, where = any(n == "a" for n, _ in stack), stack[-1][1] if stack else 0
-        if where > 0 and not link:
-            left[where - 1][0] += len(html[pos:end].strip())
-        elif not where:
-            out.append((tuple(n for n, _ in stack if n not in INLINE), html[pos:end], link, block))
-
-    while (m := TAG.search(html, pos)) is not None:
-        take(m.start())
-        pos = m.end()
-        name = (m[2] or "").lower()
-        if not name:
-            continue
-        if name == "br":
-            if not (stack and stack[-1][1]):
-                out.append((tuple(n for n, _ in stack if n not in INLINE), " ", False, block))
-            continue
+class Page:
+    """A page's block elements (and inline ones that are apart) in page order, and its text nodes."""
+
+    def __init__(self, html: str):
+        self.parent, self.name, self.path, self.kind = [-1], [""], [0], [0]
+        self.paths: dict[tuple[int, str], int] = {}
+        self.last_tag = [""]
+        self.texts: list[tuple[int, str, bool, int]] = []  # element, raw text, whether within a link, number of the block
+        self._read(html)
+
+    def _element(self, parent: int, name: str, kind: int) -> int:
+        path = self.path[parent]
         if name not in INLINE:
-            block += 1
-        if m[1]:
-            depth = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == name), None)
-            if depth is not None:
-                article -= sum(n in ("article", "main") for n, _ in stack[depth:])
-                del stack[depth:]
-            continue
-        if name in RAW:
-            close = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>", re.I).search(html, pos)
-            pos = close.end() if close else len(html)
-            continue
-        if name in VOID or m[3].endswith("/"):
-            continue
-        for k in range(len(stack) - 1, -1, -1):
-            if stack[k][0] not in INLINE:
-                if name in CLOSED_BY.get(stack[k][0], ()):
-                    del stack[k:]
-                break
-        where = stack[-1][1] if stack else 0
-        if where >= 0:
-            kind = apart(name, m[3], article > 0)
-            if kind == 2:
-                where = -1
-            elif kind and not where and m.start() not in spared:
-                where = m.start() + 1
-                left[m.start()] = [0, False]
-        if where > 0:
-            left[where - 1][1] |= name in ("h1", "main")
-        elif not where:
-            title |= name in ("h1", "main", "article")
-        stack.append((name, where))
-        article += name in ("article", "main")
-    take(len(html))
-    return out, left, title
-
-
-def main_text(html: str | None) -> str:
+            key = (path, name)
+            if key not in self.paths:
+                self.paths[key] = len(self.last_tag)
+                self.last_tag.append(name)
+            path = self.paths[key]
+        self.parent.append(parent)
+        self.name.append(name)
+        self.path.append(path)
+        self.kind.append(kind)
+        return len(self.name) - 1
+
+    def _read(self, html: str) -> None:
+        # of each open tag: name, element, in a link, in an article, hidden, place of the nearest open block tag
+        stack: list[tuple[str, int, bool, bool, bool, int]] = [("", 0, False, False, False, -1)]
+        open_tags: dict[str, int] = {}
+        block, pos = 0, 0
+
+        def shut(depth: int) -> None:
+            for tag in stack[depth:]:
+                open_tags[tag[0]] -= 1
+            del stack[depth:]
+
+        def take(end: int) -> None:
+            _, element, link, _, hidden, _ = stack[-1]
+            if end > pos and not hidden:
+                self.texts.append((element, html[pos:end], link, block))
+
+        while (m := TAG.search(html, pos)) is not None:
+            take(m.start())
+            pos = m.end()
+            name = (m[2] or "").lower()
+            if not name:
+                continue
+            if name == "br":
+                if not stack[-1][4]:
+                    self.texts.append((stack[-1][1], " ", False, block))
+                continue
+            block += name not in INLINE
+            if m[1]:
+                if open_tags.get(name):
+                    depth = len(stack) - 1
+                    while stack[depth][0] != name:
+                        depth -= 1
+                    shut(depth)
+                continue
+            if name in RAW:
+                close = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^<>]*>", re.I).search(html, pos)
+                pos = close.end() if close else len(html)
+                continue
+            if name in VOID or m[3].endswith("/"):
+                continue
+            near = stack[-1][5]
+            if name not in INLINE and near > 0 and name in CLOSED_BY.get(stack[near][0], ()):
+                shut(near)
+            _, element, link, article, hidden, near = stack[-1]
+            if not hidden:
+                kind = apart(name, m[3], article)
+                hidden = kind == 2
+                if kind or name not in INLINE:
+                    element = self._element(element, name, kind)
+            stack.append((name, element, link or name == "a", article or name in ("article", "main"), hidden, near if name in INLINE else len(stack)))
+            open_tags[name] = open_tags.get(name, 0) + 1
+        take(len(html))
+
+    def within(self, own: list[float]) -> list[float]:
+        """Sums over each element and all inside it."""
+        out = list(own)
+        for e in range(len(out) - 1, 0, -1):
+            out[self.parent[e]] += out[e]
+        return out
+
+    def left_out(self) -> list[bool]:
+        """Whether an element is apart, or inside one that is."""
+        free = [0.0] * len(self.name)
+        for element, text, link, _ in self.texts:
+            free[element] += 0 if link else len(text.strip())
+        free = self.within(free)
+        inner = self.within([float(n in ("h1", "main")) for n in self.name])
+        titles = [0] * len(self.name)  # of each element that is apart by role, class or id (0: of the page), not further in
+        owner = [0] * len(self.name)
+        for e in range(1, len(self.name)):
+            owner[e] = e if self.kind[e] else owner[self.parent[e]]
+            if self.name[e] in ("h1", "main", "article"):
+                titles[owner[e]] += 1
+        out = [False] * len(self.name)
+        outside = titles[0]
+        for e in range(1, len(self.name)):
+            if out[self.parent[e]] or self.kind[e] == 2:
+                out[e] = True
+            elif self.kind[e]:
+                out[e] = not (free[e] > MOST * free[0] and (inner[e] or not outside))
+                outside += 0 if out[e] else titles[e]
+        return out
+
+
+def path_scores(page: Page, texts: list[tuple[int, str, bool, int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each path: its score, its free text, its share of link text."""
+    stats = np.zeros((len(page.last_tag), 4))  # characters, punctuation, blocks, characters in links
+    order: list[int] = []  # paths of the blocks in page order
+    last = None
+    for element, text, link, block in texts:
+        size, k = len(text.strip()), page.path[element]
+        if size:
+            stats[k] += (size, len(PUNCTUATION.findall(text)), last != (k, block), size * link)
+            if last != (k, block):
+                order.append(k)
+            last = (k, block)
+    size, blocks = np.maximum(1, stats[:, 0]), np.maximum(1, stats[:, 2])
+    links = stats[:, 3] / size
+    ratio = np.sqrt(stats[:, 0] / blocks * (1 + stats[:, 1] / blocks)) * (1 - links)
+    at = np.array(order, np.int64)
+    smooth = np.convolve(np.pad(ratio[at], 2, mode="edge"), KERNEL, "valid") if len(at) else np.zeros(0)
+    around_it = np.bincount(at, smooth, len(ratio)) / blocks
+    score = ratio**OWN * around_it ** (1 - OWN) * np.array([LISTED if t in SHORT else 1.0 for t in page.last_tag])
+    heading = np.array([bool(HEADING.fullmatch(t)) for t in page.last_tag])
+    follows = np.zeros(len(at))  # the score of the next block that is no heading
+    for i in range(len(at) - 2, -1, -1):
+        follows[i] = follows[i + 1] if heading[at[i + 1]] else score[at[i + 1]]
+    lifted = np.zeros(len(ratio))
+    np.maximum.at(lifted, at, follows)
+    return np.where(heading, np.maximum(score, lifted), score), stats[:, 0] * (1 - links), links
+
+
+def main_text(html: str | None, threshold: float = THRESHOLD) -> str:
     if not html:
         return ""
-    found = [(p, unescape(t), a, b) for p, t, a, b in nodes(html)]
-    order: dict[tuple, int] = {}
-    stats: list[list[float]] = []  # characters, punctuation, blocks, characters in links
-    last: dict[tuple, int] = {}
-    for path, text, link, block in found:
-        size = len(text.strip())
-        if size:
-            k = order.setdefault(path, len(order))
-            if k == len(stats):
-                stats.append([0, 0, 0, 0])
-            s = stats[k]
-            s[0] += size
-            s[1] += len(PUNCTUATION.findall(text))
-            s[2] += last.get(path) != block
-            last[path] = block
-            s[3] += size * link
-    if not stats:
+    page = Page(html)
+    out = page.left_out()
+    texts = [(e, unescape(t), a, b) for e, t, a, b in page.texts if not out[e]]
+    score, free, links = path_scores(page, texts)
+    weight = [0.0] * len(page.name)
+    for element, text, link, _ in texts:
+        if not link:
+            weight[element] += len(text.strip()) * score[page.path[element]]
+    held = page.within(weight)
+    if not held[0]:
         return ""
-    a = np.array(stats)
-    length, marks = (np.convolve(np.pad(x / a[:, 2], 2, mode="edge"), KERNEL, "valid") for x in (a[:, 0], a[:, 1]))
-    free = 1 - a[:, 3] / a[:, 0]
-    score = (np.log1p(length) + np.log1p(marks)) * free
-    weight = (a[:, 0] + a[:, 1]) * free
-    held: dict[tuple, float] = {}
-    for path, k in order.items():
-        for depth in range(len(path) + 1):
-            held[path[:depth]] = held.get(path[:depth], 0.0) + weight[k]
-    total = weight.sum()
-    container: tuple = ()
-    blocks = [p for p in held if not p or p[-1] not in INLINE | CLOSED_BY.keys() | {"h1", "h2", "h3", "h4", "h5", "h6", "ul", "ol", "blockquote", "pre"}]
-    for path in sorted(blocks, key=len):
-        if "article" in container or "main" in container and path[-1:] != ("article",):
-            continue
-        if path[: len(container)] == container and held[path] > MOST * total:
-            container = path
-    named = [p for p in held if p and p[-1] == "article"]
-    if named and not any(p == container[: len(p)] for p in named):
-        container = max(named, key=lambda p: (held[p], -len(p)))
-    inside = {p for p in order if p[: len(container)] == container}
-    level = THRESHOLD * max((score[order[p]] for p in inside), default=0.0)
-    content = {p for p in inside if score[order[p]] >= level and a[order[p], 3] <= LINKS * max(1, a[order[p], 0])}
+    container, within_article = 0, False
+    for e in range(1, len(page.name)):  # elements that hold most of the text lie one inside the other
+        if held[e] > MOST * held[0] and page.name[e] not in NO_CONTAINER:
+            if not within_article and (page.name[container] != "main" or page.name[e] == "article"):
+                container, within_article = e, page.name[e] == "article"
+    articles = [e for e, n in enumerate(page.name) if n == "article" and not out[e]]
+    if articles and not within_article:
+        container = max(articles, key=lambda e: (held[e], -e))
+    inside = [False] * len(page.name)
+    for e in range(container, len(page.name)):
+        inside[e] = e == container or inside[page.parent[e]]
+    of_paths = np.zeros(len(page.last_tag))
+    for element, text, link, _ in texts:
+        if inside[element] and not link:
+            of_paths[page.path[element]] += len(text.strip())
+    score[[k for t in ("p", "h1", "h2", "h3", "h4", "h5", "h6") if (k := page.paths.get((page.path[container], t))) is not None]] *= NEAR
+    level = threshold * score[int(of_paths.argmax())]
     lines: dict[int, list[str]] = {}
-    for path, text, _, block in found:
-        if path in content or not text.strip() and path[: len(container)] == container:
+    for element, text, _, block in texts:
+        k = page.path[element]
+        if inside[element] and (not text.strip() or score[k] >= level and links[k] <= LINKS):
             lines.setdefault(block, []).append(text)
     return "\n".join(t for parts in lines.values() if (t := " ".join("".join(parts).split())))
 

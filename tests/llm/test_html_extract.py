@@ -1,11 +1,12 @@
 import re
+import time
 from html import unescape
 
 import duckdb
 import pytest
 from helpers import DATA
 
-from docketflow.llm.html_extract import extract, main_text, op6_html_extraction
+from docketflow.llm.html_extract import THRESHOLD, extract, main_text, op6_html_extraction
 
 
 def article_of(html):
@@ -72,3 +73,53 @@ def test_tables_with_edges(spark):
 
 def test_long_page():
     assert main_text("<article>" + A * 20_000 + "</article>").count("\n") == 19_999
+
+
+def pages_of_articles():
+    return [h for (h,) in duckdb.sql(f"select html from '{DATA}/sf0.01/pages.parquet' order by page_id").fetchall() if h and "<article>" in h]
+
+
+def nameless(html):
+    """Only div where names said something, and no class, id or role."""
+    html = re.sub(r"<(/?)(?:article|nav|footer|aside|header|section|main|form)\b[^>]*>", r"<\1div>", html)
+    return re.sub(r"\s(?:class|id|role)=(?:\"[^\"]*\"|'[^']*'|\S+?(?=[\s>]))", "", html)
+
+
+FOOTER = "<div><p>Imprint and terms, all rights are reserved here.</p></div>"
+COMMENT = "<div><p>First! I was here before all of you.</p></div>"
+ADVERT = "<div>Buy now, it is cheap.</div>"
+
+
+def beside(html):
+    return nameless(html.replace("</article>", "</article>" + FOOTER, 1))
+
+
+def comment_within(html):
+    return nameless(html.replace("<article>", "<article>" + COMMENT, 1))
+
+
+def advert_within(html):
+    head, article = html.split("<article>", 1)
+    return nameless(head + "<article>" + article.replace("</p>", "</p>" + ADVERT, 1))
+
+
+@pytest.mark.parametrize(("change", "least", "without"), [(nameless, 0.98, 1), (beside, 0.98, 1), (comment_within, 0.95, 0.05), (advert_within, 0.95, 0.1)])
+def test_without_names_the_ratios_decide(change, least, without):
+    pages = pages_of_articles()
+
+    def right(threshold):
+        return sum(main_text(change(h), threshold) == article_of(h) for h in pages) / len(pages)
+
+    assert right(THRESHOLD) >= least
+    assert right(0.0) <= without
+
+
+@pytest.mark.parametrize("unit", ["<div>", "<b>", "<a", '<a "', "<div class=ad>x", "<b><li>x", "</x>", "<!x", "<form>x", "<script></script"])
+def test_time_is_linear_in_broken_pages(unit):
+    def seconds(size):
+        t = time.process_time()
+        main_text(unit * (size // len(unit)))
+        return time.process_time() - t
+
+    seconds(10_000)
+    assert seconds(400_000) < 8 * seconds(100_000) + 0.3
