@@ -27,6 +27,9 @@ from docketflow.streaming.pipeline import COMMITTED, _number, list_children, nex
 
 #: Silver bytes that go into one clustered file.
 TARGET_BYTES = 256 << 20
+#: Rows that go into one clustered file, for a task sorts a file's rows in memory: uncompressed
+#: they take many times the bytes of silver, under 1 GB for this many of a few hundred bytes.
+TARGET_ROWS = 2_000_000
 #: The column that tells a row's time.
 TIMES = {"silver_time_entries": "entry_date", "silver_doc_audit": "audit_ts", "silver_matter_events": "event_ts"}
 
@@ -40,7 +43,8 @@ def _silver_schema(spark: SparkSession, name: str):
     return spec.typed(spark.createDataFrame([], RAW_SCHEMAS[spec.source])).schema
 
 
-def compact_silver(spark: SparkSession, layout, name: str, run_id: str, target_bytes: int = TARGET_BYTES) -> str:
+def compact_silver(spark: SparkSession, layout, name: str, run_id: str, target_bytes: int = TARGET_BYTES,
+                   target_rows: int = TARGET_ROWS) -> str:
     """Writes a clustered copy of all rows that the table holds now; returns its version."""
     base, time = _base(layout, name), TIMES[name]
     version = next_child(spark, [f"{base}/{part}" for part in ("data", "_files", "_manifest")], "v=", run_id)
@@ -49,10 +53,11 @@ def compact_silver(spark: SparkSession, layout, name: str, run_id: str, target_b
     rows = spark.read.schema(_silver_schema(spark, name)).parquet(layout.table("silver", name))
     # the files of the list and no later ones, whatever the stream adds meanwhile
     rows = rows.select("*", plain_path("_metadata.file_path").alias("path")).join(files.select("path"), "path", "left_semi").drop("path")
-    n = max(1, -(-(files.agg(F.sum("size")).first()[0] or 0) // target_bytes))
+    n = max(1, -(-(files.agg(F.sum("size")).first()[0] or 0) // target_bytes), -(-rows.count() // target_rows))
     order = [F.trunc(F.to_date(time), "month"), F.col("matter_id"), F.col(time)]
     data = f"{base}/data/{version}"
-    rows.repartitionByRange(n, *order).sortWithinPartitions(*order).write.parquet(data)
+    # the rows of one matter and time may be many: a hash after them lets these spread over files, too
+    rows.repartitionByRange(n, *order, F.xxhash64(*[c for c in rows.columns if not c.startswith("_")])).sortWithinPartitions(*order).write.parquet(data)
     spread = spark.read.schema(rows.schema).parquet(data).groupBy(F.col("_metadata.file_path").alias("path")).agg(
         F.count(F.lit(1)).alias("n_rows"), F.min("matter_id").alias("matter_low"), F.max("matter_id").alias("matter_high"),
         F.min(F.to_timestamp(time)).alias("time_low"), F.max(F.to_timestamp(time)).alias("time_high"))

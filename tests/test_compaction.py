@@ -78,3 +78,17 @@ def test_time_range_leaves_out_months(spark):
     month = C.read_compacted(spark, layout, "silver_time_entries", since=dt.datetime(1995, 3, 1), before=dt.datetime(1995, 4, 1))
     assert month.count() == whole.where("entry_date >= '1995-03-01' and entry_date < '1995-04-01'").count() > 0
     assert len(whole.inputFiles()) >= 12 and len(month.inputFiles()) <= len(whole.inputFiles()) // 4
+
+
+def test_rows_bound_a_file(spark):
+    """Few bytes of silver may be many rows: files hold a bounded number, also of one matter and time."""
+    work = new_work_dir(spark, "rows")
+    layout = P.current_layout(spark, f"{work}/out", run_id="r")
+    raw = spark.range(0, 2000, 1, 2).selectExpr(
+        "concat('T-', id) AS entry_id", "'M-1' AS matter_id", "'U-1' AS user_id", "1.5D AS hours", "true AS billable_flag",
+        "100L AS rate_usd", "'2024-01-05' AS date", "'x' AS narrative")
+    land_json_batch(raw, f"{work}/landing", "time_entries")
+    P._run_source(spark, f"{work}/landing", layout, "time_entries", "r", None, P.LANDING_RETENTION_DAYS)
+    C.compact_silver(spark, layout, "silver_time_entries", "c", target_rows=200)
+    files = C.read_compacted(spark, layout, "silver_time_entries").selectExpr("_metadata.file_path AS f").groupBy("f").count().collect()
+    assert sum(r["count"] for r in files) == 2000 and len(files) >= 8 and max(r["count"] for r in files) < 500
