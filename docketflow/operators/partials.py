@@ -21,6 +21,9 @@ from pyspark.sql import functions as F
 from docketflow.operators.gold import _billable, _group_key, _join_branches
 from docketflow.schemas import AMOUNT_SUM_TYPE, GOLD_COLUMNS, HOURS_SUM_TYPE
 
+#: Parts of a bucket that tasks merge side by side.
+BUCKET_PARTS = 8
+
 SUM, MIN, MAX, SET = "sum", "min", "max", "set"
 
 
@@ -31,11 +34,26 @@ class Partial:
     keys: tuple[str, ...]
     values: tuple[tuple[str, str, str | None], ...]  # column, how it merges, type of a sum
     rows: Callable[[DataFrame], DataFrame]           # silver rows as partials of one row each
+    counted: str | None = None                       # identifier that makes the keys of most rows differ
 
     def merge(self, parts: list[DataFrame]) -> DataFrame:
         """One row per key of all ``parts`` (partials, or rows shaped like them)."""
         return reduce(DataFrame.unionByName, parts).groupBy(*self.keys).agg(*[_merged(*v) for v in self.values])
 
+    def merge_by_bucket(self, parts: list[DataFrame], buckets: int) -> DataFrame:
+        """``merge``, with a column ``bucket`` and the rows dealt out by it, as they are written.
+
+        Rows that hardly shrink are shuffled once, by bucket and a part of it -- keys of the
+        aggregate, so that it needs no shuffle of its own; a hot matter spreads over the parts.
+        Others shrink in the tasks first and are dealt out when there are few of them.
+        """
+        bucket = bucket_of(buckets)
+        if self.counted is None:
+            return self.merge(parts).withColumn("bucket", bucket).hint("rebalance", "bucket")
+        part = F.pmod(F.xxhash64(self.counted), F.lit(BUCKET_PARTS)).cast("int")
+        rows = reduce(DataFrame.unionByName, parts).withColumns({"bucket": bucket, "_part": part}).repartition("bucket", "_part")
+        return rows.groupBy("bucket", "_part", *self.keys).agg(*[_merged(*v) for v in self.values]).select(*self.keys, *[v[0] for v in self.values], "bucket")
+
     def build(self, silver: DataFrame) -> DataFrame:
         return self.merge([self.rows(silver)])
 
@@ -58,6 +76,7 @@ TIME = Partial(
         "matter_id", F.trunc("entry_date", "month").alias("entry_month"), "user_id", "entry_id",
         F.col("hours").cast(HOURS_SUM_TYPE).alias("hours"), F.col("billable_amount_usd").cast(AMOUNT_SUM_TYPE).alias("amount"),
         F.col("entry_date").alias("last_date")),
+    "entry_id",
 )
 
 DOCS = Partial(
@@ -65,6 +84,7 @@ DOCS = Partial(
     (("n", SUM, "bigint"), ("first_ts", MIN, None), ("last_ts", MAX, None)),
     lambda silver: silver.select("matter_id", "action", "doc_id", "user_id", F.lit(1).cast("bigint").alias("n"),
                                  F.col("audit_ts").alias("first_ts"), F.col("audit_ts").alias("last_ts")),
+    "doc_id",
 )
 
 EVENTS = Partial(

@@ -138,8 +138,9 @@ def refresh_gold_incremental(spark: SparkSession, layout, run_id: str, buckets:
         schema = partial.build(read_silver(spark, layout, partial.silver)).schema
         done.touched[name] = fallen(rows) if last else []
         if rows is not None:
-            merged = partial.build(rows) if last is None else partial.merge([partial.rows(rows), read_partial(spark, layout, partial, schema, manifest, done.touched[name])])
-            merged.withColumn("bucket", bucket).hint("rebalance", "bucket").write.partitionBy("bucket").parquet(f"{_state(layout, name)}/{version}")
+            kept_rows = [] if last is None else [read_partial(spark, layout, partial, schema, manifest, done.touched[name])]
+            merged = partial.merge_by_bucket([partial.rows(rows), *kept_rows], buckets)
+            merged.write.option("compression", "zstd").partitionBy("bucket").parquet(f"{_state(layout, name)}/{version}")
             if last is None:
                 done.touched[name] = sorted(int(c.split("=")[1]) for c in list_children(spark, f"{_state(layout, name)}/{version}") if c.startswith("bucket="))
         return schema
