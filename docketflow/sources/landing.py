@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,24 +28,36 @@ def to_landing_shape(df: DataFrame, source: str) -> DataFrame:
     return df.select(*out)
 
 
+#: Rows of a landed file; fewer if compressed, as readers can't split it.
+MAX_RECORDS, MAX_RECORDS_COMPRESSED = 1_000_000, 250_000
+
+
+def _json_writer(df: DataFrame, compression: str | None) -> DataFrameWriter:
+    writer = df.write.option("ignoreNullFields", "false")
+    if compression:
+        writer = writer.option("compression", compression).option("zlib.compress.level", "BEST_SPEED")
+    return writer
+
+
 def land_json_batch(df: DataFrame, landing: str, source: str, files: int | None = None,
-                    max_records_per_file: int = 1_000_000) -> str:
+                    max_records_per_file: int | None = None, compression: str | None = None) -> str:
     """Append one batch of JSON-lines files (explicit nulls kept) under ``landing/source``.
 
     ``files`` fixes the number of files (round-robin repartition, for small test
     batches); by default the input partitioning is kept -- no shuffle, one writer per
-    partition -- and ``max_records_per_file`` caps file size without a shuffle.
+    partition -- and ``max_records_per_file`` caps file size without a shuffle (fewer
+    by default if compressed).
     """
+    max_records_per_file = max_records_per_file or (MAX_RECORDS_COMPRESSED if compression else MAX_RECORDS)
     out = to_landing_shape(df, source)
     if files:
         out = out.repartition(files)
     path = f"{landing.rstrip('/')}/{source}"
-    (out.write.mode("append").option("ignoreNullFields", "false")
-     .option("maxRecordsPerFile", str(max_records_per_file)).json(path))
+    _json_writer(out, compression).mode("append").option("maxRecordsPerFile", str(max_records_per_file)).json(path)
     return path
 
 
-def land_master_once(df: DataFrame, landing: str, source: str = "matters_master") -> str:
+def land_master_once(df: DataFrame, landing: str, source: str = "matters_master", compression: str | None = None) -> str:
     """Write the dimension files unless an earlier write was committed (write-once).
 
     A folder without Spark's ``_SUCCESS`` marker is what a crashed write left: it is
@@ -56,7 +68,7 @@ def land_master_once(df: DataFrame, landing: str, source: str = "matters_master"
     spark = df.sparkSession
     done = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
     if not done.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(done):
-        to_landing_shape(df, source).write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+        _json_writer(to_landing_shape(df, source), compression).mode("overwrite").json(path)
     return path
 
 

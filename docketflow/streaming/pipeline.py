@@ -204,7 +204,7 @@ def bronze_stream(spark: SparkSession, landing: str, source: str, max_files_per_
 
 def _sink(df: DataFrame, path: str, checkpoint: str, name: str, partition_by: str | None = None):
     w = (
-        df.writeStream.format("parquet").outputMode("append")
+        df.writeStream.format("parquet").outputMode("append").option("compression", "zstd")
         .option("checkpointLocation", checkpoint)
         .queryName(name)
         .trigger(availableNow=True)

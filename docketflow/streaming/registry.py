@@ -40,6 +40,9 @@ from docketflow.streaming.pipeline import (
 )
 from docketflow.streaming.windows import late_rows, read_daily_doc_activity, run_daily_doc_activity
 
+# The landed files are gzip: as plain text they would be the largest part of all that a query writes.
+COMPRESSION = "gzip"
+
 # Arrival waves: rows whose time is before the cutoff land first, the rest later.
 WAVE_CUTOFFS = {
     "matters": ("timestamp", dt.datetime(1998, 1, 1)),
@@ -63,10 +66,10 @@ def land_standin(spark: SparkSession, sf: str, landing: str, wave: int | None =
     By default each source keeps its natural partitioning (file count grows with the
     data); ``files_per_source`` forces a fixed count, for small test batches.
     """
-    land_master_once(standin_source(spark, sf, "matters_master", lineage=False), landing)
+    land_master_once(standin_source(spark, sf, "matters_master", lineage=False), landing, compression=COMPRESSION)
     for source in ("matters", "time_entries", "doc_audit"):
         df = _wave(standin_source(spark, sf, source, lineage=False), source, wave)
-        land_json_batch(df, landing, source, files=files_per_source)
+        land_json_batch(df, landing, source, files=files_per_source, compression=COMPRESSION)
 
 
 def _drop_lineage(df: DataFrame) -> DataFrame:
@@ -76,9 +79,9 @@ def _drop_lineage(df: DataFrame) -> DataFrame:
 def _land_source(spark: SparkSession, sf: str, landing: str, source: str, files: int | None = None) -> None:
     df = standin_source(spark, sf, source, lineage=False)
     if source == "matters_master":
-        land_master_once(df, landing)
+        land_master_once(df, landing, compression=COMPRESSION)
     else:
-        land_json_batch(df, landing, source, files=files)
+        land_json_batch(df, landing, source, files=files, compression=COMPRESSION)
 
 
 def _bronze_of(spark: SparkSession, sf: str, source: str, files: int | None = None) -> DataFrame:
@@ -101,7 +104,7 @@ def rows_per_source_file(spark: SparkSession, sf: str) -> DataFrame:
         bronze = _bronze_of(spark, sf, source, files=4)
         parts.append(bronze.select(
             F.lit(source).alias("source"), "_source_file", "_ingested_at",
-            F.col("_source_file").rlike(rf"/{source}/[^/]+\.json$").alias("in_landing")))
+            F.col("_source_file").rlike(rf"/{source}/[^/]+\.json(\.gz)?$").alias("in_landing")))
     rows = reduce(DataFrame.unionByName, parts)
     # one landed file per writing task: the count is part of the landing's partitioning, so only "several" is stated
     return rows.groupBy("source").agg(
@@ -113,7 +116,7 @@ def rows_per_source_file(spark: SparkSession, sf: str) -> DataFrame:
 
 def land_json_batch_query(spark: SparkSession, sf: str) -> DataFrame:
     landing = f"{new_work_dir(spark, 'land')}/landing"
-    land_json_batch(standin_source(spark, sf, "time_entries", lineage=False), landing, "time_entries")
+    land_json_batch(standin_source(spark, sf, "time_entries", lineage=False), landing, "time_entries", compression=COMPRESSION)
     return spark.read.schema(RAW_SCHEMAS["time_entries"]).json(f"{landing}/time_entries")
 
 
@@ -121,8 +124,8 @@ def land_master_once_query(spark: SparkSession, sf: str) -> DataFrame:
     """Second write is ignored: the dimension holds each row once."""
     landing = f"{new_work_dir(spark, 'master')}/landing"
     master = standin_source(spark, sf, "matters_master", lineage=False)
-    land_master_once(master, landing)
-    land_master_once(master, landing)
+    land_master_once(master, landing, compression=COMPRESSION)
+    land_master_once(master, landing, compression=COMPRESSION)
     return spark.read.schema(RAW_SCHEMAS["matters_master"]).json(f"{landing}/matters_master")
 
 
@@ -264,7 +267,7 @@ def stream_daily_doc_activity(spark: SparkSession, sf: str) -> DataFrame:
     rows = standin_source(spark, sf, "doc_audit", lineage=False)
     second = (F.col("timestamp") >= F.lit(WAVE_CUTOFFS["doc_audit"][1])) | (F.split_part("audit_id", F.lit("-"), F.lit(2)).cast("long") % 10 == 3)
     for part in (rows.filter(~second), rows.filter(second)):
-        land_json_batch(part, f"{work}/landing", "doc_audit")
+        land_json_batch(part, f"{work}/landing", "doc_audit", compression=COMPRESSION)
         _run_source(spark, f"{work}/landing", layout, "doc_audit", new_run_id(), None, LANDING_RETENTION_DAYS)
         run_daily_doc_activity(spark, layout)
     return late_rows(read_silver(spark, layout, "silver_doc_audit"), read_daily_doc_activity(spark, layout))
@@ -276,7 +279,7 @@ def compacted_silver(spark: SparkSession, sf: str) -> DataFrame:
     layout = current_layout(spark, f"{work}/out", run_id=new_run_id())
     for wave in (1, 2):
         df = _wave(standin_source(spark, sf, "time_entries", lineage=False), "time_entries", wave)
-        land_json_batch(df, f"{work}/landing", "time_entries")
+        land_json_batch(df, f"{work}/landing", "time_entries", compression=COMPRESSION)
         _run_source(spark, f"{work}/landing", layout, "time_entries", new_run_id(), None, LANDING_RETENTION_DAYS)
         if wave == 1:
             compact_silver(spark, layout, "silver_time_entries", new_run_id())
