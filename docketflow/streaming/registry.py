@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from docketflow.plans.layers import TableLayers
 from docketflow.schemas import LINEAGE_COLUMNS, RAW_SCHEMAS, SOURCES
 from docketflow.session import new_work_dir
+from docketflow.sources import landing as landing_files
 from docketflow.sources.landing import infer_raw_schema, land_json_batch, land_master_once, to_landing_shape
 from docketflow.sources.rescue import rescue_json
 from docketflow.sources.standin import standin_source
@@ -76,18 +77,20 @@ def _drop_lineage(df: DataFrame) -> DataFrame:
     return df.drop(*LINEAGE_COLUMNS)
 
 
-def _land_source(spark: SparkSession, sf: str, landing: str, source: str, files: int | None = None) -> None:
+def _land_source(spark: SparkSession, sf: str, landing: str, source: str, at_least: int | None = None) -> None:
     df = standin_source(spark, sf, source, lineage=False)
     if source == "matters_master":
         land_master_once(df, landing, compression=COMPRESSION)
     else:
-        land_json_batch(df, landing, source, files=files, compression=COMPRESSION)
+        # files that hold no more rows than this: so many at least, more where the rows are many, and no shuffle
+        records = min(landing_files.MAX_RECORDS_COMPRESSED, max(1, -(-df.count() // at_least))) if at_least else None
+        land_json_batch(df, landing, source, max_records_per_file=records, compression=COMPRESSION)
 
 
-def _bronze_of(spark: SparkSession, sf: str, source: str, files: int | None = None) -> DataFrame:
-    """One source landed and ingested as the pipeline does it."""
+def _bronze_of(spark: SparkSession, sf: str, source: str, at_least: int | None = None) -> DataFrame:
+    """One source landed (as a number of files at least) and ingested as the pipeline does it."""
     work = new_work_dir(spark, "bronze")
-    _land_source(spark, sf, f"{work}/landing", source, files)
+    _land_source(spark, sf, f"{work}/landing", source, at_least)
     layout = current_layout(spark, f"{work}/out", run_id=new_run_id())
     run_bronze_source(spark, f"{work}/landing", layout, source)
     return read_bronze(spark, layout, SOURCES[source][0])
@@ -98,10 +101,10 @@ def _bronze_query(source: str):
 
 
 def rows_per_source_file(spark: SparkSession, sf: str) -> DataFrame:
-    """Provenance of every source, the facts landed as four files each: rows, files, and rows without file or time."""
+    """Provenance of every source, the facts landed as four files each or more: rows, files, and rows without file or time."""
     parts = []
     for source in SOURCES:
-        bronze = _bronze_of(spark, sf, source, files=4)
+        bronze = _bronze_of(spark, sf, source, at_least=4)
         parts.append(bronze.select(
             F.lit(source).alias("source"), "_source_file", "_ingested_at",
             F.col("_source_file").rlike(rf"/{source}/[^/]+\.json(\.gz)?$").alias("in_landing")))

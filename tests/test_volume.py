@@ -30,6 +30,18 @@ def test_landed_and_layer_files_are_compressed(spark):
             assert all(n.endswith(".zstd.parquet") for n in _names(layout.table(layer, name)))
 
 
+@pytest.mark.parametrize("source", ["matters", "time_entries", "doc_audit"])
+def test_landed_files_grow_with_the_rows(spark, monkeypatch, source):
+    """Several files of few rows, more than the four asked for at least where the rows are many."""
+    rows = R.standin_source(spark, SF0001, source, lineage=False).count()
+    few, many = (f"{new_work_dir(spark, 'few')}/landing" for _ in range(2))
+    R._land_source(spark, SF0001, few, source, at_least=4)
+    assert len(_names(f"{few}/{source}")) >= 4
+    monkeypatch.setattr(L, "MAX_RECORDS_COMPRESSED", rows // 10)
+    R._land_source(spark, SF0001, many, source, at_least=4)
+    assert len(_names(f"{many}/{source}")) >= 10
+
+
 DAY, TS = "to_date('2024-01-05')", "timestamp'2024-01-01 00:00:00'"
 
 
