@@ -35,7 +35,7 @@ MAX_RECORDS, MAX_RECORDS_COMPRESSED = 1_000_000, 250_000
 def _json_writer(df: DataFrame, compression: str | None) -> DataFrameWriter:
     writer = df.write.option("ignoreNullFields", "false")
     if compression:
-        writer = writer.option("compression", compression).option("zlib.compress.level", "BEST_SPEED")
+        writer = writer.option("compression", compression)
     return writer
 
 

@@ -107,19 +107,25 @@ def matter_events(spark: SparkSession, sf_dir: str, lineage: bool = True) -> Dat
 def time_entries(spark: SparkSession, sf_dir: str, lineage: bool = True) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem")
     o = read_table(spark, sf_dir, "orders")
-    j = li.join(o, li.l_orderkey == o.o_orderkey)
     supp = F.col("l_suppkey")
+    # shaped before the join: short numbers are shuffled instead of the prices and times that they come from
+    li = li.select(
+        "l_orderkey", "l_linenumber",
+        F.when(supp % 20 == 19, F.lit(None).cast("bigint")).otherwise(supp % 50).alias("user"),
+        (F.col("l_quantity") * F.lit(0.75).cast("double") - F.lit(2)).alias("hours"),
+        F.when(F.col("l_linenumber") != 7, F.col("l_returnflag") != "R").alias("billable_flag"),
+        F.when(supp % 23 != 4, F.floor(F.col("l_extendedprice") / 100).cast("bigint")).alias("rate_usd"),
+        F.to_date(F.col("l_shipdate")).alias("date"),
+    )
+    j = li.join(o, li.l_orderkey == o.o_orderkey)
     return j.select(
         F.concat(F.lit("T-"), F.col("l_orderkey").cast("string"), F.lit("-"),
                  F.col("l_linenumber").cast("string")).alias("entry_id"),
         F.when(F.col("l_orderkey") % 83 == 2, F.lit(None).cast("string"))
         .when(F.col("o_custkey") % 60 == 11, _prefixed("X-", F.col("o_custkey")))
         .otherwise(_prefixed("M-", F.col("o_custkey"))).alias("matter_id"),
-        F.when(supp % 20 == 19, F.lit(None).cast("string")).otherwise(_prefixed("U-", supp % 50)).alias("user_id"),
-        (F.col("l_quantity") * F.lit(0.75).cast("double") - F.lit(2)).alias("hours"),
-        F.when(F.col("l_linenumber") != 7, F.col("l_returnflag") != "R").alias("billable_flag"),
-        F.when(supp % 23 != 4, F.floor(F.col("l_extendedprice") / 100).cast("bigint")).alias("rate_usd"),
-        F.to_date(F.col("l_shipdate")).alias("date"),
+        _prefixed("U-", F.col("user")).alias("user_id"),
+        "hours", "billable_flag", "rate_usd", "date",
         F.concat(F.lit("order "), F.col("l_orderkey").cast("string"), F.lit(" line "),
                  F.col("l_linenumber").cast("string")).alias("narrative"),
         *(_lineage("lineitem") if lineage else []),

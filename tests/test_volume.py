@@ -1,6 +1,9 @@
 """What queries write and shuffle: landed files are small and many, layers compressed, kept partials shuffled once."""
 
+import gzip
 import os
+import re
+import zlib
 
 import pytest
 from conftest import SF0001
@@ -62,3 +65,27 @@ def test_merge_by_bucket(spark, partial, cols):
     if partial.counted:
         plan = got._jdf.queryExecution().executedPlan().toString()
         assert plan.count("Exchange ") == 1 and "hashpartitioning(bucket" in plan
+
+
+def _plan(df, how="simple"):
+    return df.sparkSession._jvm.org.apache.spark.sql.api.python.PythonSQLUtils.explainString(df._jdf.queryExecution(), how)
+
+
+def test_landed_files_are_smaller_than_at_best_speed(spark):
+    work = new_work_dir(spark, "small")
+    R._land_source(spark, SF0001, f"{work}/landing", "time_entries")
+    folder = f"{work}/landing/time_entries".removeprefix("file:")
+    packed = [open(f"{folder}/{n}", "rb").read() for n in _names(folder)]
+    assert sum(map(len, packed)) < 0.9 * sum(len(zlib.compress(gzip.decompress(b), 1)) for b in packed)
+
+
+def test_entries_are_shaped_before_the_join(spark):
+    """No price or time of a line is shuffled, only what follows from it."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _plan(R.standin_source(spark, SF0001, "time_entries", lineage=False), "formatted")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    shuffled = re.findall(r"\(\d+\) Exchange\nInput \[\d+\]: \[(.*)\]", plan)
+    assert len(shuffled) == 2 and any("l_linenumber" in s for s in shuffled)
+    assert not re.search("l_extendedprice|l_quantity|l_shipdate|l_returnflag|l_suppkey", " ".join(shuffled))
