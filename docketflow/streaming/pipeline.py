@@ -343,17 +343,18 @@ def read_layer_table(spark: SparkSession, root: str, name: str) -> DataFrame:
 def refresh_gold(spark: SparkSession, layout: Layout, run_id: str, parallel: bool = True) -> dict[str, str]:
     """Recompute all gold tables from silver into new version directories; return their paths.
 
-    Two pre-aggregates are written first: billable sums per (matter, month, user) and audit
+    Two pre-aggregates are written first: billable sums per (matter, month) and audit
     rows per (matter, action, document).  The monthly, document and summary tables share
-    them, so each fact is read twice per refresh (pre-aggregate and the other distinct
-    count) and the summary never touches silver facts.  Independent tables are submitted
+    them, and the summary never touches silver facts.  Time entries, the largest fact, are
+    shuffled once; the rows of the most frequent matters, which that would gather in a few
+    tasks, are spread by user and by entry instead.  Independent tables are submitted
     concurrently (their small final stages then overlap instead of leaving cores idle).
     """
     from concurrent.futures import ThreadPoolExecutor
 
     silver = {name: read_silver(spark, layout, name) for name in SILVER}
     # numbered over all that a refresh writes, so that one that died under the same run id is in no one's way
-    version = next_child(spark, [layout.table("gold", name) for name in (*GOLD_COLUMNS, "_by_user_month", "_by_doc")], "v=", run_id)
+    version = next_child(spark, [layout.table("gold", name) for name in (*GOLD_COLUMNS, "_by_month", "_by_doc")], "v=", run_id)
     written: dict[str, str] = {}
 
     def write(name: str, df: DataFrame) -> DataFrame:
@@ -361,7 +362,7 @@ def refresh_gold(spark: SparkSession, layout: Layout, run_id: str, parallel: boo
         if name in GOLD_COLUMNS:
             df = G.contract(df, name)
             written[name] = path
-        df.write.parquet(path)
+        df.write.option("compression", "zstd").parquet(path)
         return spark.read.schema(df.schema).parquet(path)
 
     def together(tables: dict) -> dict[str, DataFrame]:
@@ -370,17 +371,18 @@ def refresh_gold(spark: SparkSession, layout: Layout, run_id: str, parallel: boo
             return {name: f.result() for name, f in futures.items()}
 
     entries, docs = silver["silver_time_entries"], silver["silver_doc_audit"]
+    frequent = G.frequent_matters(entries)
     shared = together({
-        "_by_user_month": G.billable_by_user_month(entries),
+        "_by_month": G.billable_by_month(entries, frequent),
         "_by_doc": G.doc_activity_by_doc(docs),
         "gold_matter_lifecycle": G.matter_lifecycle(silver["silver_matter_events"]),
     })
     together({
-        "gold_billable_hours_by_matter_month": G.billable_hours_by_matter_month(entries, shared["_by_user_month"]),
+        "gold_billable_hours_by_matter_month": G.billable_hours_from(shared["_by_month"], entries, frequent),
         "gold_doc_activity_by_matter": G.doc_activity_by_matter(docs, shared["_by_doc"]),
         "gold_matter_summary": G.matter_summary_from_branches(
             silver["silver_matters_master"],
-            G.summary_revenue_from(shared["_by_user_month"]),
+            G.summary_revenue_from(shared["_by_month"]),
             G.summary_lifecycle_from_gold(shared["gold_matter_lifecycle"]),
             G.summary_doc_activity_from(shared["_by_doc"]),
         ),

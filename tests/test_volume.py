@@ -8,6 +8,7 @@ import zlib
 import pytest
 from conftest import SF0001
 
+from docketflow.operators import gold as G
 from docketflow.operators.partials import DOCS, EVENTS, TIME, bucket_of
 from docketflow.session import new_work_dir
 from docketflow.sources import landing as L
@@ -89,3 +90,33 @@ def test_entries_are_shaped_before_the_join(spark):
     shuffled = re.findall(r"\(\d+\) Exchange\nInput \[\d+\]: \[(.*)\]", plan)
     assert len(shuffled) == 2 and any("l_linenumber" in s for s in shuffled)
     assert not re.search("l_extendedprice|l_quantity|l_shipdate|l_returnflag|l_suppkey", " ".join(shuffled))
+
+
+ENTRIES = [
+    "if(id % 50 = 0, null, if(id % 3 = 0, 'M-HOT', concat('M-', id % 9))) matter_id", "if(id % 11 = 0, null, concat('U-', id % 7 % 5)) user_id",
+    "if(id % 13 = 0, null, concat('T-', id % 180)) entry_id", "cast(id % 8 + 0.25 AS decimal(5,2)) hours",
+    "if(id % 4 = 1, null, cast(id AS decimal(12,2))) billable_amount_usd",
+    "if(id % 17 = 0, null, date_add(date'2024-01-05', cast(id * 37 % 200 AS int))) entry_date", "if(id % 19 = 0, null, id % 5 > 0) billable_flag",
+]
+
+
+@pytest.mark.parametrize("frequent", [[], ["M-HOT", "M-4"], None])
+def test_monthly_and_revenue_from_rows_by_month(spark, frequent):
+    """Rows with NULLs and repeats give what the plain aggregates give, whichever matters are spread; the others are shuffled once."""
+    rows = spark.range(0, 2000, 1, 5).selectExpr(*ENTRIES)
+    frequent = G.frequent_matters(rows) if frequent is None else frequent
+    by_month = G.billable_by_month(rows, frequent)
+    monthly = G.contract(G.billable_hours_from(by_month, rows, frequent), "gold_billable_hours_by_matter_month")
+    for got, want in ((monthly, G.billable_hours_by_matter_month(rows)), (G.summary_revenue_from(by_month), G.summary_revenue(rows))):
+        want = want.select(*got.columns)
+        assert [f.dataType for f in got.schema] == [f.dataType for f in want.schema]
+        assert got.exceptAll(want).count() == 0 and got.count() == want.count() > 0
+    if not frequent:
+        shuffles = re.findall(r"Exchange hashpartitioning\(([^)]*), \d+\)", _plan(by_month))
+        assert len(shuffles) == 4 and sum(bool(re.fullmatch(r"matter_id#\d+", keys)) for keys in shuffles) == 1, shuffles
+
+
+def test_frequent_matters(spark):
+    rows = spark.range(20_000).selectExpr("if(id % 2 = 0, 'M-HOT', concat('M-', id)) matter_id", "true billable_flag")
+    assert "M-HOT" in G.frequent_matters(rows) and len(G.frequent_matters(rows)) <= G.FREQUENT
+    assert G.frequent_matters(rows.where("matter_id is null")) == []
